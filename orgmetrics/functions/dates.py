@@ -40,13 +40,25 @@ def parse_date_range(c: Column) -> Column:
     spaced = F.split(text, r"\s+-\s+")
     tight = F.split(text, "-")
     parts = F.when(F.size(spaced) > 1, spaced).when(F.size(tight) == 2, tight)
-    parts = parts.otherwise(F.array(text))
-    start = parse_event_date(F.try_element_at(parts, F.lit(1)))
-    end = parse_event_date(F.try_element_at(parts, F.lit(2)))
+    parts = F.coalesce(parts, F.array(text))
+    # Read each part once: the rules below look at both dates several times.
+    days = F.transform(parts, lambda p: F.struct(parse_event_date(p).alias("day")))
+    read = F.array(
+        F.struct(
+            F.size(days).alias("n"),
+            F.try_element_at(days, F.lit(1))["day"].alias("start"),
+            F.try_element_at(days, F.lit(2))["day"].alias("end"),
+        )
+    )
+    return F.transform(read, _range_of)[0]
+
+
+def _range_of(read: Column) -> Column:
+    start, end = read["start"], read["end"]
     error = (
-        F.when(c.isNull() | (F.size(parts) > 2), "not a date range")
+        F.when(read["n"] > 2, "not a date range")
         .when(start.isNull(), "unreadable start date")
-        .when((F.size(parts) == 2) & end.isNull(), "unreadable end date")
+        .when((read["n"] == 2) & end.isNull(), "unreadable end date")
         .when(end < start, "end before start")
     )
     return F.struct(

@@ -165,7 +165,7 @@ def extract_section_details(
     labels += ("coordinates", "logo", "social", "city")
     found = match_nodes(pages, _only(site.account_selectors, *labels))
     address = first_of("address")
-    parts = F.filter(nodes_of("address_part"), lambda n: inside(n, address))
+    parts = _inside_of("address_part", address)
     point, logo = first_of("coordinates"), first_of("logo")
     place = geo.coordinates(point["data_lat"], point["data_lng"])
     profiles = F.filter(
@@ -236,6 +236,10 @@ def extract_activity_links(pages: DataFrame, site: Site, base: Column | None = N
     )
 
 
+def _inside_of(label: str, outer: Column) -> Column:
+    return F.filter(nodes_of(label), lambda n: inside(n, outer))
+
+
 def _texts(nodes: Column) -> Column:
     return F.filter(F.transform(nodes, lambda n: node_text(n)), lambda t: t != "")
 
@@ -264,8 +268,7 @@ def extract_activities(pages: DataFrame, site: Site, as_of: Column) -> DataFrame
     goal_items = F.array().cast("array<string>")
     for label in reversed(_numbered(s, "goal")):
         one = first_of(label)
-        items = nodes_of(label.replace("goal", "goal_item"))
-        own = _texts(F.filter(items, lambda n, one=one: inside(n, one)))
+        own = _texts(_inside_of(label.replace("goal", "goal_item"), one))
         goal_items = F.when(one.isNotNull(), own).otherwise(goal_items)
     goal_text = F.when(F.size(goal_items) > 0, F.array_join(goal_items, "\n"))
     codes = F.create_map(*(F.lit(x) for pair in COUNTRY_CODES.items() for x in pair))
@@ -311,9 +314,8 @@ def page_fanout(
     ``sections`` holds ``activities_platform_slug``, ``last_pages`` the last page by slug.
     """
     slug = "activities_platform_slug"
-    wanted = sections.join(last_pages, slug).withColumn(
-        "page", F.explode(F.sequence(F.lit(0), F.col("last_page")))
-    )
+    chunks = page_chunks(sections.join(last_pages, slug))
+    wanted = chunks.withColumn("page", F.explode(F.sequence("first_page", "final_page")))
     wanted = wanted.withColumn(
         "url", urls.listing_page_url(site.activities_url, F.col(slug), F.col("page"))
     )

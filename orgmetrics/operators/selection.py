@@ -145,8 +145,12 @@ def page_of(df: DataFrame, order: list[str], page: int = 1, limit: int = 20) ->
 
 def page_after(df: DataFrame, order: list[str], last: list, limit: int = 20) -> DataFrame:
     """The page after the row whose ``order`` values are ``last``: no skipped rows to sort."""
-    seen = F.struct(*(F.col(c) for c in order)) > F.struct(*(F.lit(v) for v in last))
-    return df.filter(seen).orderBy(*order).limit(limit)
+    beyond, equal = F.lit(False), F.lit(True)
+    for name, value in zip(order, last):
+        beyond = beyond | (equal & (F.col(name) > F.lit(value)))
+        equal = equal & (F.col(name) == F.lit(value))
+    # The bound on the leading column alone is what a Parquet scan can skip row groups with.
+    return df.filter(F.col(order[0]) >= F.lit(last[0])).filter(beyond).orderBy(*order).limit(limit)
 
 
 def newest(df: DataFrame, stamp: str, tie: str, limit: int = 100) -> DataFrame:

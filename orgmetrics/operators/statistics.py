@@ -40,26 +40,24 @@ def overall_statistics(df: DataFrame) -> DataFrame:
 
 def _entries(category: str) -> Column:
     """Items of the three lists of one category; items without a count are skipped."""
-    lists = []
-    for kind in KINDS:
-        items = F.coalesce(
-            _values(f"{kind}_{category}"), F.array().cast("array<array<string>>")
-        )
-        named = F.transform(
-            items,
-            lambda item, i, kind=kind: F.when(
-                F.size(item) >= 2,
-                F.struct(
-                    F.lit(category).alias("category"),
-                    F.lit(kind).alias("kind"),
-                    i.alias("position"),
-                    item[0].alias("name"),
-                    item[1].try_cast("int").alias("count"),
-                ),
+    return F.array_compact(F.concat(*(_named_items(kind, category) for kind in KINDS)))
+
+
+def _named_items(kind: str, category: str) -> Column:
+    items = F.coalesce(_values(f"{kind}_{category}"), F.array().cast("array<array<string>>"))
+    return F.transform(
+        items,
+        lambda item, i: F.when(
+            F.size(item) >= 2,
+            F.struct(
+                F.lit(category).alias("category"),
+                F.lit(kind).alias("kind"),
+                i.alias("position"),
+                item[0].alias("name"),
+                item[1].try_cast("int").alias("count"),
             ),
-        )
-        lists.append(named)
-    return F.array_compact(F.concat(*lists))
+        ),
+    )
 
 
 def detail_statistics(df: DataFrame, key: str, categories: tuple[str, ...]) -> DataFrame:

@@ -37,11 +37,9 @@ def validate(df: DataFrame, rules: Ruleset) -> DataFrame:
         for bad, text_ in reversed(checks):
             message = F.when(F.coalesce(bad, F.lit(False)), text_).otherwise(message)
         found.append((field, message))
-    structs = [
-        F.when(m.isNotNull(), F.struct(F.lit(f).alias("field_name"), m.alias("error_message")))
-        for f, m in found
-    ]
-    with_errors = cleaned.withColumn("errors", F.array_compact(F.array(*structs)))
+    structs = [F.struct(F.lit(f).alias("field_name"), m.alias("error_message")) for f, m in found]
+    errors = F.filter(F.array(*structs), lambda e: e["error_message"].isNotNull())
+    with_errors = cleaned.withColumn("errors", errors)
     return with_errors.withColumn("is_valid", F.size("errors") == 0)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orgmetrics.functions import dates, geo, slugs, text, urls
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
-from orgmetrics.sources.tables import read_table
+from orgmetrics.queries.tables import read_table
 
 c = F.col
 
@@ -17,7 +17,7 @@ _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 def _folded(expression: str) -> str:
     """Accents of the sample texts, folded in SQL."""
-    return f"strip_accents(lower({expression}))"
+    return f"replace(strip_accents(lower({expression})), 'ß', 'ss')"
 
 
 def _slug_sql(expression: str) -> str:
@@ -141,7 +141,7 @@ def normalize_country_code(spark, sf):
     )
 
 
-@query("""SELECT page_id, trim(regexp_extract(url, '^.*/([^/]*/?)$', 1), '/') AS last_step,
+@query("""SELECT page_id, regexp_extract(regexp_replace(url, '/$', ''), '([^/]*)$', 1) AS last_step,
 CASE WHEN contains(url, '/en/') THEN trim(regexp_extract(url, '^.*/en/(.*)$', 1), '/') END AS after_en FROM pages""")
 def url_tail(spark, sf):
     url = c("url")
@@ -354,12 +354,10 @@ def parse_event_date(spark, sf):
 
 @query(f"""WITH p AS ({_PRINTED}), l AS (SELECT l_orderkey, CAST(min(l_shipdate) AS DATE) AS shipped, CAST(max(l_shipdate) AS DATE) AS last FROM lineitem GROUP BY 1),
 j AS (SELECT o_orderkey, printed, {_TRY_DATE.format('printed')} AS s, shipped, last, o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice < 100000) AS swapped
-      FROM p JOIN l ON l_orderkey = o_orderkey)
-SELECT o_orderkey, CASE WHEN swapped AND last = s THEN s WHEN NOT swapped THEN s END AS start_date,
-       CASE WHEN swapped AND last = s THEN s WHEN NOT swapped AND s IS NOT NULL THEN last END AS end_date,
-       CASE WHEN swapped THEN CASE WHEN s IS NULL THEN 'unreadable end date' WHEN s < last THEN 'end before start' END
-            WHEN s IS NULL THEN 'unreadable start date' END AS error
-FROM j WHERE last >= s OR s IS NULL""")
+      FROM p JOIN l ON l_orderkey = o_orderkey),
+e AS (SELECT o_orderkey, CASE WHEN swapped THEN last ELSE s END AS a, CASE WHEN swapped THEN s ELSE last END AS b FROM j),
+f AS (SELECT *, CASE WHEN a IS NULL THEN 'unreadable start date' WHEN b IS NULL THEN 'unreadable end date' WHEN b < a THEN 'end before start' END AS error FROM e)
+SELECT o_orderkey, CASE WHEN error IS NULL THEN a END AS start_date, CASE WHEN error IS NULL THEN b END AS end_date, error FROM f""")
 def parse_date_range(spark, sf):
     """Order date to last shipping date; cheap orders are printed the wrong way round."""
     last = read_table(spark, sf, "lineitem").groupBy(c("l_orderkey").alias("o_orderkey")).agg(

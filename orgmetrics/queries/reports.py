@@ -8,7 +8,7 @@ from orgmetrics.functions.fetch import classify_fetch
 from orgmetrics.operators import quality
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
-from orgmetrics.sources.tables import read_table
+from orgmetrics.queries.tables import read_table
 
 
 @query(f"""WITH {t.SECTIONS}, {t.ACTIVITIES}, {t.LINKS}

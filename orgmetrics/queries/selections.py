@@ -10,7 +10,7 @@ from orgmetrics.functions import dates
 from orgmetrics.operators import selection
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
-from orgmetrics.sources.tables import read_table
+from orgmetrics.queries.tables import read_table
 
 _SECTION = ["id", "name", "country_code", "can_scrape_activities", "last_scraped"]
 _SECTION_SQL = ", ".join(_SECTION)

@@ -9,7 +9,7 @@ from orgmetrics.operators.joins import lookup_join
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.sources.settings_json import page_statistics
-from orgmetrics.sources.tables import read_table
+from orgmetrics.queries.tables import read_table
 
 _NAMES = {"causes": "cause", "types": "type", "participants": "participant"}
 
@@ -189,8 +189,8 @@ def stats_recomputed(spark, sf):
 
 
 def _recent_overall(spark, sf):
-    """Overall statistics of the sections active since October 2001."""
-    recent = F.col("l_shipdate") >= F.lit("2001-10-01").cast("timestamp_ntz")
+    """Overall statistics of the sections active since 30 October 2001."""
+    recent = F.col("l_shipdate") >= F.lit("2001-10-30").cast("timestamp_ntz")
     zero = F.lit(0)
     return (
         read_table(spark, sf, "lineitem")
@@ -212,7 +212,7 @@ def _recent_overall(spark, sf):
 _RECENT = """recent AS (
   SELECT l_suppkey AS section_id, CAST(count(*) FILTER (l_linestatus <> 'O') AS INTEGER) AS physical_activities,
          CAST(count(*) FILTER (l_linestatus = 'O') AS INTEGER) AS online_activities
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-01' GROUP BY 1)"""
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-30' GROUP BY 1)"""
 
 
 @query(f"""WITH {t.SECTIONS}, {_RECENT}

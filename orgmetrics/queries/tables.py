@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgmetrics.functions.slugs import activities_slug
-from orgmetrics.sources.tables import read_table
+from orgmetrics.sources import tables as sources
 
 PREFIX = "supplier"
 BASE = "https://accounts.example.org"
@@ -18,6 +18,28 @@ AS_OF_DATE = "1998-06-15"
 AS_OF_TIME = "2024-02-15 00:00:00"
 
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
+def read_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return sources.read_table(spark, sf, name, SCHEMAS[name])
+
+
 def as_of_date() -> Column:
     return F.lit(AS_OF_DATE).cast("date")
 

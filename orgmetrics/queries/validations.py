@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orgmetrics.operators import validation
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
-from orgmetrics.sources.tables import read_table
+from orgmetrics.queries.tables import read_table
 
 c = F.col
 

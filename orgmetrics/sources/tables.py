@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orgmetrics.schemas import Table
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(
+    spark: SparkSession, folder: str, name: str, schema: str | T.StructType | None = None
+) -> DataFrame:
+    """Table ``name``; with its schema given, planning reads no file footers."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def empty_table(spark: SparkSession, table: Table) -> DataFrame:
