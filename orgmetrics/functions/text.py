@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Everything a Unicode-aware split on whitespace treats as a blank.
-_BLANK = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+# Everything a Unicode-aware split on whitespace treats as a blank.
+_BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(p) for p in range(0x2000, 0x200B)
+)
+BLANK = f"[{_BLANKS}]"
+# Runs of blanks that are not one plain space already: most blanks of a text need no change.
+_UNEVEN = f" {BLANK}+|[{_BLANKS.replace(' ', '')}]{BLANK}*"
 
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing blanks, Unicode blanks included."""
-    return F.regexp_replace(c, rf"^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def normalize_text(c: Column) -> Column:
     """Collapse runs of blanks to one space and trim."""
-    return F.trim(F.regexp_replace(c, f"{_BLANK}+", " "))
+    return F.trim(F.regexp_replace(c, _UNEVEN, " "))
 
 
 def normalize_country_code(c: Column) -> Column:

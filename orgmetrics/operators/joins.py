@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_SHARE = 1 / 256  # a key above this share of the rows is hot, so there are at most 256
+HOT_ROWS = 2_000_000  # rows of one key that a single task should not take alone
+HOT_KEYS = 1024  # at most this many keys are spread, the largest ones
 SALTS = 64
 
 
@@ -17,22 +18,27 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit > 0 and int(str(size)) <= limit
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows; fewer than ``1 / share`` by construction."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
-    total = df.agg(F.count("*").alias("n")).scalar()
-    return counts.filter(F.col("_rows") > total * share).select(*on)
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest keys of more than ``hot_rows`` rows, never more than ``HOT_KEYS`` of them."""
+    counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+    return counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS).select(*on)
 
 
 def lookup_join(
-    facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner", salts: int = SALTS
+    facts: DataFrame,
+    dim: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``facts.join(dim, on, how)`` for a ``dim`` with one row per key.
 
     ``how`` is one of inner, left, left_semi, left_anti. A ``dim`` under the broadcast limit is
     left to Catalyst. Beyond it both sides are shuffled, and a key that holds a large share of
     the facts (NULL included) would make one task do most of the work: its facts are spread over
-    ``salts`` tasks and its one ``dim`` row is copied to each.
+    ``salts`` tasks and its one ``dim`` row is copied to each. All other keys join as usual, so
+    the result is whole whichever keys count as hot.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim):
@@ -43,8 +49,8 @@ def lookup_join(
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()
-    # At most 1 / HOT_SHARE rows, so the broadcast is bounded.
-    hot = F.broadcast(hot_keys(facts, on).withColumn("_hot", F.lit(True)))
+    # HOT_KEYS rows at most, so the broadcast is bounded.
+    hot = F.broadcast(hot_keys(facts, on, hot_rows).withColumn("_hot", F.lit(True)))
     salted = (
         facts.join(hot, on, "left")
         .withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0))

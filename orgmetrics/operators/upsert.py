@@ -72,17 +72,16 @@ def upsert(
     if order_by:
         source = latest_per_key(source, keys, order_by)
     source = source.select(*keys, *update)
-    if fits_broadcast(source):
-        kept = _overwrite_matches(target, source, keys, update, as_of, touched)
+    small = fits_broadcast(source)
+    if not small and not id_column:
+        # A large batch: one shuffle of each side gives old, changed and new rows at once.
+        return _full_merge(target, source, keys, update, as_of, created, touched)
+    kept = _overwrite_matches(target, source, keys, update, as_of, touched)
+    if small:
         new = _without_match(source, target, keys)
     else:
-        # A large batch: one shuffle of each side answers both questions.
-        merged = _full_merge(target, source, keys, update, as_of, touched)
-        kept = merged.filter(F.col("_in_target")).select(*target.columns)
-        new = merged.filter(~F.col("_in_target")).select(*keys, *update)
-    return kept.unionByName(
-        _as_new_rows(new, target, keys, as_of, created, touched, id_column)
-    )
+        new = source.join(target.select(*keys), keys, "left_anti")
+    return kept.unionByName(_as_new_rows(new, target, keys, as_of, created, touched, id_column))
 
 
 def upsert_affected(
@@ -102,34 +101,32 @@ def upsert_affected(
     return hit.select(*keys, *update, action.alias("action"))
 
 
+def _fresh(source, keys, update) -> DataFrame:
+    values = F.struct(*update) if update else F.lit(None)
+    return source.select(*keys, values.alias("_new"), F.lit(True).alias("_hit"))
+
+
 def _overwrite_matches(target, source, keys, update, as_of, touched) -> DataFrame:
-    fresh = source.select(
-        *keys, F.struct(*update).alias("_new") if update else F.lit(None).alias("_new"),
-        F.lit(True).alias("_hit"),
-    )
-    return target.join(fresh, keys, "left").select(
-        *(_next_value(c, update, as_of, touched) for c in target.columns)
-    )
+    joined = target.join(_fresh(source, keys, update), keys, "left")
+    return joined.select(*(_next_value(c, update, as_of, touched) for c in target.columns))
 
 
 def _next_value(name, update, as_of, touched) -> Column:
+    value = F.col(name)
     if name in update:
-        value = F.when(F.col("_hit"), F.col(f"_new.{name}")).otherwise(F.col(name))
+        value = F.when(F.col("_hit"), F.col(f"_new.{name}")).otherwise(value)
     elif name == touched:
-        value = F.when(F.col("_hit"), as_of).otherwise(F.col(name))
-    else:
-        value = F.col(name)
+        value = F.when(F.col("_hit"), as_of).otherwise(value)
     return value.alias(name)
 
 
-def _full_merge(target, source, keys, update, as_of, touched) -> DataFrame:
-    old = target.withColumn("_in_target", F.lit(True))
-    fresh = source.select(*keys, F.struct(*update).alias("_new"), F.lit(True).alias("_hit"))
-    known = F.coalesce(F.col("_in_target"), F.lit(False))
-    return old.join(fresh, keys, "full_outer").select(
-        *(_next_value(c, update, as_of, touched) for c in target.columns),
-        known.alias("_in_target"),
-    )
+def _full_merge(target, source, keys, update, as_of, created, touched) -> DataFrame:
+    old = target.withColumn("_old", F.lit(True))
+    values = {c: _next_value(c, update, as_of, touched) for c in target.columns}
+    if created:
+        values[created] = F.when(F.col("_old"), F.col(created)).otherwise(as_of).alias(created)
+    joined = old.join(_fresh(source, keys, update), keys, "full_outer")
+    return joined.select(*(values[c] for c in target.columns))
 
 
 def _without_match(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

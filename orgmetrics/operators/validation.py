@@ -29,20 +29,20 @@ def validate(df: DataFrame, rules: Ruleset) -> DataFrame:
     """Cleaned rows plus ``errors`` (array of field_name, error_message) and ``is_valid``."""
     clean = {c: e for c, e in rules.clean.items() if c in df.columns}
     cleaned = df.select(*(clean[c].alias(c) if c in clean else F.col(c) for c in df.columns))
-    found = []
-    for field, checks in rules.checks:
-        if field not in df.columns:
-            continue
-        message = F.lit(None).cast("string")
-        for bad, text_ in reversed(checks):
-            message = F.when(F.coalesce(bad, F.lit(False)), text_).otherwise(message)
-        found.append((field, message))
-    structs = [F.struct(F.lit(f).alias("field_name"), m.alias("error_message")) for f, m in found]
-    errors = F.filter(F.array(*structs), lambda e: e["error_message"].isNotNull())
-    with_errors = cleaned.withColumn("errors", errors)
+    fields = [_first_error(f, checks) for f, checks in rules.checks if f in df.columns]
+    with_errors = cleaned.withColumn("errors", F.concat(*fields))
     return with_errors.withColumn("is_valid", F.size("errors") == 0)
 
 
+def _first_error(field: str, checks: list[tuple[Column, str]]) -> Column:
+    """Array with the first failing check of a field, empty when all hold (NULL holds)."""
+    found = F.array().cast("array<struct<field_name:string,error_message:string>>")
+    for bad, message in reversed(checks):
+        error = F.struct(F.lit(field).alias("field_name"), F.lit(message).alias("error_message"))
+        found = F.when(bad, F.array(error)).otherwise(found)
+    return found
+
+
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows without the error column, invalid rows with it)."""
     return (
@@ -61,16 +61,26 @@ def error_rows(
     """Error-log rows, one per failing field, with the offending row as JSON."""
     data = [c for c in validated.columns if c not in ("errors", "is_valid")]
     none = F.lit(None)
-    return validated.select(
+    return exploded_errors(
+        validated,
         (none if section_id is None else section_id).cast("bigint").alias("section_id"),
         (none if event_slug is None else event_slug).cast("string").alias("activity_event_slug"),
         F.to_json(F.struct(*data)).alias("raw_data"),
         F.lit(module).alias("scraper_module"),
         as_of.cast("timestamp_ntz").alias("created_at"),
-        F.inline("errors"),
     )
 
 
+def exploded_errors(validated: DataFrame, *columns: str | Column) -> DataFrame:
+    """The given columns with field_name and error_message, one row per failing field.
+
+    The outer form, filtered afterwards: a plain ``inline`` makes the optimizer add a filter on
+    the size of ``errors`` below it, which evaluates every rule a second time.
+    """
+    rows = validated.select(*columns, F.inline_outer("errors"))
+    return rows.filter(F.col("field_name").isNotNull())
+
+
 def validation_summary(validated: DataFrame) -> DataFrame:
     """One row: how many of how many rows are valid."""
     return validated.agg(

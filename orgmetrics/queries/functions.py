@@ -8,9 +8,16 @@ from orgmetrics.functions import dates, geo, slugs, text, urls
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
+from orgmetrics.sources.tables import spread
 
 c = F.col
 
+
+def _documents(spark, sf):
+    """Texts take real work per row, so a small file is spread over the cores first."""
+    return spread(read_table(spark, sf, "documents"))
+
+
 # RE2 spelling of the blanks that a Unicode-aware split knows.
 _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
@@ -29,7 +36,7 @@ UNION ALL SELECT s_suppkey, 'supplier', {_slug_sql("'net ' || s_name")} FROM sup
 UNION ALL SELECT p_partkey, 'part', {_slug_sql("'net ' || p_name || ' ' || p_brand")} FROM part""")
 def slug_activities(spark, sf):
     """Names of suppliers and parts, and document names closed by a digest of their text."""
-    docs = read_table(spark, sf, "documents").select(
+    docs = _documents(spark, sf).select(
         c("doc_id").alias("id"),
         F.lit("document").alias("kind"),
         F.concat_ws(" ", "lang", "source", F.substring(F.md5(c("text")), 1, 8)).alias("name"),
@@ -108,8 +115,8 @@ SELECT doc_id, count(*) AS n_words, count(*) FILTER (regexp_full_match(replace(r
 FROM words GROUP BY 1""")
 def slug_lenient_valid(spark, sf):
     """Every word of every document as a slug."""
-    words = read_table(spark, sf, "documents").select(
-        "doc_id", F.explode(F.split(F.regexp_replace("text", rf"{text._BLANK}+", " "), " ")).alias("word")
+    words = _documents(spark, sf).select(
+        "doc_id", F.explode(F.split(F.regexp_replace("text", f"{text.BLANK}+", " "), " ")).alias("word")
     )
     valid = slugs.lenient_slug_valid(c("word"))
     return words.groupBy("doc_id").agg(
@@ -119,7 +126,7 @@ def slug_lenient_valid(spark, sf):
 
 @query(rf"SELECT doc_id, trim(regexp_replace(text, '{_BLANK}+', ' ', 'g')) AS text FROM documents")
 def normalize_text(spark, sf):
-    rows = read_table(spark, sf, "documents")
+    rows = _documents(spark, sf)
     return rows.select("doc_id", text.normalize_text(c("text")).alias("text"))
 
 
@@ -132,7 +139,7 @@ def normalize_country_code(spark, sf):
         .otherwise(F.concat("lang", F.substring("source", 4, 1)))
     )
     padded = F.concat(F.lit(" "), code, F.lit("\t"))
-    rows = read_table(spark, sf, "documents")
+    rows = _documents(spark, sf)
     return rows.select(
         "doc_id",
         text.normalize_country_code(padded).alias("code"),
@@ -181,7 +188,7 @@ def url_resolve(spark, sf):
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)""")
 def digits_to_int(spark, sf):
     """Every line of every document."""
-    lines = read_table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = _documents(spark, sf).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.select("doc_id", text.digits_to_int(c("line")).alias("n"))
 
 
@@ -223,7 +230,7 @@ SELECT doc_id, coalesce((SELECT array_to_string(list_filter(list_transform(strin
        lambda x: regexp_replace(x, '^{_BLANK}+|{_BLANK}+$', '', 'g')), lambda x: x <> ''), ', ')), '') AS joined FROM documents d""")
 def join_nonempty(spark, sf):
     """The non-empty lines of every document on one line."""
-    rows = read_table(spark, sf, "documents")
+    rows = _documents(spark, sf)
     return rows.select("doc_id", text.join_nonempty(F.split("text", "\n"), ", ").alias("joined"))
 
 
@@ -234,7 +241,7 @@ SELECT d.doc_id, count(word) AS n_items, md5(coalesce(string_agg(word, ' ' ORDER
 FROM documents d LEFT JOIN f USING (doc_id) GROUP BY 1""")
 def clean_list(spark, sf):
     """Words of every document as a list: trimmed, distinct, first of equals kept."""
-    rows = read_table(spark, sf, "documents")
+    rows = _documents(spark, sf)
     cleaned = text.clean_list(F.split("text", " "))
     listed = rows.select("doc_id", cleaned.alias("items"))
     return listed.select(
@@ -289,7 +296,7 @@ FROM w GROUP BY 1 UNION ALL
 SELECT -1 - page_id, CASE WHEN regexp_matches(url, '^https?://[^\s/?#]+([/?#].*)?$') THEN 1 ELSE 0 END, 0 FROM pages""")
 def email_url_valid(spark, sf):
     """Every word of every document, and every page address."""
-    words = read_table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "[ \n\t\r]+")).alias("word"))
+    words = _documents(spark, sf).select("doc_id", F.explode(F.split("text", "[ \n\t\r]+")).alias("word"))
     words = words.filter("word <> ''")
     counted = words.groupBy("doc_id").agg(
         F.count_if(urls.http_url_valid(c("word"))).alias("n_urls"), F.count_if(urls.email_valid(c("word"))).alias("n_emails")
@@ -306,7 +313,7 @@ def email_url_valid(spark, sf):
 UNION ALL SELECT -1 - c_custkey, sha256(c_name), NULL FROM customer""")
 def mask_personal(spark, sf):
     """Addresses inside texts, and names as digests."""
-    docs = read_table(spark, sf, "documents").select(
+    docs = _documents(spark, sf).select(
         c("doc_id").alias("id"), text.mask_identity(c("source")).alias("owner"), text.mask_emails(c("text")).alias("text")
     )
     people = read_table(spark, sf, "customer").select(

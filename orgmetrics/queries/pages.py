@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from orgmetrics.functions import urls
 from orgmetrics.operators import extraction
+from orgmetrics.operators.validation import Ruleset, activity_rules
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.functions import _slug_sql
 from orgmetrics.queries.registry import query
+from orgmetrics.session import shared_dir
 from orgmetrics.sources.pages import has_html_element
+from orgmetrics.streaming.incremental import current_rows, ingest_available
 from orgmetrics.queries.tables import read_table
 
 c = F.col
@@ -280,3 +285,30 @@ def page_fanout(spark, sf):
     return landed.select(*shown, "page_id", F.lit(True).alias("landed")).unionByName(
         missing.select(*shown, F.lit(None).cast("bigint").alias("page_id"), F.lit(False).alias("landed"))
     )
+
+
+@query(f"""WITH {_LINKS},
+e AS (SELECT page_id, position, {_ROOT} || href AS activity_url, trim(href, '/') AS event_slug FROM parts WHERE href LIKE '%/%'),
+v AS (SELECT *, lower(event_slug) AS slug FROM e
+      WHERE event_slug <> '' AND regexp_full_match(replace(replace(lower(event_slug), '-', ''), '_', ''), '[\\p{{L}}\\p{{N}}]+'))
+SELECT slug AS event_slug, arg_max(activity_url, (page_id, position)) AS url, max(page_id) AS page_id
+FROM v GROUP BY 1""")
+def incremental_ingest(spark, sf):
+    """The landed pages as a stream of files: cards extracted, checked and kept up to date."""
+    state = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
+
+    def extract(pages):
+        cards = extraction.extract_activity_links(pages, PLAIN, base=c("url"))
+        return cards.select("event_slug", c("activity_url").alias("url"), "page_id", "position")
+
+    # A pattern fits a single file as well as a folder of files.
+    ingest_available(spark, f"{sf}/pages*.parquet", state, extract, _card_rules())
+    current = current_rows(spark, state, ["event_slug"], ["page_id", "position"])
+    return current.select("event_slug", "url", "page_id")
+
+
+def _card_rules():
+    """The rules of an activity that a card already has the fields for."""
+    rules = activity_rules()
+    wanted = ("event_slug", "url")
+    return Ruleset(rules.clean, [(f, checks) for f, checks in rules.checks if f in wanted])

@@ -8,13 +8,14 @@ from orgmetrics.operators import validation
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
+from orgmetrics.sources.tables import spread
 
 c = F.col
 
 
 def _errors(validated, key):
     """(key, field, message) of every failing field."""
-    return validated.select(key, F.inline("errors"))
+    return validation.exploded_errors(validated, key)
 
 
 _KNOWN_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
@@ -27,7 +28,7 @@ def _raw_activities(spark, sf):
     )
     price = c("o_totalprice")
     return (
-        read_table(spark, sf, "orders")
+        spread(read_table(spark, sf, "orders"))
         .join(last, "o_orderkey", "left")
         .select(
             c("o_orderkey").alias("id"),

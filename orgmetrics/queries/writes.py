@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orgmetrics.operators import integrity, quality, retention, statistics, upsert
+from orgmetrics.operators import integrity, quality, retention, upsert
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
@@ -176,41 +176,40 @@ SELECT table_name, section_id, name,
        CASE WHEN new.section_id IS NULL THEN TIMESTAMP '1995-01-01' ELSE TIMESTAMP '{t.AS_OF_TIME}' END AS scraped_at
 FROM old FULL JOIN new USING (table_name, section_id, name)""")
 def upsert_section_stats(spark, sf):
-    """The four statistics tables, each with its own key, shown as one."""
+    """The four statistics tables under one key that starts with the table's name."""
     from orgmetrics.queries.statistics import activity_rows
 
-    rows = activity_rows(spark, sf).withColumn("overall", F.lit("all"))
-    old = rows.filter("l_shipdate < TIMESTAMP_NTZ '1999-01-01'")
-    new = rows.filter("l_shipdate >= TIMESTAMP_NTZ '1997-01-01'")
-
-    def counted(side, column, stamp):
-        found = statistics.recomputed_statistics(side, "section_id", column, F.col("online"))
-        return found.select(
-            "section_id",
-            column,
-            F.col("physical_count").cast("int").alias("physical_count"),
-            F.col("online_count").cast("int").alias("online_count"),
-            stamp.alias("scraped_at"),
+    key = ["table_name", "section_id", "name"]
+    names = {"causes": "cause", "types": "type", "participants": "participant"}
+    facets = F.array(
+        F.struct(F.lit("overall").alias("table_name"), F.lit("all").alias("name")),
+        *(F.struct(F.lit(k).alias("table_name"), F.col(v).alias("name")) for k, v in names.items()),
+    )
+    shipped = F.col("l_shipdate")
+    is_old = shipped < F.lit("1999-01-01").cast("timestamp_ntz")
+    is_new = shipped >= F.lit("1997-01-01").cast("timestamp_ntz")
+    # One pass over the lines counts both sides for every combination; the four tables share it.
+    counted = activity_rows(spark, sf).groupBy("section_id", *names.values(), "online").agg(
+        F.count_if(is_old).alias("old"), F.count_if(is_new).alias("new")
+    )
+    sums = {
+        f"{side}_{kind}": F.sum(F.when(F.col("online") == (kind == "online"), F.col(side)).otherwise(0))
+        for side in ("old", "new")
+        for kind in ("physical", "online")
+    }
+    long = counted.select("section_id", "online", "old", "new", F.inline(facets))
+    per_name = long.groupBy(*key).agg(*(v.cast("int").alias(k) for k, v in sums.items()))
+
+    def side(name, stamp):
+        physical, online = F.col(f"{name}_physical"), F.col(f"{name}_online")
+        return per_name.filter(physical + online > 0).select(
+            *key, physical.alias("physical_count"), online.alias("online_count"), stamp.alias("scraped_at")
         )
 
-    result = None
-    names = {"overall": "overall", "causes": "cause", "types": "type", "participants": "participant"}
-    for table, column in names.items():
-        update = ["physical_count", "online_count", "scraped_at"]
-        merged = upsert.upsert(
-            counted(old, column, _OLD),
-            counted(new, column, _NOW()),
-            ["section_id", column],
-            update,
-            _NOW(),
-            created=None,
-            touched=None,
-        )
-        shown = merged.select(
-            F.lit(table).alias("table_name"), "section_id", F.col(column).alias("name"), *update
-        )
-        result = shown if result is None else result.unionByName(shown)
-    return result
+    update = ["physical_count", "online_count", "scraped_at"]
+    return upsert.upsert(
+        side("old", _OLD), side("new", _NOW()), key, update, _NOW(), created=None, touched=None
+    )
 
 
 @query("""SELECT l_partkey, l_orderkey, l_linenumber, l_shipdate, l_suppkey, l_quantity FROM (

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orgmetrics.sources.tables import spread
+
 # Elements that never have content, elements whose text is not page text,
 # attributes that the selectors' users read.
 _VOID = frozenset(
@@ -136,7 +138,7 @@ def match_nodes(pages: DataFrame, selectors: dict[str, str], html: str = "html")
     """Replace the ``html`` column by ``nodes``: every element that one of the selectors matches.
 
     Supported: tag, class, compound class, descendant, ``[a]``, ``[a="v"]``, ``[a*="v"]``.
-    Each page is read once whatever the number of selectors, and no shuffle happens.
+    Each page is read once whatever the number of selectors; only small inputs are shuffled.
     ``start``/``stop`` number the elements in document order: B lies in A when
     ``A.start < B.start <= A.stop``.
     """
@@ -153,7 +155,7 @@ def match_nodes(pages: DataFrame, selectors: dict[str, str], html: str = "html")
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html]
     schema = ", ".join([*fields, f"nodes {NODES_DDL}"])
-    return pages.select(*keep, html).mapInArrow(read, schema)
+    return spread(pages.select(*keep, html)).mapInArrow(read, schema)
 
 
 def nodes_of(label: str) -> Column:
