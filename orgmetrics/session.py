@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="orgmetrics-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _scratch_dir()
+
+
+@lru_cache(maxsize=1)
+def _scratch_dir() -> str:
+    return tempfile.mkdtemp(prefix="orgmetrics-")
