@@ -19,6 +19,14 @@ _DATE_SHAPES = (
 )
 
 
+_RANGE_ERRORS = (
+    "not a date range",
+    "unreadable start date",
+    "unreadable end date",
+    "end before start",
+)
+
+
 def parse_event_date(c: Column) -> Column:
     """First matching shape as a date; unreadable or impossible dates give NULL."""
     text = strip(c)
@@ -41,29 +49,20 @@ def parse_date_range(c: Column) -> Column:
     tight = F.split(text, "-")
     parts = F.when(F.size(spaced) > 1, spaced).when(F.size(tight) == 2, tight)
     parts = F.coalesce(parts, F.array(text))
-    # Read each part once: the rules below look at both dates several times.
-    days = F.transform(parts, lambda p: F.struct(parse_event_date(p).alias("day")))
-    read = F.array(
-        F.struct(
-            F.size(days).alias("n"),
-            F.try_element_at(days, F.lit(1))["day"].alias("start"),
-            F.try_element_at(days, F.lit(2))["day"].alias("end"),
-        )
-    )
-    return F.transform(read, _range_of)[0]
-
-
-def _range_of(read: Column) -> Column:
-    start, end = read["start"], read["end"]
-    error = (
-        F.when(read["n"] > 2, "not a date range")
-        .when(start.isNull(), "unreadable start date")
-        .when((read["n"] == 2) & end.isNull(), "unreadable end date")
-        .when(end < start, "end before start")
+    start = parse_event_date(F.try_element_at(parts, F.lit(1)))
+    end = parse_event_date(F.try_element_at(parts, F.lit(2)))
+    # All rules are evaluated side by side, so that each date is read once and then reused.
+    broken = F.array(
+        F.size(parts) > 2,
+        start.isNull(),
+        (F.size(parts) == 2) & end.isNull(),
+        F.coalesce(end < start, F.lit(False)),
     )
+    first = F.array_position(broken, F.lit(True)).cast("int")
+    error = F.try_element_at(F.array(*map(F.lit, _RANGE_ERRORS)), F.nullif(first, F.lit(0)))
     return F.struct(
-        F.when(error.isNull(), start).alias("start_date"),
-        F.when(error.isNull(), end).alias("end_date"),
+        F.when(first == 0, start).alias("start_date"),
+        F.when(first == 0, end).alias("end_date"),
         error.alias("error"),
     )
 

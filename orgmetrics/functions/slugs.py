@@ -60,7 +60,8 @@ def fold_accents(c: Column) -> Column:
 def slugify(c: Column) -> Column:
     """ASCII letters and digits joined by single dashes."""
     text = F.lower(fold_accents(F.lower(c)))
-    text = F.regexp_replace(text, r"(?<=\d),(?=\d)", "")
+    thousands = F.regexp_replace(text, r"(?<=\d),(?=\d)", "")
+    text = F.when(text.contains(","), thousands).otherwise(text)
     text = F.regexp_replace(text, "[^a-z0-9]+", "-")
     return F.trim(text, F.lit("-"))
 

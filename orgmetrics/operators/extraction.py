@@ -309,9 +309,10 @@ def extract_activities(pages: DataFrame, site: Site, as_of: Column) -> DataFrame
 def page_fanout(
     sections: DataFrame, pages: DataFrame, site: Site, last_pages: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(listing pages found, listing page urls that never landed) for every section's page range.
+    """(listing pages found, listing pages that never landed) for every section's page range.
 
-    ``sections`` holds ``activities_platform_slug``, ``last_pages`` the last page by slug.
+    ``sections`` holds ``activities_platform_slug``, ``last_pages`` the last page by slug. Pass
+    ``pages`` without their text: only addresses are compared.
     """
     slug = "activities_platform_slug"
     chunks = page_chunks(sections.join(last_pages, slug))
@@ -319,18 +320,12 @@ def page_fanout(
     wanted = wanted.withColumn(
         "url", urls.listing_page_url(site.activities_url, F.col(slug), F.col("page"))
     )
-    landed = wanted.join(pages, "url")
-    missing = wanted.join(pages.select("url"), "url", "left_anti")
-    return landed, missing
-
+    landed = lookup_join(pages, wanted, "url")
+    return landed, wanted.join(pages.select("url").distinct(), "url", "left_anti")
 
-def detail_pages(links: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(detail pages of the linked activities, links whose page never landed).
 
-    Several sections may list one activity: its page is joined, and later parsed, once.
-    """
-    wanted = links.groupBy(F.col("activity_url").alias("url")).agg(
+def linked_activities(cards: DataFrame) -> DataFrame:
+    """Each linked detail page once, however many sections list it."""
+    return cards.groupBy(F.col("activity_url").alias("url")).agg(
         F.min("event_slug").alias("event_slug")
     )
-    landed = lookup_join(pages, wanted, "url")
-    return landed, wanted.join(pages.select("url"), "url", "left_anti")

@@ -12,10 +12,18 @@ SALTS = 64
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate is under the session's own broadcast limit."""
+    """Whether ``df`` is expected under the session's own broadcast limit.
+
+    Catalyst takes the product of the sides as the size of a join, so a small table joined to a
+    smaller one counts as huge; the inputs' total is a second estimate and the lower one counts.
+    This only picks the shape of a plan. What is broadcast in the end is decided by Catalyst and
+    by the sizes AQE measures, never by a hint.
+    """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return limit > 0 and int(str(size)) <= limit
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    inputs = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return limit > 0 and min(int(str(plan.stats().sizeInBytes())), inputs) <= limit
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:

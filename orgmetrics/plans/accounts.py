@@ -13,7 +13,7 @@ from orgmetrics.operators import extraction, quality, selection, upsert, validat
 from orgmetrics.operators.extraction import Site
 from orgmetrics.operators.joins import lookup_join
 from orgmetrics.plans.stage import Stage
-from orgmetrics.sources.pages import page_gate
+from orgmetrics.sources.pages import from_latest, page_gate
 from orgmetrics.sources.tables import conform
 
 
@@ -90,7 +90,7 @@ def accounts_run(
 
 def _countries(pages: DataFrame, site: Site) -> DataFrame:
     root = pages.filter(F.regexp_replace("url", "/+$", "") == F.lit(site.accounts_url))
-    found = extraction.extract_countries(root.select("url", "html"), site)
+    found = from_latest(extraction.extract_countries(root, site), root)
     rows = found.select(
         "country_code",
         "name",
@@ -103,24 +103,25 @@ def _countries(pages: DataFrame, site: Site) -> DataFrame:
 
 
 def _listing(pages: DataFrame, countries: DataFrame, site: Site) -> DataFrame:
-    """Sections of every country page, the last link of a section counting."""
-    address = F.concat(F.lit(site.accounts_url + site.country_marker), F.lower("country_code"))
-    wanted = countries.select(address.alias("url"), "country_code")
-    country_pages = lookup_join(pages, wanted, "url").select("url", "country_code", "html")
-    found = extraction.extract_sections(country_pages, site, F.col("country_code"))
-    rows = found.drop("section_country")
+    """Sections of the listed countries' pages, the last link of a section counting."""
+    country_pages = pages.filter(F.col("url").startswith(site.accounts_url + site.country_marker))
+    code = F.upper(urls.url_tail(F.col("url"), site.country_marker))
+    found = from_latest(extraction.extract_sections(country_pages, site, code), country_pages)
+    rows = found.withColumnRenamed("section_country", "country_code")
+    rows = lookup_join(rows, countries.select("country_code"), "country_code", "left_semi")
     rows = upsert.latest_per_key(rows, ["accounts_platform_slug"], ["url", "position"])
-    return rows.drop("url", "position")
+    return rows.drop("url", "position", "page_id")
 
 
 def _details(pages: DataFrame, site: Site) -> DataFrame:
     marker = site.accounts_url + site.section_marker
-    section_pages = pages.filter(F.col("url").startswith(marker)).select("url", "html")
+    section_pages = pages.filter(F.col("url").startswith(marker))
     found = extraction.extract_section_details(section_pages, site)
     key = urls.url_tail(F.col("url"), site.section_marker)
     rows = found.withColumn("accounts_platform_slug", key)
     # A section page landed twice would double the section.
-    return upsert.latest_per_key(rows, ["accounts_platform_slug"], ["url"]).drop("url")
+    rows = upsert.latest_per_key(rows, ["accounts_platform_slug"], ["page_id"])
+    return rows.drop("url", "page_id")
 
 
 def _reachable(sections: DataFrame, answers: DataFrame, site: Site) -> DataFrame:

@@ -22,7 +22,7 @@ from orgmetrics.operators import (
 from orgmetrics.operators.extraction import Site
 from orgmetrics.operators.joins import lookup_join
 from orgmetrics.plans.stage import Stage
-from orgmetrics.sources.pages import page_gate
+from orgmetrics.sources.pages import from_latest, only_wanted, page_gate
 from orgmetrics.sources.settings_json import page_statistics
 
 SLUG = "activities_platform_slug"
@@ -57,12 +57,18 @@ def activities_run(
     )
     queue = stage.table(queue.select("id", "name", SLUG), "queue")
 
-    landed, missing_listing = _listing_pages(queue, good, site, stage)
-    cards = stage.table(
-        extraction.extract_activity_links(landed.select("id", "url", "html"), site), "cards"
-    )
-    detail, missing_detail = extraction.detail_pages(cards, good.select("url", "html"))
-    parsed = extraction.extract_activities(detail.select("url", "event_slug", "html"), site, as_of)
+    listing = good.filter(F.col("url").startswith(site.activities_url + "/organisation/"))
+    landed, missing_listing = _listing_pages(queue, listing, site, stage)
+    landed = stage.table(landed, "landed")
+    cards = extraction.extract_activity_links(only_wanted(listing, landed), site)
+    cards = from_latest(cards, listing).drop("page_id")
+    cards = stage.table(lookup_join(cards, landed.select("url", "id"), "url"), "cards")
+
+    events = good.filter(F.col("url").startswith(site.activities_url + site.activity_marker))
+    linked = extraction.linked_activities(cards)
+    missing_detail = linked.join(events.select("url").distinct(), "url", "left_anti")
+    parsed = extraction.extract_activities(only_wanted(events, linked), site, as_of)
+    parsed = lookup_join(from_latest(parsed, events).drop("page_id"), linked, "url")
     # One event may be reachable under two addresses.
     parsed = upsert.latest_per_key(parsed, ["event_slug"], ["url"])
     checked = stage.table(validation.validate_activities(parsed, as_of), "activities")
@@ -91,19 +97,20 @@ def activities_run(
     return ActivitiesRun(tables, errors, failed, quality.activities_gate(summary))
 
 
-def _listing_pages(queue, pages, site, stage) -> tuple[DataFrame, DataFrame]:
-    """(landed listing pages with their section, wanted listing pages that are missing)."""
+def _listing_pages(queue, listing, site, stage) -> tuple[DataFrame, DataFrame]:
+    """(addresses of landed listing pages with their section, wanted ones that are missing)."""
     first = queue.select(
         SLUG, urls.listing_page_url(site.activities_url, F.col(SLUG), F.lit(0)).alias("url")
     )
-    first_pages = lookup_join(pages.select("url", "html"), first, "url")
-    last = extraction.last_page_number(first_pages.select(SLUG, "html"), site)
+    last = extraction.last_page_number(only_wanted(listing, first), site)
+    last = lookup_join(from_latest(last, listing), first, "url").select(SLUG, "last_page")
     # A section without a first page still asks for it, so that the gap is logged.
     ranges = queue.select(SLUG).join(last, SLUG, "left").select(
         SLUG, F.coalesce("last_page", F.lit(0)).alias("last_page")
     )
     ranges = stage.table(ranges, "ranges")
-    return extraction.page_fanout(queue, pages.select("url", "html"), site, ranges)
+    addresses = listing.select("url").distinct()
+    return extraction.page_fanout(queue, addresses, site, ranges)
 
 
 def _known_countries(checked, countries, as_of) -> tuple[DataFrame, DataFrame]:
@@ -148,8 +155,11 @@ def _statistics(queue, pages, stored, site, as_of, stage) -> dict[str, DataFrame
         F.col("id").alias("section_id"),
         urls.statistics_url(site.activities_url, F.col(SLUG)).alias("url"),
     )
-    landed = lookup_join(pages.select("url", "html"), wanted, "url")
-    parsed = landed.select("section_id", page_statistics(F.col("html")).alias("stats"))
+    ours = pages.filter(F.col("url").rlike("/organisation/[^/]+/statistics$"))
+    parsed = only_wanted(ours, wanted).select(
+        "page_id", "url", page_statistics(F.col("html")).alias("stats")
+    )
+    parsed = lookup_join(from_latest(parsed, ours), wanted, "url").select("section_id", "stats")
     parsed = stage.table(parsed, "statistics")
     overall = statistics.overall_statistics(parsed)
     sections = queue.select(F.col("id").alias("section_id"))

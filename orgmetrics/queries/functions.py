@@ -346,7 +346,7 @@ def _printed(spark, sf):
         .when(status == "O", F.date_format(day, "MMMM dd, yyyy"))
         .otherwise(F.concat(F.lit("31/02/"), F.date_format(day, "yyyy")))
     )
-    return read_table(spark, sf, "orders").select(
+    return spread(read_table(spark, sf, "orders")).select(
         "o_orderkey", day.cast("date").alias("day"), printed.alias("printed")
     )
 
@@ -374,7 +374,8 @@ def parse_date_range(spark, sf):
     rows = _printed(spark, sf).join(last, "o_orderkey").join(cheap, "o_orderkey")
     shipped = F.date_format("_last", "dd/MM/yyyy")
     pair = F.when(c("_swapped"), F.concat_ws(" - ", shipped, "printed")).otherwise(F.concat_ws(" - ", "printed", shipped))
-    parsed = rows.select("o_orderkey", dates.parse_date_range(pair).alias("r"))
+    rows = rows.select("o_orderkey", pair.alias("pair"))
+    parsed = rows.select("o_orderkey", dates.parse_date_range(c("pair")).alias("r"))
     return parsed.select("o_orderkey", "r.start_date", "r.end_date", "r.error")
 
 

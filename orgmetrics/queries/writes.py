@@ -9,10 +9,14 @@ from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
 
-_OLD = F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
 _NOW = t.as_of_time
 
 
+def _old():
+    """Stamp of the rows that are stored already."""
+    return t.as_of_time("1995-01-01 00:00:00")
+
+
 @query(f"""WITH {t.SECTIONS},
 target AS (SELECT country_code, upper(name) AS name, slug, url, 0 AS section_count,
                   TIMESTAMP '1995-01-01' AS created_at, TIMESTAMP '1995-01-01' AS updated_at
@@ -37,8 +41,8 @@ def upsert_countries(spark, sf):
         "slug",
         "url",
         F.lit(0).alias("section_count"),
-        _OLD.alias("created_at"),
-        _OLD.alias("updated_at"),
+        _old().alias("created_at"),
+        _old().alias("updated_at"),
     )
     counts = quality.section_counts(base, t.sections(spark, sf, visits=False))
     source = base.filter("n_regionkey <> 1").withColumn(
@@ -83,8 +87,8 @@ def upsert_sections(spark, sf):
             F.lit("old").alias("city"),
             F.lit("http://old.example.org").alias("website"),
             "last_scraped",
-            _OLD.alias("created_at"),
-            _OLD.alias("updated_at"),
+            _old().alias("created_at"),
+            _old().alias("updated_at"),
         )
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
@@ -121,7 +125,7 @@ def _activity_sides(spark, sf):
     """An older snapshot and a newer crawl that overlap by two years."""
     rows = t.activities(spark, sf)
     target = rows.filter("start_date < DATE '2000-01-01'").select(
-        "event_slug", *_ACTIVITY_COLUMNS, _OLD.alias("created_at"), "updated_at"
+        "event_slug", *_ACTIVITY_COLUMNS, _old().alias("created_at"), "updated_at"
     )
     source = rows.filter("start_date >= DATE '1998-01-01'").withColumn(
         "participants", F.when(F.col("is_valid"), F.col("participants") * 2)
@@ -208,7 +212,7 @@ def upsert_section_stats(spark, sf):
 
     update = ["physical_count", "online_count", "scraped_at"]
     return upsert.upsert(
-        side("old", _OLD), side("new", _NOW()), key, update, _NOW(), created=None, touched=None
+        side("old", _old()), side("new", _NOW()), key, update, _NOW(), created=None, touched=None
     )
 
 
@@ -267,7 +271,7 @@ def update_section_count(spark, sf):
     """Counts include countries whose sections are gone: they are set to 0."""
     base = t.countries(spark, sf)
     target = base.select(
-        "country_code", "name", F.lit(-1).alias("section_count"), _OLD.alias("updated_at")
+        "country_code", "name", F.lit(-1).alias("section_count"), _old().alias("updated_at")
     )
     counts = quality.section_counts(base, t.sections(spark, sf, visits=False))
     return upsert.set_from(target, counts, "country_code", "section_count", _NOW(), "updated_at")

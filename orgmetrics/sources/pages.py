@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orgmetrics.operators.joins import fits_broadcast, lookup_join
 from orgmetrics.schemas import PAGE_DDL
 
 
@@ -23,3 +24,24 @@ def page_gate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         *(c for c in pages.columns if c != "html"), F.lit("no html element").alias("error_message")
     )
     return pages.filter(good), rejected
+
+
+def only_wanted(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Drop pages whose ``url`` is not wanted, where that is free.
+
+    A short list of addresses is broadcast and saves the parsing of all other pages. A long one
+    would shuffle the pages' text, so then every page is parsed and the far smaller parsed rows
+    are joined instead: callers always join the rows to ``wanted`` afterwards.
+    """
+    addresses = wanted.select("url").distinct()
+    return pages.join(addresses, "url", "left_semi") if fits_broadcast(addresses) else pages
+
+
+def from_latest(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows parsed from the last landed copy of each address.
+
+    ``rows`` carry ``url`` and ``page_id`` of their page; the copies are compared by these two
+    alone, so no text is shuffled.
+    """
+    latest = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    return lookup_join(rows, latest, ["url", "page_id"], "left_semi")

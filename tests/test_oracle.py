@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__
@@ -52,3 +56,9 @@ def test_query_equals_sql_without_broadcast(spark, no_broadcast, sql, name):
 
 def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_registry_loads_without_a_session():
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and e.oracle_sql()"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], timeout=120)
+    assert done.returncode == 0

@@ -60,7 +60,10 @@ PAGES = {
 
 @pytest.fixture(scope="module")
 def pages(spark):
-    return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(PAGES.items())], PAGE_DDL)
+    """Every page, and an older copy of each that must not count."""
+    old = [(i, u, "<html><h1>Older copy</h1></html>") for i, u in enumerate(PAGES)]
+    new = [(i + len(old), u, h) for i, (u, h) in enumerate(PAGES.items())]
+    return spark.createDataFrame(old + new, PAGE_DDL)
 
 
 @pytest.fixture(scope="module")
