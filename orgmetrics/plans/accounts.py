@@ -12,7 +12,7 @@ from orgmetrics.functions import urls
 from orgmetrics.operators import extraction, quality, selection, upsert, validation
 from orgmetrics.operators.extraction import Site
 from orgmetrics.operators.joins import lookup_join
-from orgmetrics.plans.stage import Stage
+from orgmetrics.plans.stage import Stage, run_status
 from orgmetrics.sources.pages import from_latest, page_gate
 from orgmetrics.sources.tables import conform
 
@@ -24,6 +24,7 @@ class AccountsRun:
     validation_errors: DataFrame
     rejected_pages: DataFrame
     summary: DataFrame
+    status: DataFrame
 
 
 def accounts_run(
@@ -85,7 +86,9 @@ def accounts_run(
     summary = quality.accounts_gate(
         quality.accounts_run_summary(found_countries, found_sections, errors)
     )
-    return AccountsRun(next_countries, next_sections, errors, rejected, summary)
+    summary = stage.table(summary, "summary")
+    status = run_status(summary, "accounts", as_of)
+    return AccountsRun(next_countries, next_sections, errors, rejected, summary, status)
 
 
 def _countries(pages: DataFrame, site: Site) -> DataFrame:

@@ -21,7 +21,7 @@ from orgmetrics.operators import (
 )
 from orgmetrics.operators.extraction import Site
 from orgmetrics.operators.joins import lookup_join
-from orgmetrics.plans.stage import Stage
+from orgmetrics.plans.stage import Stage, run_status
 from orgmetrics.sources.pages import from_latest, only_wanted, page_gate
 from orgmetrics.sources.settings_json import page_statistics
 
@@ -36,6 +36,7 @@ class ActivitiesRun:
     validation_errors: DataFrame
     failed_scrapes: DataFrame
     summary: DataFrame
+    status: DataFrame
 
 
 def activities_run(
@@ -94,7 +95,10 @@ def activities_run(
     summary = quality.activity_run_summary(
         done, cards, found_statistics["section_overall_statistics"], failed
     )
-    return ActivitiesRun(tables, errors, failed, quality.activities_gate(summary))
+    summary = stage.table(quality.activities_gate(summary), "summary")
+    return ActivitiesRun(
+        tables, errors, failed, summary, run_status(summary, "activities", as_of)
+    )
 
 
 def _listing_pages(queue, listing, site, stage) -> tuple[DataFrame, DataFrame]:

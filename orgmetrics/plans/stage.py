@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orgmetrics.operators.runlog import run_status_rows
 from orgmetrics.session import shared_dir
 from orgmetrics.sources.tables import write_snapshot
 
@@ -20,3 +22,18 @@ class Stage:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         return write_snapshot(df, f"{self.folder}/{name}")
+
+
+def run_status(summary: DataFrame, module: str, as_of: Column) -> DataFrame:
+    """Run-log row of a finished run. A failed quality gate is a warning: it goes to metadata."""
+    return run_status_rows(
+        summary,
+        module,
+        as_of,
+        as_of,
+        F.col("sections_processed"),
+        F.col("errors"),
+        F.lit(None).cast("string"),
+        passed=F.col("passed"),
+        reason=F.col("reason"),
+    )

@@ -215,7 +215,7 @@ def sdg_list_valid(spark, sf):
     rows = read_table(spark, sf, "lineitem").select(
         c("l_orderkey").alias("id"), F.when(c("l_linenumber") < 7, quantity).otherwise("none").alias("goal"), quantity.alias("q")
     )
-    lists = rows.groupBy("id").agg(F.collect_list("goal").alias("goals"), F.collect_list("q").alias("qs"))
+    lists = rows.groupBy("id").agg(F.collect_set("goal").alias("goals"), F.collect_set("q").alias("qs"))
     return lists.select(
         "id",
         F.size(text.sdg_list(c("qs"))).cast("bigint").alias("n_goals"),

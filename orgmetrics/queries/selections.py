@@ -74,22 +74,26 @@ _TAGGED = f"""{t.ACTIVITIES}, {t.COUNTRIES},
 tagged AS (
   SELECT a.*, country_code, start_date > DATE '{t.AS_OF_DATE}' AS is_future_event, organisers, causes, sdgs
   FROM activities a JOIN customer ON c_custkey = o_custkey JOIN countries ON n_nationkey = c_nationkey
-  JOIN (SELECT l_orderkey, list(DISTINCT s_name) AS organisers, list(DISTINCT p_brand) AS causes, list(DISTINCT p_size) AS sdgs
-        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey GROUP BY 1) l ON l_orderkey = a.id)"""
+  JOIN (SELECT l_orderkey, list(DISTINCT n.n_name) AS organisers, list(DISTINCT p_brand) AS causes, list(DISTINCT p_size) AS sdgs
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation n ON n.n_nationkey = s_nationkey JOIN part ON p_partkey = l_partkey GROUP BY 1) l ON l_orderkey = a.id)"""
 
 
 def _tagged(spark, sf):
-    """Activities with the arrays they carry in flight."""
+    """Activities with the arrays they carry in flight; their organisers are national bodies."""
     from orgmetrics.operators.joins import lookup_join
 
     lines = read_table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey")
     )
-    lines = lookup_join(lines, read_table(spark, sf, "supplier").select("s_suppkey", "s_name"), "s_suppkey")
+    hosts = read_table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("host")
+    )
+    suppliers = read_table(spark, sf, "supplier").join(hosts, "s_nationkey")
+    lines = lookup_join(lines, suppliers.select("s_suppkey", "host"), "s_suppkey")
     lines = lookup_join(lines, read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_size"), "p_partkey")
     # Sets per activity are bounded by the vocabularies they are drawn from.
     lists = lines.groupBy("id").agg(
-        F.collect_set("s_name").alias("organisers"),
+        F.collect_set("host").alias("organisers"),
         F.collect_set("p_brand").alias("causes"),
         F.collect_set("p_size").alias("sdgs"),
     )
@@ -125,12 +129,12 @@ def activity_search(spark, sf):
 
 @query(f"""WITH {_TAGGED}
 SELECT id, country_code, start_date, is_future_event FROM tagged
-WHERE country_code = 'AA' AND is_future_event AND list_has_any(organisers, ['Supplier#000000001', 'Supplier#000000002'])""")
+WHERE country_code = 'AA' AND is_future_event AND list_has_any(organisers, ['NATION_1', 'NATION_2'])""")
 def activity_search_by_place(spark, sf):
     search = selection.ActivitySearch(
         country_code="AA",
         is_future_event=True,
-        organisers=["Supplier#000000001", "Supplier#000000002"],
+        organisers=["NATION_1", "NATION_2"],
     )
     found = selection.activity_search(_tagged(spark, sf), search)
     return found.select("id", "country_code", "start_date", "is_future_event")

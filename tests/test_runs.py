@@ -14,6 +14,7 @@ from orgmetrics.operators import extraction
 from orgmetrics.operators.validation import Ruleset, activity_rules
 from orgmetrics.plans.accounts import accounts_run
 from orgmetrics.plans.activities import activities_run
+from orgmetrics.plans.full import full_run
 from orgmetrics.plans.retention import retention_run
 from orgmetrics.schemas import PAGE_DDL
 from orgmetrics.session import shared_dir
@@ -67,14 +68,18 @@ def pages(spark):
 
 
 @pytest.fixture(scope="module")
-def accounts(spark, pages):
-    answers = spark.createDataFrame(
+def answers(spark):
+    return spark.createDataFrame(
         [
             (f"{ACTIVITIES}/organisation/net-alpha/activities", 200),
             (f"{ACTIVITIES}/organisation/net-beta/activities", 404),
         ],
         "url string, status int",
     )
+
+
+@pytest.fixture(scope="module")
+def accounts(spark, pages, answers):
     stored = empty_table(spark, schemas.COUNTRIES), empty_table(spark, schemas.SECTIONS)
     return accounts_run(pages, answers, *stored, SITE, as_of())
 
@@ -136,6 +141,20 @@ def test_activities_run(spark, pages, stored):
         assert rows(again.tables[name]) == rows(frame), name
 
 
+def test_full_run_refreshes_sections_only_when_due(spark, pages, answers, accounts):
+    empty = {name: empty_table(spark, t) for name, t in schemas.TABLES.items()}
+    first, activities = full_run(pages, answers, empty, SITE, as_of())
+    assert rows(first.countries) == rows(accounts.countries)
+    assert activities.tables["activities"].count() == 3
+    status = first.status.unionByName(activities.status)
+    assert rows(status.select("scraper_module", "status")) == [("accounts", "completed"), ("activities", "completed")]
+    stored = {**empty, "countries": first.countries, "sections": first.sections, **activities.tables}
+    stored["scraper_status"] = conform(status, schemas.SCRAPER_STATUS)
+    second, again = full_run(pages, answers, stored, SITE, as_of())
+    assert second is None
+    assert rows(again.tables["activities"]) == rows(activities.tables["activities"])
+
+
 def test_retention_run(spark, stored):
     old = AS_OF - dt.timedelta(days=31)
     activities = conform(
