@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,9 +36,22 @@ def country_code_valid(c: Column, longest: int = 3) -> Column:
     return F.coalesce(normalize_country_code(c).rlike(rf"^\p{{L}}{{2,{longest}}}$"), F.lit(False))
 
 
+@lru_cache(maxsize=1)
+def _other_digits() -> tuple[str, str]:
+    """Decimal digits of other scripts, and their ASCII digits."""
+    found = [chr(p) for p in range(0x80, 0x10000) if unicodedata.category(chr(p)) == "Nd"]
+    return "".join(found), "".join(str(unicodedata.digit(d)) for d in found)
+
+
 def digits_to_int(c: Column) -> Column:
-    """Keep the digits and read them as a number; nothing readable gives 0."""
-    return F.coalesce(F.regexp_replace(c, "[^0-9]", "").try_cast("int"), F.lit(0))
+    """Keep the digits and read them as a number; no digits give 0.
+
+    A number beyond the type becomes its largest value, so that range rules still reject it.
+    """
+    digits = F.regexp_replace(c, r"[^\p{Nd}]", "")
+    digits = F.when(digits.rlike("^[0-9]*$"), digits).otherwise(F.translate(digits, *_other_digits()))
+    number = F.coalesce(digits.try_cast("int"), F.lit(2**31 - 1))
+    return F.when(digits != "", number).otherwise(0)
 
 
 def nonempty(c: Column) -> Column:

@@ -211,7 +211,7 @@ def last_page_number(pages: DataFrame, site: Site) -> DataFrame:
 def page_chunks(df: DataFrame, last_page: str = "last_page", size: int = urls.CHUNK_SIZE) -> DataFrame:
     """Ranges of listing pages, 0 to ``last_page`` inclusive, ``size`` pages each."""
     start = F.explode(F.sequence(F.lit(0), F.col(last_page), F.lit(size)))
-    chunked = df.withColumn("first_page", start)
+    chunked = df.filter(F.col(last_page) >= 0).withColumn("first_page", start)
     return chunked.withColumn("final_page", F.least(F.col("first_page") + size - 1, F.col(last_page)))
 
 

@@ -184,8 +184,8 @@ def url_resolve(spark, sf):
     return rows.select("page_id", "href", urls.resolve_url(c("url"), c("href")).alias("resolved"))
 
 
-@query("""SELECT doc_id, coalesce(TRY_CAST(regexp_replace(line, '[^0-9]', '', 'g') AS INTEGER), 0) AS n
-FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)""")
+@query("""SELECT doc_id, CASE WHEN d = '' THEN 0 ELSE coalesce(TRY_CAST(d AS INTEGER), 2147483647) END AS n
+FROM (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '[^0-9]', '', 'g') AS d FROM documents)""")
 def digits_to_int(spark, sf):
     """Every line of every document."""
     lines = _documents(spark, sf).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))

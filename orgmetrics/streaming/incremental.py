@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgmetrics.operators.upsert import latest_per_key
-from orgmetrics.operators.validation import Ruleset, split_valid, validate
+from orgmetrics.operators.validation import Ruleset, validate
 from orgmetrics.schemas import PAGE_DDL
 from orgmetrics.sources.pages import page_gate
 
@@ -29,14 +29,14 @@ def ingest_available(
 ) -> None:
     """Process every page file under ``landed`` not seen before, then stop.
 
-    ``state`` is a folder all executors share; it holds the checkpoint and three tables by batch:
-    changes (valid rows), invalid (rows with their errors) and rejected (pages without content).
+    ``state`` is a folder all executors share; it holds the checkpoint and two tables by batch:
+    checked (extracted rows with ``is_valid`` and their errors) and rejected (pages without
+    content). Pages are parsed once; valid and invalid rows are told apart when read.
     """
 
     def store(pages: DataFrame, batch_id: int) -> None:
         good, rejected = page_gate(pages)
-        valid, invalid = split_valid(validate(extract(good), rules))
-        for name, rows in (("changes", valid), ("invalid", invalid), ("rejected", rejected)):
+        for name, rows in (("checked", validate(extract(good), rules)), ("rejected", rejected)):
             rows.write.mode("overwrite").parquet(f"{state}/{name}/batch={batch_id}")
 
     reader = spark.readStream.schema(columns)
@@ -53,18 +53,18 @@ def ingest_available(
 
 
 def batches(spark: SparkSession, state: str, name: str) -> DataFrame:
-    """All rows one of the three tables ever got, with their ``batch``."""
+    """All rows one of the two tables ever got, with their ``batch``."""
     return spark.read.option("basePath", f"{state}/{name}").parquet(f"{state}/{name}/batch=*")
 
 
 def current_rows(spark: SparkSession, state: str, key: list[str], order: list[str]) -> DataFrame:
     """The table after all batches: later batches replace earlier rows of the same key."""
-    changes = batches(spark, state, "changes")
+    changes = batches(spark, state, "checked").filter("is_valid").drop("errors")
     return latest_per_key(changes, key, ["batch", *order]).drop("batch")
 
 
 def compact(spark: SparkSession, state: str, key: list[str], order: list[str], into: str) -> None:
-    """Write the current table into a new folder, to start the next state from."""
-    current_rows(spark, state, key, order).withColumn("batch", F.lit(-1)).write.partitionBy(
-        "batch"
-    ).parquet(into)
+    """Write the current table as the first batch of a new state folder."""
+    none = F.array().cast("array<struct<field_name:string,error_message:string>>")
+    rows = current_rows(spark, state, key, order).withColumn("errors", none)
+    rows.write.parquet(f"{into}/checked/batch=-1")

@@ -148,6 +148,8 @@ def test_last_page_and_chunks(spark):
     found = extraction.last_page_number(pages(spark, LISTING, "<html></html>", LISTING.replace("27", "x")), SITE)
     assert [r["last_page"] for r in found.orderBy("page_id").collect()] == [27, 0, 0]
     chunks = extraction.page_chunks(found.filter("page_id < 2"))
+    none = spark.createDataFrame([(-3,)], "last_page int")
+    assert extraction.page_chunks(none).count() == 0
     assert rows(chunks.select("page_id", "first_page", "final_page")) == sorted(
         [(0, 0, 4), (0, 5, 9), (0, 10, 14), (0, 15, 19), (0, 20, 24), (0, 25, 27), (1, 0, 0)], key=str
     )

@@ -101,7 +101,7 @@ def test_country_codes(spark):
         assert of(spark, lambda c: text.country_code_valid(c, 2), code) is two
 
 
-@pytest.mark.parametrize(("shown", "n"), [("1.234 people", 1234), ("none", 0), ("", 0), (None, 0), ("99999999999", 0)])
+@pytest.mark.parametrize(("shown", "n"), [("1.234 people", 1234), ("none", 0), ("", 0), (None, 0), ("99999999999", 2147483647), ("١٢ people", 12)])
 def test_digits(spark, shown, n):
     assert of(spark, text.digits_to_int, shown) == n
 

@@ -195,10 +195,10 @@ def test_incremental_ingest_equals_batch(spark, tmp_path):
     assert ingest(state) == [("a", 0), ("b", 2)]
     assert ingest(state) == [("a", 0), ("b", 2)]
     assert batches(spark, state, "rejected").count() == 1
-    assert batches(spark, state, "invalid").count() == 1
+    assert batches(spark, state, "checked").filter("not is_valid").count() == 1
     # From the start, one file at a time: other batches, same table.
     replay = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     assert ingest(replay, files_per_batch=1) == [("a", 0), ("b", 2)]
-    compact(spark, state, ["event_slug"], ["page_id"], f"{replay}-compact/changes")
+    compact(spark, state, ["event_slug"], ["page_id"], f"{replay}-compact")
     again = current_rows(spark, f"{replay}-compact", ["event_slug"], ["page_id"])
     assert rows(again.select("event_slug", "page_id")) == [("a", 0), ("b", 2)]
