@@ -199,8 +199,11 @@ def organiser_links(
 ) -> DataFrame:
     """(activity, section) pairs, organiser names matched to section names after ``normalise``."""
     wanted = activities.select(activity, F.explode("organisers").alias("_name"))
-    wanted = wanted.select(activity, normalise(F.col("_name")).alias("_key")).distinct()
+    # Never NULL: the join would else test the key for NULL, normalising every name twice.
+    key = F.coalesce(normalise(F.col("_name")), F.lit("")).alias("_key")
+    wanted = wanted.select(activity, key).distinct()
     known = sections.select(normalise(F.col("name")).alias("_key"), F.col("id").alias("section_id"))
     # Two sections may share a normalised name; the lookup side needs one row per key.
+    known = known.filter(F.col("_key") != "")
     known = known.groupBy("_key").agg(F.min("section_id").alias("section_id"))
     return lookup_join(wanted, known, "_key").select(activity, "section_id").distinct()

@@ -132,10 +132,12 @@ def _full_merge(target, source, keys, update, as_of, created, touched) -> DataFr
 def _without_match(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a small ``source`` whose key the target lacks.
 
-    The target's keys are first cut down to those of the batch, where the batch can be broadcast;
-    what comes back is no larger than the batch.
+    The keys of a large target are first cut down to those of the batch, where the batch can be
+    broadcast; what comes back is no larger than the batch.
     """
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    known = target.select(*keys)
+    if not fits_broadcast(known):
+        known = known.join(source.select(*keys), keys, "left_semi")
     return source.join(known, keys, "left_anti")
 
 

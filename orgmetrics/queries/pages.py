@@ -134,12 +134,13 @@ def _field(name, value):
 
 @query(f"""SELECT page_id, 'mail' || page_id || '@example.org' AS email, 'http://site' || page_id || '.example.org' AS website,
 'University ' || {_NUMBER} AS university_name, 'Street ' || page_id || ', ' || {_NUMBER} || ' Town' AS address,
-CASE WHEN url LIKE 'https:%' THEN CAST(page_id AS DECIMAL(9,6)) / 1000 END::DECIMAL(9,6) AS latitude, CASE WHEN url LIKE 'https:%' THEN 3.140041::DECIMAL(9,6) END AS longitude,
+CASE WHEN url LIKE 'https:%' THEN CAST(least(page_id / 1000, 89.5) AS DECIMAL(9,6)) END AS latitude, CASE WHEN url LIKE 'https:%' THEN 3.140041::DECIMAL(9,6) END AS longitude,
 {_ROOT} || '/logo/' || page_id || '.png' AS logo_url, 'City ' || {_NUMBER} AS city,
 '{{"facebook":"https://new.example.org/' || page_id || '","x":"https://x.example.org"}}' AS social_media FROM pages""")
 def extract_section_details(spark, sf):
     """Every landed page as a section page: detail fields next to its own menu and article."""
     key = c("page_id").cast("string")
+    north = F.least(c("page_id") / 1000, F.lit(89.5)).cast("decimal(9,6)")
     pages = _with_markup(
         spark,
         sf,
@@ -154,7 +155,7 @@ def extract_section_details(spark, sf):
         _number(),
         " Town</span></p></div></div><span>outside</span>",
         '<span class="geolocation-location" data-lat="',
-        F.when(c("url").startswith("https:"), (c("page_id") / 1000).cast("decimal(9,6)").cast("string")).otherwise("north"),
+        F.when(c("url").startswith("https:"), north.cast("string")).otherwise("north"),
         '" data-lng="3.1400411"></span><img class="center-block big img-responsive" alt="Logo of it" src="/logo/',
         key,
         '.png">',
@@ -172,8 +173,9 @@ _TITLE = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
 
 
 def _unescaped(expression: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        expression = f"replace({expression}, '{entity}', '{char}')"
+    # Titles may be cut off inside an entity: the closing semicolon is optional in HTML.
+    for entity, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        expression = f"regexp_replace({expression}, '&{entity};?', '{char}', 'g')"
     return expression
 
 
