@@ -48,8 +48,8 @@ def run_status_rows(
         status.alias("status"),
         started.alias("started_at"),
         completed.alias("completed_at"),
-        processed.cast("int").alias("sections_processed"),
-        failed.cast("int").alias("sections_failed"),
+        processed.cast("bigint").alias("sections_processed"),
+        failed.cast("bigint").alias("sections_failed"),
         error.alias("error_message"),
         extra.alias("metadata"),
     )

@@ -32,7 +32,7 @@ def overall_statistics(df: DataFrame) -> DataFrame:
     counts = []
     for name, (key, position) in _OVERALL.items():
         item = F.try_element_at(_values(key), F.lit(position + 1))
-        count = F.try_element_at(item, F.lit(2)).try_cast("int")
+        count = F.try_element_at(item, F.lit(2)).try_cast("bigint")
         counts.append(F.coalesce(count, F.lit(0)).alias(name))
     others = [c for c in df.columns if c != "stats"]
     return df.select(*others, *counts, F.col("stats").isNotNull().alias("has_statistics"))
@@ -54,7 +54,7 @@ def _named_items(kind: str, category: str) -> Column:
                 F.lit(kind).alias("kind"),
                 i.alias("position"),
                 item[0].alias("name"),
-                item[1].try_cast("int").alias("count"),
+                item[1].try_cast("bigint").alias("count"),
             ),
         ),
     )

@@ -40,7 +40,7 @@ SELECT section_id, min(ts) AS first, CASE WHEN count(*) > 1 THEN max(ts) END AS
        count(*) FILTER (event_type = 'error') AS f FROM fetch_log GROUP BY 1)
 SELECT 'activities' AS scraper_module,
        CASE WHEN f > n / 2 THEN 'failed' WHEN last IS NULL THEN 'running' ELSE 'completed' END AS status,
-       first AS started_at, last AS completed_at, CAST(n AS INTEGER) AS sections_processed, CAST(f AS INTEGER) AS sections_failed,
+       first AS started_at, last AS completed_at, n AS sections_processed, f AS sections_failed,
        CASE WHEN f > n / 2 THEN 'more than half failed' END AS error_message,
        '{{"section_id":' || section_id || ',"requests":' || n || '}}' AS metadata
 FROM r""")

@@ -78,10 +78,10 @@ _ROWS = """rows AS (
 
 
 def _detail_sql(name: str, alias: str, total: bool) -> str:
-    first = "CAST(count(*) AS INTEGER) AS total_count, " if total else ""
+    first = "count(*) AS total_count, " if total else ""
     return f"""WITH {_ROWS}
-SELECT section_id, {name} AS {alias}, {first}CAST(count(*) FILTER (NOT online) AS INTEGER) AS physical_count,
-       CAST(count(*) FILTER (online) AS INTEGER) AS online_count
+SELECT section_id, {name} AS {alias}, {first}count(*) FILTER (NOT online) AS physical_count,
+       count(*) FILTER (online) AS online_count
 FROM rows GROUP BY 1, 2"""
 
 
@@ -108,11 +108,11 @@ def stats_json_source(spark, sf):
 kinds AS (SELECT section_id, online, count(*) AS n,
          row_number() OVER (PARTITION BY section_id ORDER BY online) AS position FROM rows GROUP BY 1, 2)
 SELECT section_id,
-       CAST(coalesce((SELECT n FROM kinds k WHERE k.section_id = s.section_id AND position = 1), 0) AS INTEGER) AS physical_activities,
-       CAST(coalesce((SELECT n FROM kinds k WHERE k.section_id = s.section_id AND position = 2), 0) AS INTEGER) AS online_activities,
-       CAST(coalesce((SELECT n FROM parts p WHERE p.section_id = s.section_id AND position = 1), 0) AS INTEGER) AS total_local_students,
-       CAST(coalesce((SELECT n FROM parts p WHERE p.section_id = s.section_id AND position = 2), 0) AS INTEGER) AS total_international_students,
-       CAST(coalesce((SELECT n FROM parts p WHERE p.section_id = s.section_id AND position = 3), 0) AS INTEGER) AS total_coordinators,
+       coalesce((SELECT n FROM kinds k WHERE k.section_id = s.section_id AND position = 1), 0) AS physical_activities,
+       coalesce((SELECT n FROM kinds k WHERE k.section_id = s.section_id AND position = 2), 0) AS online_activities,
+       coalesce((SELECT n FROM parts p WHERE p.section_id = s.section_id AND position = 1), 0) AS total_local_students,
+       coalesce((SELECT n FROM parts p WHERE p.section_id = s.section_id AND position = 2), 0) AS total_international_students,
+       coalesce((SELECT n FROM parts p WHERE p.section_id = s.section_id AND position = 3), 0) AS total_coordinators,
        true AS has_statistics
 FROM (SELECT DISTINCT section_id FROM rows) s""")
 def stats_overall(spark, sf):
@@ -191,14 +191,14 @@ def stats_recomputed(spark, sf):
 def _recent_overall(spark, sf):
     """Overall statistics of the sections active since 30 October 2001."""
     recent = F.col("l_shipdate") >= F.lit("2001-10-30").cast("timestamp_ntz")
-    zero = F.lit(0)
+    zero = F.lit(0).cast("bigint")
     return (
         read_table(spark, sf, "lineitem")
         .filter(recent)
         .groupBy(F.col("l_suppkey").alias("section_id"))
         .agg(
-            F.count_if(F.col("l_linestatus") != "O").cast("int").alias("physical_activities"),
-            F.count_if(F.col("l_linestatus") == "O").cast("int").alias("online_activities"),
+            F.count_if(F.col("l_linestatus") != "O").alias("physical_activities"),
+            F.count_if(F.col("l_linestatus") == "O").alias("online_activities"),
         )
         .select(
             "*",
@@ -210,8 +210,8 @@ def _recent_overall(spark, sf):
 
 
 _RECENT = """recent AS (
-  SELECT l_suppkey AS section_id, CAST(count(*) FILTER (l_linestatus <> 'O') AS INTEGER) AS physical_activities,
-         CAST(count(*) FILTER (l_linestatus = 'O') AS INTEGER) AS online_activities
+  SELECT l_suppkey AS section_id, count(*) FILTER (l_linestatus <> 'O') AS physical_activities,
+         count(*) FILTER (l_linestatus = 'O') AS online_activities
   FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-30' GROUP BY 1)"""
 
 
@@ -224,8 +224,8 @@ def missing_statistics(spark, sf):
 
 @query(f"""WITH {_RECENT}
 SELECT s_suppkey AS section_id, coalesce(physical_activities, 0) AS physical_activities,
-       coalesce(online_activities, 0) AS online_activities, 0 AS total_local_students,
-       0 AS total_international_students, 0 AS total_coordinators, section_id IS NOT NULL AS has_statistics
+       coalesce(online_activities, 0) AS online_activities, 0::BIGINT AS total_local_students,
+       0::BIGINT AS total_international_students, 0::BIGINT AS total_coordinators, section_id IS NOT NULL AS has_statistics
 FROM supplier LEFT JOIN recent ON section_id = s_suppkey""")
 def stats_zero_fill(spark, sf):
     rows = read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("section_id"))

@@ -171,8 +171,8 @@ def validate_statistics(spark, sf):
     """Counts against a quota may be negative; a section without full free lines has no causes."""
     full = (c("l_quantity") == 50) & (c("l_discount") == 0)
     rows = read_table(spark, sf, "lineitem").groupBy(c("l_suppkey").alias("section_id")).agg(
-        (F.count_if(c("l_returnflag") == "R") - 200).cast("int").alias("physical_activities"),
-        (F.count_if(c("l_linestatus") == "O") - 300).cast("int").alias("online_activities"),
+        (F.count_if(c("l_returnflag") == "R") - 200).alias("physical_activities"),
+        (F.count_if(c("l_linestatus") == "O") - 300).alias("online_activities"),
         F.collect_set(F.when(full, c("l_returnflag"))).alias("causes"),
     )
     rules = validation.count_rules(["physical_activities", "online_activities"], ["causes"])

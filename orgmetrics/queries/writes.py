@@ -164,8 +164,8 @@ _STATISTICS_KEYS = {
 def _statistics_sql(where: str) -> str:
     parts = [
         f"SELECT '{k}' AS table_name, l_suppkey AS section_id, {e} AS name, "
-        "CAST(count(*) FILTER (l_linestatus <> 'O') AS INTEGER) AS physical_count, "
-        "CAST(count(*) FILTER (l_linestatus = 'O') AS INTEGER) AS online_count "
+        "count(*) FILTER (l_linestatus <> 'O') AS physical_count, "
+        "count(*) FILTER (l_linestatus = 'O') AS online_count "
         f"FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey WHERE {where} GROUP BY ALL"
         for k, e in _STATISTICS_KEYS.items()
     ]
@@ -202,7 +202,7 @@ def upsert_section_stats(spark, sf):
         for kind in ("physical", "online")
     }
     long = counted.select("section_id", "online", "old", "new", F.inline(facets))
-    per_name = long.groupBy(*key).agg(*(v.cast("int").alias(k) for k, v in sums.items()))
+    per_name = long.groupBy(*key).agg(*(v.alias(k) for k, v in sums.items()))
 
     def side(name, stamp):
         physical, online = F.col(f"{name}_physical"), F.col(f"{name}_online")
@@ -278,7 +278,7 @@ def update_section_count(spark, sf):
 
 
 @query(f"""WITH {t.ACTIVITIES},
-patch AS (SELECT l_orderkey AS id, CAST(sum(l_quantity) AS INTEGER) AS participants,
+patch AS (SELECT l_orderkey AS id, CAST(max(l_quantity) AS INTEGER) AS participants,
                  CASE WHEN max(l_returnflag) = 'R' THEN 'Returned' END AS activity_type
           FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
 SELECT id, a.title, coalesce(p.participants, a.participants) AS participants,
@@ -291,7 +291,7 @@ def partial_update(spark, sf):
         .filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
         .groupBy(F.col("l_orderkey").alias("id"))
         .agg(
-            F.sum("l_quantity").cast("int").alias("participants"),
+            F.max("l_quantity").cast("int").alias("participants"),
             F.when(F.max("l_returnflag") == "R", "Returned").alias("activity_type"),
         )
     )

@@ -1,4 +1,4 @@
-"""The seventeen stored tables as Spark schemas, with their keys."""
+"""The seventeen stored tables as Spark schemas, with their keys. Counters are 64 bits wide."""
 
 from __future__ import annotations
 
@@ -115,8 +115,8 @@ ACTIVITY_OBJECTIVES = Table(
 
 OVERALL_STATISTICS = Table(
     "section_overall_statistics",
-    "id bigint, section_id bigint, physical_activities int, online_activities int, "
-    "total_local_students int, total_international_students int, total_coordinators int, "
+    "id bigint, section_id bigint, physical_activities bigint, online_activities bigint, "
+    "total_local_students bigint, total_international_students bigint, total_coordinators bigint, "
     "scraped_at timestamp_ntz",
     key=("section_id",),
     update=(
@@ -130,22 +130,22 @@ OVERALL_STATISTICS = Table(
 )
 CAUSE_STATISTICS = Table(
     "section_cause_statistics",
-    "id bigint, section_id bigint, cause_name string, total_count int, physical_count int, "
-    "online_count int, scraped_at timestamp_ntz",
+    "id bigint, section_id bigint, cause_name string, total_count bigint, physical_count bigint, "
+    "online_count bigint, scraped_at timestamp_ntz",
     key=("section_id", "cause_name"),
     update=("total_count", "physical_count", "online_count", "scraped_at"),
 )
 TYPE_STATISTICS = Table(
     "section_type_statistics",
-    "id bigint, section_id bigint, activity_type string, physical_count int, "
-    "online_count int, scraped_at timestamp_ntz",
+    "id bigint, section_id bigint, activity_type string, physical_count bigint, "
+    "online_count bigint, scraped_at timestamp_ntz",
     key=("section_id", "activity_type"),
     update=("physical_count", "online_count", "scraped_at"),
 )
 PARTICIPANT_STATISTICS = Table(
     "section_participant_statistics",
-    "id bigint, section_id bigint, participant_type string, physical_count int, "
-    "online_count int, scraped_at timestamp_ntz",
+    "id bigint, section_id bigint, participant_type string, physical_count bigint, "
+    "online_count bigint, scraped_at timestamp_ntz",
     key=("section_id", "participant_type"),
     update=("physical_count", "online_count", "scraped_at"),
 )
@@ -153,7 +153,7 @@ PARTICIPANT_STATISTICS = Table(
 SCRAPER_STATUS = Table(
     "scraper_status",
     "id bigint, scraper_module string, status string, started_at timestamp_ntz, "
-    "completed_at timestamp_ntz, sections_processed int, sections_failed int, "
+    "completed_at timestamp_ntz, sections_processed bigint, sections_failed bigint, "
     "error_message string, metadata string",
     key=("id",),
 )
