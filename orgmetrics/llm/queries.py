@@ -13,7 +13,9 @@ from orgmetrics.llm import (
     bpe_codec,
     chat_format,
     exact_topk,
+    language_id,
     license_scan,
+    packing,
     token_counts,
 )
 
@@ -35,6 +37,15 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    network = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    return language_id.identify(docs, network, keep=["doc_id"]).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 IS_QUERY = "vec_id % 20 = 0"
 
 
@@ -86,6 +97,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query()
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
