@@ -15,6 +15,7 @@ from orgmetrics.llm import (
     exact_topk,
     language_id,
     license_scan,
+    near_dedup,
     packing,
     token_counts,
 )
@@ -37,6 +38,11 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+@query()
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), width=4)
+
+
 @query()
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
