@@ -15,6 +15,7 @@ from orgmetrics.llm import (
     exact_topk,
     language_id,
     license_scan,
+    line_dedup,
     near_dedup,
     packing,
     token_counts,
@@ -43,6 +44,50 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), width=4)
 
 
+@query(
+    """
+    WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+    lines AS (
+      SELECT doc_id, unnest(range(len(lines))) AS i, unnest(lines) AS line FROM docs
+    ),
+    recurring AS (SELECT line FROM lines GROUP BY line HAVING count(*) > 1),
+    marked AS (
+      SELECT l.*, r.line IS NOT NULL AS again FROM lines l LEFT JOIN recurring r USING (line)
+    ),
+    ended AS (  -- the next line that stands nowhere else ends every repeated run
+      SELECT *, coalesce(
+        min(CASE WHEN NOT again THEN i END) OVER (
+          PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING
+        ), 1 + max(i) OVER (PARTITION BY doc_id)) AS stop
+      FROM marked
+    ),
+    places AS (
+      SELECT doc_id, i, unnest(range(1, stop - i + 1)) AS n FROM ended WHERE again
+    ),
+    runs AS (
+      SELECT p.doc_id, p.i, p.n, d.lines[p.i + 1 : p.i + p.n] AS run FROM places p JOIN docs d USING (doc_id)
+    ),
+    ranked AS (
+      SELECT doc_id, i, n, list_sum([length(x) FOR x IN run]) AS chars,
+        row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy
+      FROM runs
+    ),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS i FROM ranked WHERE copy > 1 AND chars >= 60
+    ),
+    kept AS (
+      SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_deleted,
+        coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text
+      FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
+    )
+    SELECT doc_id, k.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted
+    FROM documents LEFT JOIN kept k USING (doc_id)
+    """
+)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query()
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
