@@ -30,6 +30,14 @@ def filled(texts: pd.Series) -> list[str]:
     return [t if isinstance(t, str) else "" for t in texts]
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it as long as a column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class SharedFolder:
     """A folder of its own under ``spark.checkpoint.dir`` for what one operator reads again.
 

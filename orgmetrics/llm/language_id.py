@@ -208,15 +208,19 @@ def fit(
 
 
 def identify(
-    docs: DataFrame, network: ByteNetwork | None, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame,
+    network: ByteNetwork | None,
+    text: str = "text",
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """The columns ``keep`` (default all) with ``lang_pred`` and ``score`` of every whole text.
+    """The columns ``keep`` (default all) with the language and score of every whole text.
 
-    Row-local. A text that is null or has no letter is ``und`` with score 0, as is every text if no
+    Row-local; ``names`` are those of the two columns, for tables that have such columns already. A text that is null or has no letter is ``und`` with score 0, as is every text if no
     network could be trained. Repeated rows are kept.
     """
-    names = keep or docs.columns
-    kinds = ", ".join(f"c{i} {docs.schema[n].dataType.simpleString()}" for i, n in enumerate(names))
+    kept = docs.columns if keep is None else keep
+    kinds = ", ".join(f"c{i} {docs.schema[n].dataType.simpleString()}" for i, n in enumerate(kept))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -228,10 +232,10 @@ def identify(
             yield batch.assign(lang_pred=[f[0] for f in found], score=[f[1] for f in found])
 
     rows = docs.select(
-        *(F.col(n).alias(f"c{i}") for i, n in enumerate(names)), F.col(text).alias("text_")
+        *(F.col(n).alias(f"c{i}") for i, n in enumerate(kept)), F.col(text).alias("text_")
     )
     done = rows.mapInPandas(run, f"{kinds}, lang_pred string, score double")
-    return done.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), "lang_pred", "score")
+    return done.toDF(*kept, *names)
 
 
 def held_out(key: Column) -> Column:

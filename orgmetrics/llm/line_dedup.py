@@ -134,11 +134,15 @@ def repeated_runs(
 
 
 def line_dedup(
-    docs: DataFrame, min_chars: int = 60, text: str = "text", key: str = "doc_id"
+    docs: DataFrame,
+    min_chars: int = 60,
+    text: str = "text",
+    key: str = "doc_id",
+    counts: tuple[str, str] = ("n_lines", "n_deleted"),
 ) -> DataFrame:
     """All columns of ``docs``, with later copies of line runs deleted from ``text``.
 
-    Adds ``n_lines`` and ``n_deleted``. A run of consecutive lines is deleted where it is as long as
+    Adds the numbers of lines and of deleted ones, named by ``counts``. A run of consecutive lines is deleted where it is as long as
     any that stood earlier in the table, by key and line, and has ``min_chars`` characters or more
     besides line ends; its first copy stays, and so do shorter runs. A copy may begin inside the
     run it repeats. Lines end with a line feed. A text whose lines are all deleted becomes empty; a
@@ -148,10 +152,10 @@ def line_dedup(
     """
     folder = SharedFolder(docs, "line-dedup")
     runs = repeated_runs(docs, folder, text, key)
-    n_lines = F.coalesce(F.size(F.split(F.col(text), "\n", -1)), F.lit(0)).cast("bigint")
-    n_lines = F.when(F.col(text).isNull(), F.lit(0).cast("bigint")).otherwise(n_lines)
     if runs is None:
-        return docs.select("*", n_lines.alias("n_lines"), F.lit(0).cast("bigint").alias("n_deleted"))
+        lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n", -1)))
+        none = F.lit(0).cast("bigint")
+        return docs.select("*", lines.cast("bigint").alias(counts[0]), none.alias(counts[1]))
     # A line is deleted if a run that began before it, in its document, ends after it.
     until = F.when(F.col("chars") >= min_chars, F.col("i") + F.col("lines"))
     so_far = Window.partitionBy(*DOC).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
@@ -176,9 +180,8 @@ def line_dedup(
     cleaned = F.array_join(F.transform(left, lambda x: x["line"]), "\n")
     value = F.when(F.col("gone").isNull(), F.col(text_)).otherwise(cleaned)
     count = F.when(F.col(text_).isNull(), 0).otherwise(F.size(lines)).cast("bigint")
-    gone = F.coalesce(F.size("gone"), F.lit(0)).cast("bigint")
     return joined.select(
         *((value if c == text_ else F.col(c)).alias(n) for c, n in zip(own, names)),
-        count.alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(gone).cast("bigint").alias("n_deleted"),
+        count.alias(counts[0]),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias(counts[1]),
     )
