@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orgmetrics.session import shared_dir
 
@@ -30,6 +33,52 @@ def filled(texts: pd.Series) -> list[str]:
     return [t if isinstance(t, str) else "" for t in texts]
 
 
+#: Types of added columns, in Spark and in Arrow.
+LONG = (T.LongType(), pa.int64())
+DOUBLE = (T.DoubleType(), pa.float64())
+STRING = (T.StringType(), pa.string())
+BINARY = (T.BinaryType(), pa.binary())
+
+
+def array_of(kind: tuple) -> tuple:
+    return T.ArrayType(kind[0]), pa.list_(kind[1])
+
+
+def struct_of(**fields: tuple) -> tuple:
+    spark = T.StructType([T.StructField(n, k[0]) for n, k in fields.items()])
+    return spark, pa.struct([(n, k[1]) for n, k in fields.items()])
+
+
+def per_text(
+    docs: DataFrame, keep: list[str], text: str, added: dict[str, tuple], make: Callable
+) -> DataFrame:
+    """The columns ``keep``, untouched, and columns computed from every whole text.
+
+    ``make()`` is called once per task and gives a function from a list of texts, a null one as
+    empty, to one tuple of added values per text. Texts are handed over in bounded slices.
+    """
+    types = [t for _, t in added.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            rows: list[tuple] = []
+            for a, b in text_slices(texts):
+                rows += work(texts[a:b])
+            columns = list(zip(*rows)) or [()] * len(types)
+            arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]
+            kept = batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], [f"c{i}" for i in range(len(kept) + len(arrays))])
+
+    rows = docs.select(
+        *(F.col(n).alias(f"c{i}") for i, n in enumerate(keep)), F.col(text).cast("string").alias("text")
+    )
+    kinds = [docs.schema[n].dataType for n in keep] + [k for k, _ in added.values()]
+    schema = T.StructType([T.StructField(f"c{i}", k) for i, k in enumerate(kinds)])
+    return rows.mapInArrow(run, schema).toDF(*keep, *added)
+
+
 def free_name(name: str, columns: list[str]) -> str:
     """``name``, with underscores after it as long as a column has that name in any case."""
     taken = {c.lower() for c in columns}

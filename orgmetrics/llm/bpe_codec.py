@@ -18,16 +18,17 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from orgmetrics.llm.batches import filled, text_slices
+from orgmetrics.llm.batches import LONG, STRING, array_of, per_text
 
 CACHE_WORDS = 400_000  # distinct words a worker remembers before it starts afresh
 CACHE_PAIRS = 1_000_000  # the same for pairs of tokens
-LONG = 256  # words of more characters are not remembered
+LONG_WORD = 256  # words of more characters are not remembered
 NEVER = 1 << 60
 
 # Letters, numbers and white space up to here are the same in every version of Unicode; text beyond
@@ -237,7 +238,7 @@ class BytePairCodec:
             known[word] = ",".join(map(str, self.encode_word(word.encode())))
         ids = ",".join(map(known.__getitem__, words))
         for word in new:
-            if len(word) > LONG:
+            if len(word) > LONG_WORD:
                 del known[word]
         return ids
 
@@ -277,23 +278,17 @@ def encode_texts(
     Row-local. A null text counts as empty and has no ids; repeated rows and null keys are kept.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         codec = _codec(path)
-        for batch in batches:
-            texts = filled(batch["text"])
-            for a, b in text_slices(texts):
-                coded = [ids_of(codec.encode(t)) for t in texts[a:b]]
-                yield pd.DataFrame(
-                    {
-                        "key": batch["key"].iloc[a:b].array,
-                        "n_tokens": [len(c) for c in coded],
-                        "ids": coded,
-                    }
-                )
 
-    return _rows(docs, key, text).mapInPandas(
-        run, f"key {_kind(docs, key)}, n_tokens bigint, ids array<int>"
-    ).withColumnRenamed("key", key)
+        def work(texts: list[str]) -> list[tuple]:
+            coded = [ids_of(codec.encode(t)) for t in texts]
+            return [(len(c), c) for c in coded]
+
+        return work
+
+    ids = array_of((T.IntegerType(), pa.int32()))
+    return per_text(docs, [key], text, {"n_tokens": LONG, "ids": ids}, make)
 
 
 def decode_ids(coded: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
@@ -302,19 +297,18 @@ def decode_ids(coded: DataFrame, path: str, ids: str = "ids", key: str = "doc_id
     Null ids give an empty text.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
         for batch in batches:
-            coded = [np.asarray([] if x is None else x, dtype=np.int64) for x in batch["ids"]]
-            yield pd.DataFrame(
-                {
-                    "key": batch["key"],
-                    "text": [codec.decode(x).decode("utf-8", "replace") for x in coded],
-                }
-            )
+            coded = [np.array(x.as_py() or [], dtype=np.int64) for x in batch.column(1)]
+            texts = [codec.decode(x).decode("utf-8", "replace") for x in coded]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["key", "text"])
 
     rows = coded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    return rows.mapInPandas(run, f"key {_kind(coded, key)}, text string").withColumnRenamed("key", key)
+    schema = T.StructType(
+        [T.StructField("key", coded.schema[key].dataType), T.StructField("text", T.StringType())]
+    )
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -324,31 +318,20 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_i
     Nulls and repeated rows as in ``encode_texts``.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         codec = _codec(path)
-        for batch in batches:
-            rows = []
-            for t in filled(batch["text"]):
-                decimal = codec.encode(t)
-                ids = ids_of(decimal)
-                decoded = codec.decode(ids).decode("utf-8", "replace").encode()
-                rows.append(
-                    (
-                        len(ids),
-                        hashlib.sha256(decimal.encode()).hexdigest(),
-                        hashlib.sha256(decoded).hexdigest(),
-                    )
-                )
-            found = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            yield found.assign(key=batch["key"].array)
-
-    schema = f"key {_kind(docs, key)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return _rows(docs, key, text).mapInPandas(run, schema).withColumnRenamed("key", key)
 
+        def one(text: str) -> tuple[int, str, str]:
+            decimal = codec.encode(text)
+            ids = ids_of(decimal)
+            decoded = codec.decode(ids).decode("utf-8", "replace").encode()
+            return (
+                len(ids),
+                hashlib.sha256(decimal.encode()).hexdigest(),
+                hashlib.sha256(decoded).hexdigest(),
+            )
 
-def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-
+        return lambda texts: [one(t) for t in texts]
 
-def _kind(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
+    added = {"n_tokens": LONG, "ids_sha256": STRING, "decoded_sha256": STRING}
+    return per_text(docs, [key], text, added, make)

@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orgmetrics.llm.batches import filled, text_slices
+from orgmetrics.llm.batches import DOUBLE, STRING, per_text
 
 WINDOW = 256  # bytes
 WIDTHS = (2, 3, 4)
 FILTERS = 16  # of each width
 SAMPLE = 400  # labelled texts per language that the network is fitted on
 WINDOWS_PER_TEXT = 8  # of a sampled text, spread over the whole of it
+LEAST_STEPS = 600
 LANGUAGES = 200  # at most, those with the most labelled rows
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -136,7 +137,11 @@ class ByteNetwork:
 def train(
     windows: np.ndarray, answer: np.ndarray, languages: list[str], rounds: int = 5, batch: int = 64, seed: int = 7
 ) -> ByteNetwork:
-    """Adam over the cross entropy; the same windows always give the same network."""
+    """Adam over the cross entropy; the same windows always give the same network.
+
+    Few windows are gone through more often, so that any sample gets ``LEAST_STEPS`` steps.
+    """
+    rounds = max(rounds, -(-LEAST_STEPS * batch // len(windows)))
     rng = np.random.default_rng(seed)
     wide = FILTERS * len(WIDTHS)
     network = ByteNetwork(
@@ -216,26 +221,18 @@ def identify(
 ) -> DataFrame:
     """The columns ``keep`` (default all) with the language and score of every whole text.
 
-    Row-local; ``names`` are those of the two columns, for tables that have such columns already. A text that is null or has no letter is ``und`` with score 0, as is every text if no
-    network could be trained. Repeated rows are kept.
+    Row-local; ``names`` are those of the two columns, for tables that have such columns already. A
+    text that is null or has no letter is ``und`` with score 0, as is every text if no network could
+    be trained. Repeated rows are kept.
     """
-    kept = docs.columns if keep is None else keep
-    kinds = ", ".join(f"c{i} {docs.schema[n].dataType.simpleString()}" for i, n in enumerate(kept))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = filled(batch["text_"])
-            found = [(UNKNOWN, 0.0)] * len(texts) if network is None else []
-            for a, b in text_slices(texts) if network is not None else ():
-                found += network.predict(texts[a:b])
-            batch = batch.drop(columns="text_")
-            yield batch.assign(lang_pred=[f[0] for f in found], score=[f[1] for f in found])
-
-    rows = docs.select(
-        *(F.col(n).alias(f"c{i}") for i, n in enumerate(kept)), F.col(text).alias("text_")
-    )
-    done = rows.mapInPandas(run, f"{kinds}, lang_pred string, score double")
-    return done.toDF(*kept, *names)
+    def make():
+        if network is None:
+            return lambda texts: [(UNKNOWN, 0.0)] * len(texts)
+        return network.predict
+
+    kept = docs.columns if keep is None else keep
+    return per_text(docs, kept, text, dict(zip(names, (STRING, DOUBLE))), make)
 
 
 def held_out(key: Column) -> Column:

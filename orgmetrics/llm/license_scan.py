@@ -11,11 +11,12 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orgmetrics.llm.batches import filled
+from orgmetrics.llm.batches import LONG, STRING, array_of, per_text, struct_of
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -206,25 +207,14 @@ def license_scan(
     """
     scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [scanner.scan(t) for t in filled(batch["text"])]
-            yield pd.DataFrame(
-                {
-                    "key": batch["key"],
-                    "n_words": [n for n, _ in found],
-                    "places": [
-                        [dict(zip(("label", "template", "first", "until"), p)) for p in places]
-                        for _, places in found
-                    ],
-                }
-            )
-
-    kind = docs.schema[key].dataType.simpleString()
-    place = "struct<label:string,template:boolean,first:bigint,until:bigint>"
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    found = rows.mapInPandas(run, f"key {kind}, n_words bigint, places array<{place}>")
-    return found.withColumnRenamed("key", key)
+    names = ("label", "template", "first", "until")
+
+    def work(texts: list[str]) -> list[tuple]:
+        found = [scanner.scan(t) for t in texts]
+        return [(n, [dict(zip(names, p)) for p in places]) for n, places in found]
+
+    place = struct_of(label=STRING, template=(T.BooleanType(), pa.bool_()), first=LONG, until=LONG)
+    return per_text(docs, [key], text, {"n_words": LONG, "places": array_of(place)}, lambda: work)
 
 
 def license_report(scanned: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmetrics.llm.batches import SharedFolder, filled, text_slices
+from orgmetrics.llm.batches import BINARY, LONG, SharedFolder, array_of, filled, per_text, text_slices
 from orgmetrics.llm.components import components
 from orgmetrics.llm.shingles import MinHash, Shingler
 
@@ -48,38 +48,29 @@ def _minhash() -> MinHash:
 def _describe(docs: DataFrame, width: int, text: str, key: str) -> DataFrame:
     """(doc, n_shingles, digest of the set, prefix per tree, one byte of each min-hash)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         shingler, minhash = _shingler(width), _minhash()
-        seed = np.arange(TREES, dtype=np.uint64)
-        for batch in batches:
-            texts, rows = filled(batch["text"]), []
-            for a, b in text_slices(texts):
-                for found in shingler.sets(texts[a:b]):
-                    if not len(found):
-                        rows.append((0, None, None, None))
-                        continue
-                    signature = minhash.signature(found)
-                    prefix = seed.copy()
-                    with np.errstate(over="ignore"):
-                        for j in range(DEPTH):
-                            prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + signature[
-                                np.arange(TREES) * DEEPEST + j
-                            ].astype(np.uint64)
-                    rows.append(
-                        (
-                            len(found),
-                            hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
-                            prefix.view(np.int64),
-                            (signature & 0xFF).astype(np.uint8).tobytes(),
-                        )
-                    )
-            out = pd.DataFrame(rows, columns=["n_shingles", "digest", "prefixes", "signature"])
-            yield out.assign(doc=batch["key"].array)
-
-    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(
-        run, "doc bigint, n_shingles bigint, digest binary, prefixes array<bigint>, signature binary"
-    )
+        trees = np.arange(TREES)
+
+        def one(found: np.ndarray) -> tuple:
+            if not len(found):
+                return 0, None, None, None
+            signature = minhash.signature(found)
+            prefix = trees.astype(np.uint64)
+            for j in range(DEPTH):
+                prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + signature[trees * DEEPEST + j]
+            return (
+                len(found),
+                hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
+                prefix.view(np.int64),
+                (signature & 0xFF).astype(np.uint8).tobytes(),
+            )
+
+        return lambda texts: [one(s) for s in shingler.sets(texts)]
+
+    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body"))
+    added = {"n_shingles": LONG, "digest": BINARY, "prefixes": array_of(LONG), "signature": BINARY}
+    return per_text(rows, ["doc"], "body", added, make)
 
 
 def _by_key(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:

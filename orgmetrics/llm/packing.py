@@ -20,18 +20,19 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from orgmetrics.llm.batches import SharedFolder, filled, text_slices
+from orgmetrics.llm.batches import SharedFolder, text_slices
 
 CACHE_WORDS = 300_000  # distinct words a worker remembers before it starts afresh
-LONG = 256  # words of more characters are not remembered
+LONG_WORD = 256  # words of more characters are not remembered
 _SPACES = regex.compile(r"\p{White_Space}+")
 _CONTROLS = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 # Characters that are composed, whose lower case is settled, and that no version of Unicode moves.
@@ -115,7 +116,7 @@ class WordTokenizer:
             self._learn(list(new))
         coded = [b"".join(map(self.words.__getitem__, words)) for words in split]
         for word in new:
-            if len(word) > LONG:
+            if len(word) > LONG_WORD:
                 del self.words[word]
                 self.parts.pop(word.lower(), None)
         return coded
@@ -134,30 +135,33 @@ def cut_into_pieces(
     ``part`` is the task and ``seat`` the rank of a piece among those of its length in that task.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ("piece", "start", "length", "ids_crc32", "part", "seat")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, last = _tokenizer(path), np.array([end], dtype="<u4").tobytes()
         context = TaskContext.get()
         task, seats = context.partitionId() if context else 0, Counter()
         for batch in batches:
-            texts, keys = filled(batch["text"]), batch["key"].to_list()
-            rows = []
+            texts, rows, of = [t or "" for t in batch.column(1).to_pylist()], [], []
             for a, b in text_slices(texts):
-                for key, ids in zip(keys[a:b], tokenizer.encode(texts[a:b])):
+                for i, ids in enumerate(tokenizer.encode(texts[a:b]), a):
                     ids += last
                     for piece, at in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[at : at + 4 * size]
                         length = len(part) // 4
-                        rows.append((key, piece, at // 4, length, zlib.crc32(part), task, seats[length]))
+                        rows.append((piece, at // 4, length, zlib.crc32(part), task, seats[length]))
                         seats[length] += 1
-            yield pd.DataFrame(rows, columns=names).astype({"key": batch["key"].dtype})
-
-    kind = docs.schema[key].dataType.simpleString()
-    schema = (
-        f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, seat bigint"
+                        of.append(i)
+            keys = batch.column(0).take(pa.array(of, type=pa.int64()))
+            columns = np.array(rows, dtype=np.int64).reshape(-1, len(names)).T
+            arrays = [pa.array(c, type=pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays([keys, *arrays], ["key", *names])
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    schema = T.StructType(
+        [T.StructField("key", docs.schema[key].dataType), *(T.StructField(n, T.LongType()) for n in names)]
     )
-    names = [c.split()[0] for c in schema.split(", ")]
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 @dataclass
@@ -334,17 +338,19 @@ def pack(
     )
     ranked = pieces.join(offsets, ["length", "part"]).withColumn("rank", F.col("seat") + F.col("before"))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for length, part in batch.groupby("length"):
-                sequence, offset = ranges.find(length, part["rank"].to_numpy())
-                yield part.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
+            lengths, ranks = (batch.column(n).to_numpy() for n in ("length", "rank"))
+            sequence, offset = np.zeros_like(ranks), np.zeros_like(ranks)
+            for length in np.unique(lengths):
+                at = lengths == length
+                sequence[at], offset[at] = ranges.find(int(length), ranks[at])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(sequence), pa.array(offset)], placed_schema.names
+            )
 
     columns = ["key", "piece", "start", "length", "ids_crc32"]
-    kind = pieces.schema["key"].dataType.simpleString()
-    placed = ranked.select(*columns, "rank").mapInPandas(
-        place,
-        f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
-        "sequence_id bigint, offset bigint",
-    )
-    return placed.withColumnRenamed("key", key)
+    placed_schema = T.StructType([pieces.schema[c] for c in columns])
+    placed_schema = placed_schema.add("sequence_id", T.LongType()).add("offset", T.LongType())
+    placed = ranked.select(*columns, "rank").mapInArrow(place, placed_schema)
+    return placed.select(F.col("key").alias(key), F.col("piece").cast("int").alias("piece"), *placed_schema.names[2:])

@@ -7,21 +7,19 @@ the symbols they kept are their tokens. Each distinct word of a batch is merged
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmetrics.llm.batches import filled, text_slices
+from orgmetrics.llm.batches import LONG, per_text
 
 SPACE = "▁"  # how piece models write a space
 CACHE_WORDS = 300_000  # distinct words a worker remembers before it starts afresh
-LONG = 256  # words of more characters are not remembered
+LONG_WORD = 256  # words of more characters are not remembered
 NO_RANK = np.int64(1) << 60
 
 
@@ -104,7 +102,7 @@ class PieceCounter:
             for words in split
         ]
         for word in new:
-            if len(word) > LONG:
+            if len(word) > LONG_WORD:
                 del self.counts[word]
                 self.bare.discard(word)
         return tokens
@@ -248,24 +246,9 @@ def token_counts(
     and has no bytes and no tokens; repeated rows and null keys are kept; other columns are ignored.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         counter = _counter(path)
-        for batch in batches:
-            texts = filled(batch["text"])
-            tokens: list[int] = []
-            for a, b in text_slices(texts):
-                tokens += counter.count(texts[a:b])
-            yield pd.DataFrame(
-                {
-                    "key": batch["key"],
-                    "n_bytes": [len(t.encode()) for t in texts],
-                    "n_tokens": tokens,
-                }
-            )
+        return lambda texts: list(zip([len(t.encode()) for t in texts], counter.count(texts)))
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    counted = rows.mapInPandas(run, f"key {kind}, n_bytes bigint, n_tokens bigint")
-    return counted.select(
-        F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
-    )
+    counted = per_text(docs, [key], text, {"n_bytes": LONG, "n_tokens": LONG}, make)
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
