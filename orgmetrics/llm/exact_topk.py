@@ -39,14 +39,17 @@ def segment_features(vectors: np.ndarray, segments: int) -> np.ndarray:
 
 
 def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products of integers in doubles, exact also where doubles are not."""
+    """Inner products of whole numbers as integers, exact also where doubles are not.
+
+    A product beyond 64 bits ends the job.
+    """
     largest = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1]
     if largest < EXACT:
-        return queries @ rows.T
+        return (queries @ rows.T).astype(np.int64)
     whole = [[int(x) for x in row] for row in rows]
     return np.array(
         [[sum(a * b for a, b in zip(q, x)) for x in whole] for q in ([int(y) for y in r] for r in queries)],
-        dtype=object,
+        dtype=np.int64,
     )
 
 
@@ -54,7 +57,7 @@ def search_cell(
     queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int
 ) -> TopK:
     """Top ``k`` of ``rows`` for each query, a row of the query's own id left out."""
-    top = TopK(len(queries), k)
+    top = TopK(len(queries), k, np.int64)
     levels = [(segment_features(queries, s), segment_features(rows, s)) for s in SEGMENTS]
     norm = np.sqrt((queries**2).sum(axis=1)) * np.sqrt((rows**2).sum(axis=1).max(initial=0))
     slack = 1e-9 * norm + 1e-6  # rounding of the bounds never costs a row

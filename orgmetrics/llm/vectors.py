@@ -45,9 +45,9 @@ def by_dimension(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
 class TopK:
     """The best rows found so far for each of ``n`` queries: highest score, then smallest id."""
 
-    def __init__(self, n: int, k: int):
-        self.k = k
-        self.scores: list[np.ndarray] = [np.zeros(0)] * n
+    def __init__(self, n: int, k: int, kind: type = np.float64):
+        self.k, self.kind = k, kind
+        self.scores: list[np.ndarray] = [np.zeros(0, dtype=kind)] * n
         self.ids: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * n
         self.least = np.full(n, -np.inf)  # a row below this is not among the best
 
@@ -64,7 +64,7 @@ class TopK:
             {
                 "query_id": np.repeat(query_ids, [len(s) for s in self.scores]).astype(np.int64),
                 "vec_id": np.concatenate(self.ids) if self.ids else np.zeros(0, np.int64),
-                "score": np.concatenate(self.scores) if self.scores else np.zeros(0),
+                "score": np.concatenate(self.scores) if self.scores else np.zeros(0, self.kind),
             }
         )
 
