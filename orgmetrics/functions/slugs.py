@@ -26,6 +26,20 @@ _SPELLINGS = {
     "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p",
     "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps",
     "ω": "o",
+    # Kazakh and neighbours in Cyrillic
+    "ә": "@", "ғ": "g", "қ": "k", "ң": "n", "ө": "o", "ұ": "u", "ү": "u", "һ": "h", "ҡ": "k",
+    "ҙ": "z", "ҫ": "s", "ҳ": "h", "ҷ": "j",
+    # Georgian
+    "ა": "a", "ბ": "b", "გ": "g", "დ": "d", "ე": "e", "ვ": "v", "ზ": "z", "თ": "t`", "ი": "i",
+    "კ": "k", "ლ": "l", "მ": "m", "ნ": "n", "ო": "o", "პ": "p", "ჟ": "zh", "რ": "r", "ს": "s",
+    "ტ": "t", "უ": "u", "ფ": "p`", "ქ": "k`", "ღ": "g", "ყ": "q", "შ": "sh", "ჩ": "ch`",
+    "ც": "ts`", "ძ": "dz", "წ": "ts", "ჭ": "ch", "ხ": "kh", "ჯ": "j", "ჰ": "h",
+    # Armenian
+    "ա": "a", "բ": "b", "գ": "g", "դ": "d", "ե": "e", "զ": "z", "է": "e", "ը": "e", "թ": "t`",
+    "ժ": "zh", "ի": "i", "լ": "l", "խ": "kh", "ծ": "ts", "կ": "k", "հ": "h", "ձ": "dz", "ղ": "gh",
+    "ճ": "ch", "մ": "m", "յ": "y", "ն": "n", "շ": "sh", "ո": "o", "չ": "ch`", "պ": "p", "ջ": "j",
+    "ռ": "rh", "ս": "s", "վ": "v", "տ": "t", "ր": "r", "ց": "ts`", "ւ": "w", "փ": "p`", "ք": "k`",
+    "օ": "o", "ֆ": "f", "և": "ew",
 }
 
 _ACCENTED_RANGES = ((0x00C0, 0x0250), (0x0370, 0x0400), (0x0400, 0x0500), (0x1E00, 0x2000))
@@ -49,11 +63,15 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 def fold_accents(c: Column) -> Column:
-    """Spell lower-case Latin, Cyrillic and Greek letters in ASCII."""
+    """Spell lower-case Latin, Cyrillic, Greek, Georgian and Armenian letters in ASCII."""
     source, target, multiple = _fold_tables()
     folded = F.translate(c, source, target)
-    for letter, spelling in multiple.items():
-        folded = F.replace(folded, F.lit(letter), F.lit(spelling))
+    for script, rest in (((0, 0x530), r"[^\x00-\x7F]"), ((0x530, 0x10FFFF), r"[\u0530-\u10FF]")):
+        spelled = folded
+        for letter, spelling in multiple.items():
+            if script[0] <= ord(letter) < script[1]:
+                spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+        folded = F.when(c.rlike(rest), spelled).otherwise(folded)
     return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c)
 
 
@@ -75,7 +93,7 @@ def activities_slug(name: Column, prefix: str) -> Column:
 
 def accounts_slug(name: Column, country_code: Column, prefix: str) -> Column:
     """``cc-city-uni`` from a name of two or more words, else ``cc-name``."""
-    bare = F.regexp_replace(F.lower(name), rf"^{prefix}\s+", "")
+    bare = F.regexp_replace(F.lower(name), rf"^\Q{prefix}\E\s+", "")
     words = F.split(strip(bare), r"\s+")
     two_words = F.concat_ws(
         "-",

@@ -75,10 +75,11 @@ def http_url_valid(c: Column) -> Column:
 
 
 def email_valid(c: Column) -> Column:
-    local = r"[\p{L}\p{N}!#$%&'*+/=?^_`{|}~-]+"
+    local = r"[\p{L}\p{N}!#$%&'*+/=?^_`{|}~-]++"
     label = r"[\p{L}\p{N}]([\p{L}\p{N}-]*[\p{L}\p{N}])?"
-    rule = c.rlike(rf"^{local}(\.{local})*@{label}(\.{label})+$") & (F.length(c) <= 254)
-    return F.coalesce(rule, F.lit(False))
+    rule = c.rlike(rf"^{local}(\.{local})*+@{label}(\.{label})+$")
+    # The length first: the pattern recurses over its groups.
+    return F.coalesce(F.when(F.length(c) <= 254, rule), F.lit(False))
 
 
 def url_host(c: Column) -> Column:

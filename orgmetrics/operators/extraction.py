@@ -217,9 +217,13 @@ def page_chunks(df: DataFrame, last_page: str = "last_page", size: int = urls.CH
 
 def extract_activity_links(pages: DataFrame, site: Site, base: Column | None = None) -> DataFrame:
     """One row per activity card of listing pages: the first title link inside the card."""
-    base = F.lit(site.activities_url + "/") if base is None else base
+    return listed_cards(extract_listing(pages, site), site, base)
+
+
+def extract_listing(pages: DataFrame, site: Site) -> DataFrame:
+    """One row per listing page: ``last_page`` and the title link of each card, all in one reading."""
     keep = [c for c in pages.columns if c != "html"]
-    found = match_nodes(pages, _only(site.activity_selectors, "card", "card_link"))
+    found = match_nodes(pages, _only(site.activity_selectors, "card", "card_link", "last_page"))
     # The card has to be in scope of the lambda, so links are looked up card by card in the row.
     links = F.transform(
         nodes_of("card"),
@@ -227,7 +231,15 @@ def extract_activity_links(pages: DataFrame, site: Site, base: Column | None = N
             F.filter(nodes_of("card_link"), lambda n: inside(n, card)), F.lit(1)
         )["href"],
     )
-    cards = found.select(*keep, F.posexplode(links).alias("position", "href"))
+    number = urls.query_page_number(first_of("last_page")["href"])
+    return found.select(*keep, number.alias("last_page"), links.alias("links"))
+
+
+def listed_cards(listing: DataFrame, site: Site, base: Column | None = None) -> DataFrame:
+    """One row per activity card of listing pages that were read."""
+    base = F.lit(site.activities_url + "/") if base is None else base
+    keep = [c for c in listing.columns if c not in ("last_page", "links")]
+    cards = listing.select(*keep, F.posexplode("links").alias("position", "href"))
     return cards.filter(F.col("href").contains(site.activity_marker)).select(
         *keep,
         "position",
@@ -265,12 +277,13 @@ def extract_activities(pages: DataFrame, site: Site, as_of: Column) -> DataFrame
     places = every("place")
     date_texts = F.transform(every("date"), lambda n: node_text(n))
     goal = first("goal")
-    goal_items = F.array().cast("array<string>")
+    # A goal with a list is the list's texts, also if they are all blank; else it is its own text.
+    goal_text = node_text(goal)
     for label in reversed(_numbered(s, "goal")):
         one = first_of(label)
-        own = _texts(_inside_of(label.replace("goal", "goal_item"), one))
-        goal_items = F.when(one.isNotNull(), own).otherwise(goal_items)
-    goal_text = F.when(F.size(goal_items) > 0, F.array_join(goal_items, "\n"))
+        own = _inside_of(label.replace("goal", "goal_item"), one)
+        listed = F.when(F.size(own) > 0, F.array_join(_texts(own), "\n")).otherwise(node_text(one))
+        goal_text = F.when(one.isNotNull(), listed).otherwise(goal_text)
     codes = F.create_map(*(F.lit(x) for pair in COUNTRY_CODES.items() for x in pair))
 
     raw = found.select(
@@ -291,7 +304,7 @@ def extract_activities(pages: DataFrame, site: Site, as_of: Column) -> DataFrame
             F.transform(nodes_of("sdg"), lambda n: F.coalesce(n["alt"], F.lit("")))
         ).alias("sdgs"),
         F.array_sort(F.array_distinct(_texts(nodes_of("objective")))).alias("objectives"),
-        text.nonempty(F.coalesce(goal_text, node_text(goal))).alias("activity_goal"),
+        text.nonempty(goal_text).alias("activity_goal"),
     )
     start = F.coalesce("_start", day)
     end = F.when(F.col("_start").isNull(), day).otherwise(F.coalesce("_end", "_start"))
@@ -311,17 +324,21 @@ def page_fanout(
 ) -> tuple[DataFrame, DataFrame]:
     """(listing pages found, listing pages that never landed) for every section's page range.
 
-    ``sections`` holds ``activities_platform_slug``, ``last_pages`` the last page by slug. Pass
-    ``pages`` without their text: only addresses are compared.
+    ``sections`` holds ``activities_platform_slug``, which sections may share, and ``last_pages`` the
+    last page by slug. Pass ``pages`` without their text: only addresses are compared. Ranges are
+    built once per slug; the sections come last, so each gets every page once.
     """
     slug = "activities_platform_slug"
-    chunks = page_chunks(sections.join(last_pages, slug))
+    others = [c for c in last_pages.columns if c not in (slug, "last_page")]
+    last = last_pages.drop(*others).groupBy(slug).agg(F.max("last_page").alias("last_page"))
+    chunks = page_chunks(last)
     wanted = chunks.withColumn("page", F.explode(F.sequence("first_page", "final_page")))
     wanted = wanted.withColumn(
         "url", urls.listing_page_url(site.activities_url, F.col(slug), F.col("page"))
     )
-    landed = lookup_join(pages, wanted, "url")
-    return landed, wanted.join(pages.select("url").distinct(), "url", "left_anti")
+    landed = lookup_join(pages, wanted, "url").join(sections, slug)
+    missing = wanted.join(pages.select("url").distinct(), "url", "left_anti").join(sections, slug)
+    return landed, missing
 
 
 def linked_activities(cards: DataFrame) -> DataFrame:

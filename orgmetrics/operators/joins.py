@@ -1,83 +1,19 @@
-"""Equi-joins of a large side with a side whose key is unique, safe against hot keys."""
+"""Equi-joins of a large side with a side whose key is unique."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-HOT_ROWS = 2_000_000  # rows of one key that a single task should not take alone
-HOT_KEYS = 1024  # at most this many keys are spread, the largest ones
-SALTS = 64
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` is expected under the session's own broadcast limit.
-
-    Catalyst takes the product of the sides as the size of a join, so a small table joined to a
-    smaller one counts as huge; the inputs' total is a second estimate and the lower one counts.
-    This only picks the shape of a plan. What is broadcast in the end is decided by Catalyst and
-    by the sizes AQE measures, never by a hint.
-    """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    inputs = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return limit > 0 and min(int(str(plan.stats().sizeInBytes())), inputs) <= limit
-
-
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys of more than ``hot_rows`` rows, never more than ``HOT_KEYS`` of them."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-    return counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS).select(*on)
 
 
 def lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    hot_rows: int = HOT_ROWS,
+    facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner"
 ) -> DataFrame:
     """``facts.join(dim, on, how)`` for a ``dim`` with one row per key.
 
-    ``how`` is one of inner, left, left_semi, left_anti. A ``dim`` under the broadcast limit is
-    left to Catalyst. Beyond it both sides are shuffled, and a key that holds a large share of
-    the facts (NULL included) would make one task do most of the work: its facts are spread over
-    ``salts`` tasks and its one ``dim`` row is copied to each. All other keys join as usual, so
-    the result is whole whichever keys count as hot.
+    ``how`` is one of inner, left, left_semi, left_anti. Catalyst broadcasts a small ``dim``, and
+    with both sides shuffled AQE splits the partitions of keys that hold a large share of the
+    facts: each part meets a copy of the key's one ``dim`` row. No size is looked at here.
     """
-    on = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dim):
-        return facts.join(dim, on, how)
-    # Salts come from the row itself: a task that runs again sends each row the same way.
-    hashed = [f.name for f in facts.schema if not isinstance(f.dataType, T.MapType)]
-    spread = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
-    no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | F.col(c).isNull()
-    # HOT_KEYS rows at most, so the broadcast is bounded.
-    hot = F.broadcast(hot_keys(facts, on, hot_rows).withColumn("_hot", F.lit(True)))
-    salted = (
-        facts.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    copied = (
-        dim.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt").select(
-        *_output_columns(facts, dim, on, how)
-    )
-
-
-def _output_columns(facts: DataFrame, dim: DataFrame, on: list[str], how: str) -> list[str]:
-    """Column order of the plain join."""
-    left = [*on, *(c for c in facts.columns if c not in on)]
-    if how in ("left_semi", "left_anti"):
-        return facts.columns
-    return [*left, *(c for c in dim.columns if c not in on)]
+    joined = facts.join(dim, on, how)
+    # A join on names moves them to the front; filters leave the facts as they were.
+    return joined.select(*facts.columns) if how in ("left_semi", "left_anti") else joined

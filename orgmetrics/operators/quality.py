@@ -31,7 +31,8 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def accounts_run_summary(countries: DataFrame, sections: DataFrame, errors: DataFrame) -> DataFrame:
-    """One row: countries, sections, sections with a reachable activities page, errors."""
+    """One row: countries, sections, sections with a reachable activities page, and ``errors``, the
+    rows that failed."""
     counted = sections.agg(
         F.count("*").alias("sections_processed"),
         F.count_if("can_scrape_activities").alias("sections_validated"),
@@ -44,7 +45,8 @@ def accounts_run_summary(countries: DataFrame, sections: DataFrame, errors: Data
 def activity_run_summary(
     sections: DataFrame, links: DataFrame, statistics: DataFrame, errors: DataFrame
 ) -> DataFrame:
-    """One row: sections, their activities (one per organiser), statistics rows, errors."""
+    """One row: sections read, their parsed activities (one per section that lists them), parsed
+    statistics documents, and ``errors``, the sections that failed."""
     return sections.agg(F.count("*").alias("sections_processed")).select(
         "sections_processed",
         _count(links).alias("activities_processed"),
@@ -150,16 +152,26 @@ def missing_statistics(sections: DataFrame, statistics: DataFrame) -> DataFrame:
     return eligible.join(have, "id", "left_anti")
 
 
-def missing_causes(sections: DataFrame, observed: DataFrame, causes: DataFrame) -> DataFrame:
-    """(section, cause) pairs of the vocabulary that no activity of the section covers.
+def cause_coverage(sections: DataFrame, observed: DataFrame, causes: DataFrame) -> DataFrame:
+    """Per section how many causes of the vocabulary its activities cover, and how many not.
 
-    The vocabulary is one array for every row; each section subtracts the causes it has.
+    ``observed`` holds (id, name) pairs, repeats included; names beyond the vocabulary do not count.
     """
-    vocabulary = causes.agg(F.collect_set("name").alias("names")).scalar()
-    have = observed.groupBy("id").agg(F.collect_set("name").alias("_have"))
-    none = F.array().cast("array<string>")
-    gaps = F.array_except(vocabulary, F.coalesce("_have", none))
-    return sections.select("id").join(have, "id", "left").select("id", F.explode(gaps).alias("name"))
+    known = observed.join(causes.select("name").distinct(), "name", "left_semi").distinct()
+    covered = known.groupBy("id").agg(F.count("*").alias("n_covered"))
+    n = causes.agg(F.countDistinct("name").alias("n")).scalar()
+    return sections.select("id").join(covered, "id", "left").select(
+        "id",
+        F.coalesce("n_covered", F.lit(0)).alias("n_covered"),
+        (n - F.coalesce("n_covered", F.lit(0))).alias("n_missing"),
+    )
+
+
+def missing_causes(observed: DataFrame, causes: DataFrame, section_id: int | Column) -> DataFrame:
+    """The causes of the vocabulary that the activities of one section do not cover."""
+    wanted = F.lit(section_id) if isinstance(section_id, int) else section_id
+    have = observed.filter(F.col("id") == wanted).select("name").distinct()
+    return causes.select("name").distinct().join(have, "name", "left_anti")
 
 
 def success_by_section(log: DataFrame, section: str, ok: Column) -> DataFrame:

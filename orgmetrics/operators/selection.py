@@ -197,13 +197,29 @@ def links_by_name(
 def organiser_links(
     activities: DataFrame, sections: DataFrame, normalise, activity: str = "activity_id"
 ) -> DataFrame:
-    """(activity, section) pairs, organiser names matched to section names after ``normalise``."""
+    """(activity, section) pairs, organiser names matched to section names after ``normalise``.
+
+    Sections that share a name are all linked.
+    """
     wanted = activities.select(activity, F.explode("organisers").alias("_name"))
+    known = _organiser_sections(wanted.select("_name"), sections, normalise)
+    return wanted.join(known, "_name").select(activity, "section_id").distinct()
+
+
+def _organiser_sections(names: DataFrame, sections: DataFrame, normalise) -> DataFrame:
+    """(organiser name as printed, section). Only distinct names are normalised, never each row."""
     # Never NULL: the join would else test the key for NULL, normalising every name twice.
     key = F.coalesce(normalise(F.col("_name")), F.lit("")).alias("_key")
-    wanted = wanted.select(activity, key).distinct()
+    printed = names.distinct().select("_name", key)
     known = sections.select(normalise(F.col("name")).alias("_key"), F.col("id").alias("section_id"))
-    # Two sections may share a normalised name; the lookup side needs one row per key.
-    known = known.filter(F.col("_key") != "")
-    known = known.groupBy("_key").agg(F.min("section_id").alias("section_id"))
-    return lookup_join(wanted, known, "_key").select(activity, "section_id").distinct()
+    return printed.join(known.filter(F.col("_key") != ""), "_key").select("_name", "section_id")
+
+
+def unknown_organisers(
+    activities: DataFrame, sections: DataFrame, normalise, activity: str = "activity_id"
+) -> DataFrame:
+    """(activity, organiser) of the names that no section has."""
+    wanted = activities.select(activity, F.explode("organisers").alias("_name")).distinct()
+    known = _organiser_sections(wanted.select("_name"), sections, normalise).select("_name").distinct()
+    rest = wanted.join(known, "_name", "left_anti")
+    return rest.select(activity, F.col("_name").alias("organiser"))

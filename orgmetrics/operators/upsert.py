@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orgmetrics.operators.joins import fits_broadcast, lookup_join
+from orgmetrics.operators.joins import lookup_join
 
-ID_BUCKETS = 4096
+BUCKETS_PER_PARTITION = 16
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -29,13 +29,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
 
 
 def assign_ids(
-    new: DataFrame, keys: list[str], after: Column, id_column: str = "id", buckets: int = ID_BUCKETS
+    new: DataFrame, keys: list[str], after: Column, id_column: str = "id", buckets: int | None = None
 ) -> DataFrame:
     """Number rows with unique keys ``after + 1, after + 2, ...`` without gaps.
 
     Ranks within hash buckets plus the bucket's offset: no task sees more than its bucket, and
-    the same input always gets the same ids. Offsets are one row per bucket, hence the broadcast.
+    the same input always gets the same ids for one number of buckets. By default that number is a
+    multiple of the session's shuffle partitions, which are set for the size of the data. Offsets
+    are one row per bucket, hence the broadcast.
     """
+    if buckets is None:
+        partitions = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = BUCKETS_PER_PARTITION * partitions
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     spread = new.withColumn("_bucket", bucket)
     sizes = spread.groupBy("_bucket").agg(F.count("*").alias("_rows"))
@@ -67,20 +72,14 @@ def upsert(
 
     Matched rows take ``update`` from the source, NULLs included, and a fresh ``touched`` stamp;
     every other column keeps its value. New rows get both stamps and, if asked, the next ids.
-    Without ``order_by`` the source must already hold one row per key.
+    Without ``order_by`` the source must already hold one row per key. The source is read more than
+    once: stage a batch that is costly to compute.
     """
     if order_by:
         source = latest_per_key(source, keys, order_by)
     source = source.select(*keys, *update)
-    small = fits_broadcast(source)
-    if not small and not id_column:
-        # A large batch: one shuffle of each side gives old, changed and new rows at once.
-        return _full_merge(target, source, keys, update, as_of, created, touched)
     kept = _overwrite_matches(target, source, keys, update, as_of, touched)
-    if small:
-        new = _without_match(source, target, keys)
-    else:
-        new = source.join(target.select(*keys), keys, "left_anti")
+    new = _without_match(source, target, keys)
     return kept.unionByName(_as_new_rows(new, target, keys, as_of, created, touched, id_column))
 
 
@@ -91,11 +90,8 @@ def upsert_affected(
     if order_by:
         source = latest_per_key(source, keys, order_by)
     source = source.select(*keys, *update)
-    if fits_broadcast(source):
-        # Only the matched keys come back from the target, never more than the batch.
-        known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    else:
-        known = target.select(*keys)
+    # Only the matched keys come back from the target, never more than the batch.
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
     hit = source.join(known.withColumn("_hit", F.lit(True)), keys, "left")
     action = F.when(F.col("_hit"), "updated").otherwise("inserted")
     return hit.select(*keys, *update, action.alias("action"))
@@ -120,24 +116,13 @@ def _next_value(name, update, as_of, touched) -> Column:
     return value.alias(name)
 
 
-def _full_merge(target, source, keys, update, as_of, created, touched) -> DataFrame:
-    old = target.withColumn("_old", F.lit(True))
-    values = {c: _next_value(c, update, as_of, touched) for c in target.columns}
-    if created:
-        values[created] = F.when(F.col("_old"), F.col(created)).otherwise(as_of).alias(created)
-    joined = old.join(_fresh(source, keys, update), keys, "full_outer")
-    return joined.select(*(values[c] for c in target.columns))
-
-
 def _without_match(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a small ``source`` whose key the target lacks.
+    """Rows of ``source`` whose key the target lacks.
 
-    The keys of a large target are first cut down to those of the batch, where the batch can be
-    broadcast; what comes back is no larger than the batch.
+    The keys of the target are first cut down to those of the batch: where Catalyst broadcasts the
+    batch, the target is not shuffled, and what comes back is no larger than the batch.
     """
-    known = target.select(*keys)
-    if not fits_broadcast(known):
-        known = known.join(source.select(*keys), keys, "left_semi")
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
     return source.join(known, keys, "left_anti")
 
 
@@ -162,9 +147,7 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
     """Rows that an insert with "do nothing on conflict" adds; union them to the target."""
     rows = source.select(*target.columns)
     rows = rows.distinct() if set(keys) == set(rows.columns) else rows.dropDuplicates(keys)
-    if fits_broadcast(rows):
-        return _without_match(rows, target, keys)
-    return rows.join(target.select(*keys), keys, "left_anti").select(*target.columns)
+    return _without_match(rows, target, keys).select(*target.columns)
 
 
 def replace_links(

@@ -76,15 +76,16 @@ def accounts_run(
         as_of,
         id_column="id",
     )
+    # The last visit is that of a section's activities: the queue is ordered by it.
     next_sections = stage.table(next_sections, "next_sections")
-    next_sections = upsert.touch(next_sections, found_sections, slug, "last_scraped", as_of)
 
     errors = validation.error_rows(checked_countries, "accounts", as_of).unionByName(
         validation.error_rows(checked_sections, "accounts", as_of)
     )
     errors = stage.table(errors, "errors")
+    failed = checked_countries.select("is_valid").unionByName(checked_sections.select("is_valid"))
     summary = quality.accounts_gate(
-        quality.accounts_run_summary(found_countries, found_sections, errors)
+        quality.accounts_run_summary(found_countries, found_sections, failed.filter("NOT is_valid"))
     )
     summary = stage.table(summary, "summary")
     status = run_status(summary, "accounts", as_of)

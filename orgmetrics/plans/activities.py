@@ -49,7 +49,8 @@ def activities_run(
 ) -> ActivitiesRun:
     """``stored`` maps table names to the stored tables; ``only`` picks one section by its slug."""
     stage = Stage(pages.sparkSession, "activities")
-    good, _ = page_gate(pages)
+    good, rejected = page_gate(pages)
+    narrow = bool(only or limit)  # a run over few sections reads only their pages
     sections = stored["sections"]
     queue = (
         selection.section_by_slug(sections, only)
@@ -59,16 +60,18 @@ def activities_run(
     queue = stage.table(queue.select("id", "name", SLUG), "queue")
 
     listing = good.filter(F.col("url").startswith(site.activities_url + "/organisation/"))
-    landed, missing_listing = _listing_pages(queue, listing, site, stage)
-    landed = stage.table(landed, "landed")
-    cards = extraction.extract_activity_links(only_wanted(listing, landed), site)
-    cards = from_latest(cards, listing).drop("page_id")
-    cards = stage.table(lookup_join(cards, landed.select("url", "id"), "url"), "cards")
+    listing = listing.filter(F.col("url").rlike(r"/activities(\?|$)"))
+    listed, landed, missing_listing = _listing_pages(queue, listing, site, stage, narrow)
+    # Sections that share a slug share its pages, so a page may belong to several.
+    cards = extraction.listed_cards(listed, site).drop("page_id")
+    cards = stage.table(cards.join(landed.select("url", "id"), "url"), "cards")
 
     events = good.filter(F.col("url").startswith(site.activities_url + site.activity_marker))
-    linked = extraction.linked_activities(cards)
+    linked = stage.table(extraction.linked_activities(cards), "linked")
     missing_detail = linked.join(events.select("url").distinct(), "url", "left_anti")
-    parsed = extraction.extract_activities(only_wanted(events, linked), site, as_of)
+    # Every page is parsed once, before anything is joined, and what it gave is written.
+    wanted = only_wanted(events, linked) if narrow else events
+    parsed = stage.table(extraction.extract_activities(wanted, site, as_of), "parsed")
     parsed = lookup_join(from_latest(parsed, events).drop("page_id"), linked, "url")
     # One event may be reachable under two addresses.
     parsed = upsert.latest_per_key(parsed, ["event_slug"], ["url"])
@@ -84,16 +87,21 @@ def activities_run(
     touched = stage.table(activities.join(ids, "event_slug"), "touched")
 
     tables = {"activities": next_activities, **_links(touched, sections, stored)}
-    found_statistics = _statistics(queue, good, stored, site, as_of, stage)
+    found_statistics, documents, invalid = _statistics(
+        queue, good, stored, site, as_of, stage, narrow
+    )
     tables.update(found_statistics)
     done = landed.filter(F.col("page") == 0).select("id")
     tables["sections"] = upsert.touch(sections, done, "id", "last_scraped", as_of)
 
     errors = validation.error_rows(checked, "activities", as_of, event_slug=F.col("event_slug"))
-    errors = stage.table(errors.unionByName(countries_unknown), "errors")
-    failed = stage.table(_failures(missing_listing, missing_detail, as_of), "failed")
+    errors = stage.table(errors.unionByName(countries_unknown).unionByName(invalid), "errors")
+    failed = _failures(missing_listing, missing_detail, rejected, as_of)
+    failed = stage.table(failed, "failed")
+    listed_by = cards.join(checked.select("event_slug"), "event_slug", "left_semi")
+    listed_by = listed_by.select("id", "event_slug").distinct()
     summary = quality.activity_run_summary(
-        done, cards, found_statistics["section_overall_statistics"], failed
+        done, listed_by, documents, queue.join(done, "id", "left_anti")
     )
     summary = stage.table(quality.activities_gate(summary), "summary")
     return ActivitiesRun(
@@ -101,20 +109,29 @@ def activities_run(
     )
 
 
-def _listing_pages(queue, listing, site, stage) -> tuple[DataFrame, DataFrame]:
-    """(addresses of landed listing pages with their section, wanted ones that are missing)."""
-    first = queue.select(
+def _listing_pages(queue, listing, site, stage, narrow) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(what the listing pages say, landed addresses by section, wanted ones that are missing)."""
+    slugs = queue.select(SLUG).distinct()
+    if narrow:
+        folder = urls.listing_url(site.activities_url, F.col(SLUG)).alias("folder")
+        own = F.substring_index("url", "?", 1).alias("folder")
+        listing = listing.withColumn("folder", own).join(slugs.select(folder), "folder", "left_semi")
+        listing = listing.drop("folder")
+    # One reading gives both the number of pages and the cards.
+    listed = stage.table(extraction.extract_listing(listing, site), "listed")
+    listed = from_latest(listed, listing)
+    first = slugs.select(
         SLUG, urls.listing_page_url(site.activities_url, F.col(SLUG), F.lit(0)).alias("url")
     )
-    last = extraction.last_page_number(only_wanted(listing, first), site)
-    last = lookup_join(from_latest(last, listing), first, "url").select(SLUG, "last_page")
+    last = lookup_join(listed.select("url", "last_page"), first, "url").select(SLUG, "last_page")
     # A section without a first page still asks for it, so that the gap is logged.
-    ranges = queue.select(SLUG).join(last, SLUG, "left").select(
+    ranges = slugs.join(last, SLUG, "left").select(
         SLUG, F.coalesce("last_page", F.lit(0)).alias("last_page")
     )
     ranges = stage.table(ranges, "ranges")
     addresses = listing.select("url").distinct()
-    return extraction.page_fanout(queue, addresses, site, ranges)
+    landed, missing = extraction.page_fanout(queue, addresses, site, ranges)
+    return listed, stage.table(landed, "landed"), missing
 
 
 def _known_countries(checked, countries, as_of) -> tuple[DataFrame, DataFrame]:
@@ -153,32 +170,48 @@ def _links(touched: DataFrame, sections: DataFrame, stored: dict) -> dict[str, D
     return result
 
 
-def _statistics(queue, pages, stored, site, as_of, stage) -> dict[str, DataFrame]:
-    """Next versions of the four statistics tables; a section without a document gets zeros."""
+def _statistics(
+    queue, pages, stored, site, as_of, stage, narrow
+) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """(next versions of the four statistics tables, sections with a document, error rows).
+
+    Only a parsed document overwrites stored counts. A section that has neither a document nor a
+    stored row gets zeros. Rows with a negative count are logged and not stored.
+    """
     wanted = queue.select(
         F.col("id").alias("section_id"),
         urls.statistics_url(site.activities_url, F.col(SLUG)).alias("url"),
     )
     ours = pages.filter(F.col("url").rlike("/organisation/[^/]+/statistics$"))
-    parsed = only_wanted(ours, wanted).select(
-        "page_id", "url", page_statistics(F.col("html")).alias("stats")
-    )
-    parsed = lookup_join(from_latest(parsed, ours), wanted, "url").select("section_id", "stats")
+    read = only_wanted(ours, wanted) if narrow else ours
+    read = read.select("page_id", "url", page_statistics(F.col("html")).alias("stats"))
+    read = from_latest(stage.table(read, "statistics_pages"), ours)
+    # Sections that share a slug share its document.
+    parsed = wanted.join(read.filter("stats IS NOT NULL"), "url").select("section_id", "stats")
     parsed = stage.table(parsed, "statistics")
     overall = statistics.overall_statistics(parsed)
-    sections = queue.select(F.col("id").alias("section_id"))
+    known = stored[schemas.OVERALL_STATISTICS.name].select("section_id")
+    rest = queue.select(F.col("id").alias("section_id")).join(known, "section_id", "left_anti")
+    zeros = statistics.zero_filled(rest, overall, "section_id").filter(~F.col("has_statistics"))
     rows = {
-        schemas.OVERALL_STATISTICS: statistics.zero_filled(sections, overall, "section_id"),
+        schemas.OVERALL_STATISTICS: overall.unionByName(zeros),
         schemas.CAUSE_STATISTICS: statistics.category_statistics(parsed, "section_id", "causes"),
         schemas.TYPE_STATISTICS: statistics.category_statistics(parsed, "section_id", "types"),
         schemas.PARTICIPANT_STATISTICS: statistics.category_statistics(
             parsed, "section_id", "participants"
         ),
     }
-    return {
-        table.name: upsert.upsert(
+    tables, invalid = {}, None
+    for table, found in rows.items():
+        counts = [f.name for f in table.schema if f.name in found.columns and _is_count(f)]
+        checked = validation.validate(found, validation.count_rules(counts))
+        checked = stage.table(checked, f"checked_{table.name}")
+        good, _ = validation.split_valid(checked)
+        bad = validation.error_rows(checked, "statistics", as_of, section_id=F.col("section_id"))
+        invalid = bad if invalid is None else invalid.unionByName(bad)
+        tables[table.name] = upsert.upsert(
             stored[table.name],
-            found.withColumn("scraped_at", as_of),
+            good.withColumn("scraped_at", as_of),
             list(table.key),
             list(table.update),
             as_of,
@@ -186,22 +219,28 @@ def _statistics(queue, pages, stored, site, as_of, stage) -> dict[str, DataFrame
             touched=None,
             id_column="id",
         )
-        for table, found in rows.items()
-    }
+    return tables, parsed.select("section_id"), invalid
+
+
+def _is_count(field) -> bool:
+    return field.dataType.typeName() in ("integer", "long") and field.name not in ("id", "section_id")
 
 
-def _failures(missing_listing: DataFrame, missing_detail: DataFrame, as_of: Column) -> DataFrame:
-    """Failure-log rows of the pages that were wanted but never landed."""
+def _failures(
+    missing_listing: DataFrame, missing_detail: DataFrame, rejected: DataFrame, as_of: Column
+) -> DataFrame:
+    """Failure-log rows of the pages that were wanted but never landed, or not as a page."""
     none = F.lit(None).cast("bigint")
     gaps = missing_listing.select("url", F.col("id").alias("section_id")).unionByName(
         missing_detail.select("url", none.alias("section_id"))
     )
-    return gaps.select(
+    reasons = rejected.groupBy("url").agg(F.max("error_message").alias("reason"))
+    return gaps.join(reasons, "url", "left").select(
         "url",
         "section_id",
         F.lit("activities").alias("scraper_module"),
         F.lit(None).cast("int").alias("http_status_code"),
-        F.lit("page not landed").alias("error_message"),
+        F.coalesce("reason", F.lit("page not landed")).alias("error_message"),
         F.lit(0).alias("retry_count"),
         as_of.cast("timestamp_ntz").alias("last_attempt"),
         F.lit(True).alias("will_retry"),

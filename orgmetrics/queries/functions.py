@@ -8,14 +8,12 @@ from orgmetrics.functions import dates, geo, slugs, text, urls
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
-from orgmetrics.sources.tables import spread
 
 c = F.col
 
 
 def _documents(spark, sf):
-    """Texts take real work per row, so a small file is spread over the cores first."""
-    return spread(read_table(spark, sf, "documents"))
+    return read_table(spark, sf, "documents")
 
 
 # RE2 spelling of the blanks that a Unicode-aware split knows.
@@ -346,7 +344,7 @@ def _printed(spark, sf):
         .when(status == "O", F.date_format(day, "MMMM dd, yyyy"))
         .otherwise(F.concat(F.lit("31/02/"), F.date_format(day, "yyyy")))
     )
-    return spread(read_table(spark, sf, "orders")).select(
+    return read_table(spark, sf, "orders").select(
         "o_orderkey", day.cast("date").alias("day"), printed.alias("printed")
     )
 

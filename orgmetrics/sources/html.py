@@ -7,6 +7,7 @@ Python only reports which elements matched; all typing and cleaning stays in col
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -14,8 +15,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgmetrics.sources.tables import spread
-
 # Elements that never have content, elements whose text is not page text,
 # attributes that the selectors' users read.
 _VOID = frozenset(
@@ -67,11 +66,16 @@ class _Matcher(HTMLParser):
     def __init__(self, selectors: dict[str, str]):
         super().__init__(convert_charrefs=True)
         self.rules = [(label, _chain(selector)) for label, selector in selectors.items()]
+        self.none = [0] * len(self.rules)
 
     def nodes(self, html: str) -> list[dict]:
         self.reset()
         self.seen, self.found, self.text = 0, [], []
+        # Open elements, how many of each name and of those without text, and open matched nodes.
         self.stack: list[tuple] = []
+        self.names: Counter[str] = Counter()
+        self.muted = 0
+        self.nodes_open: list[dict] = []
         self.feed(html)
         self.close()
         self._end_text()
@@ -82,37 +86,41 @@ class _Matcher(HTMLParser):
     def _end_text(self, *_):
         text = "".join(self.text).strip()
         self.text.clear()
-        if text and not any(e[0] in _NOT_TEXT for e in self.stack):
-            for element in self.stack:
-                for node in element[3]:
-                    node["texts"].append(text)
+        if text and not self.muted:
+            for node in self.nodes_open:
+                node["texts"].append(text)
 
     def _pop(self):
-        for node in self.stack.pop()[3]:
-            node["stop"] = self.seen
-
-    def _in_scope(self, outer: list) -> bool:
-        """Whether the open elements contain the rest of a descendant chain."""
-        wanted = list(outer)
-        for element in reversed(self.stack):
-            if not wanted:
-                break
-            if _fits(wanted[-1], element):
-                wanted.pop()
-        return not wanted
+        tag, matched, _ = self.stack.pop()
+        self.names[tag] -= 1
+        self.muted -= tag in _NOT_TEXT
+        for _ in range(matched):
+            self.nodes_open.pop()["stop"] = self.seen
 
     def handle_starttag(self, tag, attrs):
         self._end_text()
         self.seen += 1
         own = {k: v or "" for k, v in attrs}
-        element = (tag, frozenset(own.get("class", "").split()), own, [])
-        for label, chain in self.rules:
-            if _fits(chain[-1], element) and self._in_scope(chain[:-1]):
-                node = {"sel": label, "start": self.seen, "stop": self.seen, "texts": []}
-                node.update({a.replace("-", "_"): own.get(a) for a in _ATTRIBUTES})
-                element[3].append(node)
-                self.found.append(node)
-        self.stack.append(element)
+        element = (tag, frozenset(own.get("class", "").split()), own)
+        matched = 0
+        # How many outer steps of each chain the open elements fulfil, from the outermost on.
+        steps = self.stack[-1][2] if self.stack else self.none
+        after = None
+        for i, (label, chain) in enumerate(self.rules):
+            outer = len(chain) - 1
+            if steps[i] == outer:
+                if _fits(chain[-1], element):
+                    node = {"sel": label, "start": self.seen, "stop": self.seen, "texts": []}
+                    node.update({a.replace("-", "_"): own.get(a) for a in _ATTRIBUTES})
+                    self.nodes_open.append(node)
+                    self.found.append(node)
+                    matched += 1
+            elif _fits(chain[steps[i]], element):
+                after = after or list(steps)
+                after[i] += 1
+        self.stack.append((tag, matched, after or steps))
+        self.names[tag] += 1
+        self.muted += tag in _NOT_TEXT
         if tag in _VOID:
             self._pop()
 
@@ -123,7 +131,7 @@ class _Matcher(HTMLParser):
 
     def handle_endtag(self, tag):
         self._end_text()
-        if any(e[0] == tag for e in self.stack):
+        if self.names[tag]:
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -138,7 +146,8 @@ def match_nodes(pages: DataFrame, selectors: dict[str, str], html: str = "html")
     """Replace the ``html`` column by ``nodes``: every element that one of the selectors matches.
 
     Supported: tag, class, compound class, descendant, ``[a]``, ``[a="v"]``, ``[a*="v"]``.
-    Each page is read once whatever the number of selectors; only small inputs are shuffled.
+    Each page is read once whatever the number of selectors, in the partitions of the scan: page text
+    is never shuffled. Small tables of large pages want a smaller ``maxPartitionBytes``.
     ``start``/``stop`` number the elements in document order: B lies in A when
     ``A.start < B.start <= A.stop``.
     """
@@ -155,7 +164,7 @@ def match_nodes(pages: DataFrame, selectors: dict[str, str], html: str = "html")
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html]
     schema = ", ".join([*fields, f"nodes {NODES_DDL}"])
-    return spread(pages.select(*keep, html)).mapInArrow(read, schema)
+    return pages.select(*keep, html).mapInArrow(read, schema)
 
 
 def nodes_of(label: str) -> Column:

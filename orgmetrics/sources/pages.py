@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgmetrics.operators.joins import fits_broadcast, lookup_join
+from orgmetrics.operators.joins import lookup_join
 from orgmetrics.schemas import PAGE_DDL
 
 
@@ -27,14 +27,8 @@ def page_gate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def only_wanted(pages: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Drop pages whose ``url`` is not wanted, where that is free.
-
-    A short list of addresses is broadcast and saves the parsing of all other pages. A long one
-    would shuffle the pages' text, so then every page is parsed and the far smaller parsed rows
-    are joined instead: callers always join the rows to ``wanted`` afterwards.
-    """
-    addresses = wanted.select("url").distinct()
-    return pages.join(addresses, "url", "left_semi") if fits_broadcast(addresses) else pages
+    """The pages whose ``url`` is in a short list, such as that of a run with a limit."""
+    return pages.join(wanted.select("url").distinct(), "url", "left_semi")
 
 
 def from_latest(rows: DataFrame, pages: DataFrame) -> DataFrame:

@@ -17,19 +17,6 @@ def read_table(
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small input before CPU-bound work.
-
-    A file of one row group is one task however many cores wait. An input of at least one full
-    split per core is left as the scan divides it, so large tables are never shuffled for this.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * split else df
-
-
 def empty_table(spark: SparkSession, table: Table) -> DataFrame:
     return spark.createDataFrame([], table.schema)
 

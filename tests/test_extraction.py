@@ -277,3 +277,35 @@ def test_zero_fill(spark):
         (0, 7, 2, 10, 5, 0, True),
         (1, 0, 0, 0, 0, 0, False),
     ]
+
+
+@pytest.mark.parametrize(
+    ("inner", "goal"),
+    [("Intro<ul><li> </li><li></li></ul>", None), ("Intro<ul><li>a</li><li> </li></ul>", "a"), ("Intro", "Intro"), (" ", None)],
+)
+def test_a_goal_with_a_list_is_its_items(spark, inner, goal):
+    """Also if all items are blank; a goal without a list is its own text."""
+    html = f'<html><div class="activity__field-ct-act-goal-activity"><div class="field__item">{inner}</div></div></html>'
+    pages = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    found = extraction.extract_activities(pages, SITE, F.lit("2023-11-08").cast("timestamp_ntz"))
+    assert found.first()["activity_goal"] == goal
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    from orgmetrics.sources.html import _Matcher
+
+    matcher = _Matcher({"x": "div.a b", "y": "p i"})
+    started = time.perf_counter()
+    found = matcher.nodes("<html><div class=a>" + "<p>text" * 100_000 + "<b>end</b></i>")
+    assert time.perf_counter() - started < 5
+    assert [n["texts"] for n in found] == [["end"]]
+
+
+def test_scopes_of_nested_elements():
+    from orgmetrics.sources.html import _Matcher
+
+    matcher = _Matcher({"x": "div.a p b", "y": "div div i"})
+    found = matcher.nodes("<div class=a><b>1</b><p><b>2</b><u><b>3</b></u></p><b>4</b></div><p><b>5</b></p><div><i>6</i><div><i>7</i></div><i>8</i></div>")
+    assert [(n["sel"], n["texts"]) for n in found] == [("x", ["2"]), ("x", ["3"]), ("y", ["7"])]

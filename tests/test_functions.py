@@ -301,3 +301,26 @@ def test_scalar_functions_need_no_python(spark):
         slugs.activities_slug(F.col("name"), "net"), dates.parse_event_date(F.col("day"))
     )._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "slug"),
+    [
+        ("NET თბილისი", "net-t-bilisi"), ("Net Երևան", "net-erewan"), ("NET Қазақстан", "net-kazakstan"),
+        ("Net Ғылым үй", "net-gylym-ui"), ("net Batumi ბათუმი", "net-batumi-bat-umi"),
+    ],
+)
+def test_slugs_of_other_scripts(spark, name, slug):
+    assert of(spark, lambda c: slugs.activities_slug(c, "net"), name) == slug
+
+
+def test_long_words_take_linear_time(spark):
+    import time
+
+    started = time.perf_counter()
+    assert of(spark, text.mask_emails, "a" * 1_000_000) == "a" * 1_000_000
+    assert of(spark, text.mask_emails, "x" * 100_000 + "@b.example y") == "[email] y"
+    assert of(spark, text.mask_emails, "a.b@c.de, (d@e.fg)@h.ij k@l") == "[email], ([email])@h.ij k@l"
+    assert of(spark, urls.email_valid, "a." * 500_000 + "b@c.de") is False
+    assert of(spark, urls.email_valid, "a.b@c.de") is True
+    assert time.perf_counter() - started < 10

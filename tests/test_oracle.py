@@ -9,10 +9,10 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__
+from orgmetrics.queries import ORACLES, QUERIES
 from tests.compare import differences, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,8 @@ SHUFFLED = [
     "section_report",
     "country_trend",
     "organiser_links",
+    "unknown_organisers",
+    "cause_coverage",
     "link_by_name",
     "missing_causes",
     "fk_orphans",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,7 +91,7 @@ def test_accounts_run(accounts):
         ("TR", "Türkiye", 2),
     ]
     found = accounts.sections.select("accounts_platform_slug", "city", "can_scrape_activities", "last_scraped")
-    assert rows(found) == [("tr-a", "Ankara", True, AS_OF), ("tr-b", None, False, AS_OF)]
+    assert rows(found) == [("tr-a", "Ankara", True, None), ("tr-b", None, False, None)]
     assert sorted(r["id"] for r in accounts.sections.collect()) == [1, 2]
     assert accounts.sections.schema.names == schemas.SECTIONS.schema.names
     assert rows(accounts.validation_errors.select("field_name")) == [("accounts_platform_slug",), ("country_code",)]
@@ -141,6 +142,71 @@ def test_activities_run(spark, pages, stored):
         assert rows(again.tables[name]) == rows(frame), name
 
 
+def test_sections_that_share_a_slug(spark, pages, stored):
+    """Both get every card and every gap once; neither multiplies the other's rows."""
+    sections = stored["sections"]
+    one = sections.filter("accounts_platform_slug = 'tr-a'")
+    twin = one.withColumn("id", F.lit(77).cast("bigint")).withColumn("accounts_platform_slug", F.lit("tr-z"))
+    both = {**stored, "sections": sections.unionByName(twin.withColumn("name", F.lit("NET-ALPHA")))}
+    run = activities_run(pages, both, SITE, as_of())
+    first = one.first()["id"]
+    summary = run.summary.first()
+    assert (summary["sections_processed"], summary["activities_processed"], summary["statistics_processed"]) == (2, 6, 2)
+    assert summary["errors"] == 0
+    url = f"{ACTIVITIES}/organisation/net-alpha/activities?page=2"
+    assert rows(run.failed_scrapes.filter(F.col("url") == url).select("section_id")) == sorted([(first,), (77,)], key=str)
+    links = run.tables["activity_section_organisers"]
+    assert rows(links.groupBy("section_id").count()) == sorted([(first, 3), (77, 3)], key=str)
+    assert run.tables["section_overall_statistics"].count() == 2
+
+
+def test_statistics_outlive_a_missing_page(spark, pages, stored):
+    section = stored["sections"].filter("accounts_platform_slug = 'tr-a'").first()["id"]
+    table = schemas.OVERALL_STATISTICS
+    kept = conform(spark.createDataFrame([(1, section, 77, 5)], "id bigint, section_id bigint, physical_activities bigint, online_activities bigint"), table)
+    without = pages.filter(~F.col("url").endswith("/statistics"))
+    run = activities_run(without, {**stored, table.name: kept}, SITE, as_of())
+    assert rows(run.tables[table.name].select("section_id", "physical_activities", "online_activities")) == [(section, 77, 5)]
+    assert run.summary.first()["statistics_processed"] == 0
+    # A section that never had any gets zeros.
+    fresh = activities_run(without, stored, SITE, as_of()).tables[table.name]
+    assert rows(fresh.select("section_id", "physical_activities")) == [(section, 0)]
+
+
+def test_negative_statistics_are_logged_and_not_stored(spark, pages, stored):
+    document = json.loads(json.dumps(DOCUMENT).replace('"7"', '"-7"').replace(" 7]", " -7]"))
+    text = f"{HEAD}{json.dumps(document)}</script></html>"
+    assert "-7" in text
+    changed = pages.withColumn("html", F.when(F.col("url").endswith("/statistics") & F.col("html").contains("script"), text).otherwise(F.col("html")))
+    run = activities_run(changed, stored, SITE, as_of())
+    assert run.tables["section_overall_statistics"].count() == 0
+    logged = run.validation_errors.filter("scraper_module = 'statistics'").select("field_name").distinct()
+    assert ("physical_activities",) in rows(logged)
+
+
+def test_rejected_pages_are_logged_with_their_reason(spark, pages, stored):
+    url = f"{ACTIVITIES}/activity/gone-3"
+    broken = pages.unionByName(spark.createDataFrame([(99, url, "no markup")], PAGE_DDL))
+    run = activities_run(broken, stored, SITE, as_of())
+    assert rows(run.failed_scrapes.filter(F.col("url") == url).select("error_message")) == [("no html element",)]
+
+
+def test_every_page_is_parsed_once(spark, pages, stored, no_broadcast):
+    """One reading per good page of a kind, whatever the number of joins behind it."""
+    activities_run(pages, stored, SITE, as_of())
+    kinds = {"listed": "/organisation/%/activities?page=%", "parsed": "/activity/%"}
+    written = {}
+    for folder in Path(shared_dir(spark)).glob("activities-*"):
+        written[folder.stat().st_mtime] = folder
+    last = written[max(written)]
+    for name, like in kinds.items():
+        landed = pages.filter(F.col("url").like(f"{ACTIVITIES}{like}") & F.col("html").contains("<html")).count()
+        assert spark.read.parquet(f"{last}/{name}").count() == landed
+    for frame in (spark.read.parquet(f"{last}/cards"), spark.read.parquet(f"{last}/activities")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan
+
+
 def test_full_run_refreshes_sections_only_when_due(spark, pages, answers, accounts):
     empty = {name: empty_table(spark, t) for name, t in schemas.TABLES.items()}
     first, activities = full_run(pages, answers, empty, SITE, as_of())
