@@ -188,17 +188,15 @@ def stats_recomputed(spark, sf):
     return statistics.recomputed_statistics(rows, "section_id", "type", F.col("online"))
 
 
-def _recent_overall(spark, sf):
-    """Overall statistics of the sections active since 30 October 2001."""
-    recent = F.col("l_shipdate") >= F.lit("2001-10-30").cast("timestamp_ntz")
+# Documents stand for sections and labels, which some lack, for their statistics.
+def _labelled(spark, sf):
     zero = F.lit(0).cast("bigint")
     return (
-        read_table(spark, sf, "lineitem")
-        .filter(recent)
-        .groupBy(F.col("l_suppkey").alias("section_id"))
+        read_table(spark, sf, "labels")
+        .groupBy(F.col("doc_id").alias("section_id"))
         .agg(
-            F.count_if(F.col("l_linestatus") != "O").alias("physical_activities"),
-            F.count_if(F.col("l_linestatus") == "O").alias("online_activities"),
+            F.sum("quality").alias("physical_activities"),
+            F.sum("toxic").alias("online_activities"),
         )
         .select(
             "*",
@@ -209,24 +207,25 @@ def _recent_overall(spark, sf):
     )
 
 
-_RECENT = """recent AS (
-  SELECT l_suppkey AS section_id, count(*) FILTER (l_linestatus <> 'O') AS physical_activities,
-         count(*) FILTER (l_linestatus = 'O') AS online_activities
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-30' GROUP BY 1)"""
+_LABELLED = """labelled AS (
+  SELECT doc_id AS section_id, sum(quality)::BIGINT AS physical_activities, sum(toxic)::BIGINT AS online_activities
+  FROM labels GROUP BY 1)"""
 
 
-@query(f"""WITH {t.SECTIONS}, {_RECENT}
-SELECT id, name FROM sections WHERE can_scrape_activities AND id NOT IN (SELECT section_id FROM recent)""")
+@query(f"""WITH {_LABELLED}
+SELECT doc_id AS id, source AS name FROM documents WHERE lang = 'en' AND doc_id NOT IN (SELECT section_id FROM labelled)""")
 def missing_statistics(spark, sf):
-    rows = t.sections(spark, sf, visits=False)
-    return quality.missing_statistics(rows, _recent_overall(spark, sf)).select("id", "name")
+    rows = read_table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("name"), (F.col("lang") == "en").alias("can_scrape_activities")
+    )
+    return quality.missing_statistics(rows, _labelled(spark, sf)).select("id", "name")
 
 
-@query(f"""WITH {_RECENT}
-SELECT s_suppkey AS section_id, coalesce(physical_activities, 0) AS physical_activities,
+@query(f"""WITH {_LABELLED}
+SELECT doc_id AS section_id, coalesce(physical_activities, 0) AS physical_activities,
        coalesce(online_activities, 0) AS online_activities, 0::BIGINT AS total_local_students,
        0::BIGINT AS total_international_students, 0::BIGINT AS total_coordinators, section_id IS NOT NULL AS has_statistics
-FROM supplier LEFT JOIN recent ON section_id = s_suppkey""")
+FROM documents LEFT JOIN labelled ON section_id = doc_id""")
 def stats_zero_fill(spark, sf):
-    rows = read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("section_id"))
-    return statistics.zero_filled(rows, _recent_overall(spark, sf), "section_id")
+    rows = read_table(spark, sf, "documents").select(F.col("doc_id").alias("section_id"))
+    return statistics.zero_filled(rows, _labelled(spark, sf), "section_id")

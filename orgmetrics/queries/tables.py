@@ -33,6 +33,8 @@ SCHEMAS = {
     "props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 
 

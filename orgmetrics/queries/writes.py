@@ -252,13 +252,12 @@ def replace_links(spark, sf):
 
 
 @query(f"""WITH {t.SECTIONS}
-SELECT id, name, CASE WHEN id IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-15')
+SELECT id, name, CASE WHEN id IN (SELECT doc_id FROM labels)
        THEN TIMESTAMP '{t.AS_OF_TIME}' ELSE last_scraped END AS last_scraped
 FROM visited""")
 def touch_last_scraped(spark, sf):
-    """Sections with a line item since mid October 2001 count as processed."""
-    recent = F.col("l_shipdate") >= F.lit("2001-10-15").cast("timestamp_ntz")
-    done = t.links(spark, sf, recent).select(F.col("section_id").alias("id"))
+    """Sections whose number has a label count as processed."""
+    done = read_table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
     target = t.sections(spark, sf).select("id", "name", "last_scraped")
     return upsert.touch(target, done, "id", "last_scraped", _NOW())
 
@@ -390,17 +389,13 @@ def union_chunks(spark, sf):
     return part("returned", "l_returnflag = 'R'").unionByName(part("open", "l_linestatus = 'O'"))
 
 
-@query(f"""WITH {t.SECTIONS},
-stored AS (SELECT accounts_platform_slug AS slug FROM sections WHERE s_acctbal >= 0),
-crawled AS (SELECT DISTINCT lower(replace(s_name, '#', '-')) AS slug FROM supplier JOIN lineitem ON l_suppkey = s_suppkey
-            WHERE l_shipdate >= TIMESTAMP '2001-09-01')
-SELECT slug AS accounts_platform_slug,
-       CASE WHEN stored.slug IS NULL THEN 'new' WHEN crawled.slug IS NULL THEN 'gone' ELSE 'kept' END AS state
-FROM stored FULL JOIN crawled USING (slug)""")
+@query("""WITH stored AS (SELECT DISTINCT doc_id FROM labels), crawled AS (SELECT DISTINCT vec_id FROM embeddings)
+SELECT coalesce(doc_id, vec_id) AS id,
+       CASE WHEN doc_id IS NULL THEN 'new' WHEN vec_id IS NULL THEN 'gone' ELSE 'kept' END AS state
+FROM stored FULL JOIN crawled ON doc_id = vec_id""")
 def section_diff(spark, sf):
+    """Labels stand for the stored sections, embeddings for the crawled ones."""
     from orgmetrics.operators.selection import section_diff as diff
 
-    rows = t.sections(spark, sf, visits=False)
-    recent = t.links(spark, sf, F.col("l_shipdate") >= F.lit("2001-09-01").cast("timestamp_ntz"))
-    crawled = rows.join(recent.select(F.col("section_id").alias("id")).distinct(), "id", "left_semi")
-    return diff(crawled, rows.filter("s_acctbal >= 0"), "accounts_platform_slug")
+    stored = read_table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
+    return diff(read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("id")), stored, "id")
