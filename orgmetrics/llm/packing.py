@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from orgmetrics.llm.batches import SharedFolder, text_slices
 
-CACHE_WORDS = 300_000  # distinct words a worker remembers before it starts afresh
-LONG_WORD = 256  # words of more characters are not remembered
-_SPACES = regex.compile(r"\p{White_Space}+")
-_CONTROLS = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
+CACHE_PARTS = 150_000  # distinct parts a worker remembers before it drops those not in use
+BATCH = 10_000  # parts given to the library at a time
+LONG_PART = 256  # parts of more characters are not remembered
+SLICE = 1 << 20  # characters of text whose parts a task holds at a time
 # Characters that are composed, whose lower case is settled, and that no version of Unicode moves.
 _PLAIN = re.compile("[^\x00-\u02ff]")
 
@@ -43,17 +43,20 @@ def _class(kind: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == kind)
 
 
-# Fixed value: how the tokenizer cuts a word of plain characters before it merges.
+_SPACE, _LETTER, _NUMBER = r"\t-\r \x85\xa0", _class("L"), _class("N")
+# Fixed value: how the tokenizer cuts plain characters in lower case before it merges.
 _PARTS = re.compile(
-    f"'(?:s|t|re|ve|m|ll|d)|[{_class('L')}]+|[{_class('N')}]|[^{_class('L')}{_class('N')}]+"
+    f"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
 )
+_WORDS = regex.compile(r"\P{White_Space}+")
+WHOLE = "\n"  # leads words that are left to the library; no part has a line end
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that drops white space and never reaches over it.
 
-    A text is cut at white space, a new word into letters, digits and signs; each distinct part is
-    given to the library once. Words beyond plain characters are left to the library as a whole.
+    A text is cut into runs of letters, digits and signs as the tokenizer does, and each distinct
+    part is given to the library once. Words beyond plain characters are left to it as a whole.
     """
 
     def __init__(self, path: str):
@@ -65,7 +68,12 @@ class WordTokenizer:
         # Tokens that end a word: they tell the words of a joined text apart.
         self.ends = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if end and t.endswith(end)]] = True
-        self.words: dict[str, bytes] = {}
+        # The same merges alone, for parts that are composed, in lower case and cut already.
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = normalizers.Sequence([])
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.parts: dict[str, bytes] = {}
         probe = "Tail  of a “word”,\nİt's 12é!! x-y"
         if self.encode([probe])[0] != self._whole(probe):
@@ -75,50 +83,43 @@ class WordTokenizer:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn_parts(self, parts: list[str]) -> None:
-        coded = self.library.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0]
-        ids = np.array(coded.ids, dtype="<u4")
+        texts = [" ".join(parts[a : a + BATCH]) for a in range(0, len(parts), BATCH)]
+        coded = (self.merger.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in texts)
+        ids = np.concatenate([np.array(c, dtype="<u4") for c in coded])
         edge = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
         if len(edge) != len(parts) + 1:
             raise ValueError("the tokenizer cuts words in another way")
         raw = ids.tobytes()
         self.parts.update((p, raw[a:b]) for p, a, b in zip(parts, edge, edge[1:]))
 
-    def _learn(self, words: list[str]) -> None:
-        joined = "\n".join(words)
-        if _PLAIN.search(joined) or self.added.search(joined):
-            others = [w for w in words if _PLAIN.search(w) or self.added.search(w)]
-            self.words.update((w, self._whole(w)) for w in others)
-            words = list(set(words).difference(others))
-            joined = "\n".join(words)
-        low = joined.lower().split("\n") if words else []
-        letters = [(w, p) for w, p in zip(words, low) if p.isalpha()]
-        mixed = [(w, _PARTS.findall(p)) for w, p in zip(words, low) if not p.isalpha()]
-        parts = {p for _, p in letters}.union(*(p for _, p in mixed))
-        new, known = [p for p in parts if p not in self.parts], self.parts
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(parts)
-        if new:
-            self._learn_parts(new)
-        self.words.update((w, known[p]) for w, p in letters)
-        self.words.update((w, b"".join([known[p] for p in parts])) for w, parts in mixed)
+    def _cut(self, text: str) -> list[str]:
+        if not _PLAIN.search(text) and not self.added.search(text):
+            return _PARTS.findall(text.lower())
+        parts = []
+        for word in _WORDS.findall(text):
+            if _PLAIN.search(word) or self.added.search(word):
+                parts.append(WHOLE + word)
+            else:
+                parts += _PARTS.findall(word.lower())
+        return parts
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [
-            [w for w in _SPACES.split(t) if w] if _CONTROLS.search(t) else t.split() for t in texts
-        ]
-        new = {w for words in split for w in words if w not in self.words}
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {}
-            new = {w for words in split for w in words}
-        if new:
-            self._learn(list(new))
-        coded = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del self.words[word]
-                self.parts.pop(word.lower(), None)
+        cut = [self._cut(t) for t in texts]
+        used = set().union(*cut)
+        new = used.difference(self.parts)
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            # Only what these texts use stays: the frequent parts are among it.
+            self.parts = {p: self.parts[p] for p in used.difference(new)}
+        whole = [p for p in new if p.startswith(WHOLE)]
+        self.parts.update((p, self._whole(p[1:])) for p in whole)
+        plain = list(new.difference(whole))
+        if plain:
+            self._learn_parts(plain)
+        coded = [b"".join(map(self.parts.__getitem__, parts)) for parts in cut]
+        for part in new:
+            if len(part) > LONG_PART:
+                del self.parts[part]
         return coded
 
 
@@ -143,7 +144,7 @@ def cut_into_pieces(
         task, seats = context.partitionId() if context else 0, Counter()
         for batch in batches:
             texts, rows, of = [t or "" for t in batch.column(1).to_pylist()], [], []
-            for a, b in text_slices(texts):
+            for a, b in text_slices(texts, SLICE):
                 for i, ids in enumerate(tokenizer.encode(texts[a:b]), a):
                     ids += last
                     for piece, at in enumerate(range(0, len(ids), 4 * size)):
