@@ -1,10 +1,11 @@
 """MinHash near-dedup over an LSH forest, confirmed on full shingle sets.
 
 1. Texts with equal shingle sets become one node.
-2. Each tree of the forest orders the nodes by its own sequence of min-hashes. Nodes with a common
-   prefix of ``DEPTH`` are a region; a region of too many nodes goes on to longer prefixes until it is
-   small. Within a region, nodes whose signatures agree well enough for the threshold are
-   neighbours. Neighbours form loose clusters: any two texts that reach the threshold are in one.
+2. Each tree of the forest gives a node a prefix of ``DEPTH`` min-hashes of its own. Nodes with a
+   common prefix are a region. All pairs of a region are compared on their signatures, whatever its
+   size: one of more than ``REGION`` nodes is cut into blocks, and every block meets every other.
+   Nodes whose signatures agree well enough for the threshold are neighbours. Neighbours form loose
+   clusters: any two texts that reach the threshold are in one.
 3. The full sets of a cluster are compared exactly, block by block. A text that is known to be
    linked to the largest part of its blocks is compared no further, all others are compared with
    every text of the cluster, so no link between two components is missed.
@@ -13,6 +14,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,10 +29,10 @@ from orgmetrics.llm.shingles import MinHash, Shingler
 
 TREES = 20
 DEPTH = 3  # a pair of similarity 0.8 shares this prefix in some tree but for one time in a million
-DEEPEST = 6
+APART = 6  # min-hashes from the first of one tree to that of the next
 HASHES = 128
 WIDTHS_OF_ERROR = 4.5  # signatures may fall short of the threshold by so many standard deviations
-REGION = 512  # nodes; larger regions go deeper
+REGION = 1024  # nodes; larger regions are compared in blocks of about so many
 BLOCKS = 24  # per cluster, of at least 64 and at most ...
 BLOCK_SHINGLES = 2_000_000  # ... so many shingles
 
@@ -58,7 +60,7 @@ def _describe(docs: DataFrame, width: int, text: str, key: str) -> DataFrame:
             signature = minhash.signature(found)
             prefix = trees.astype(np.uint64)
             for j in range(DEPTH):
-                prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + signature[trees * DEEPEST + j]
+                prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + signature[trees * APART + j]
             return (
                 len(found),
                 hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
@@ -99,29 +101,31 @@ def _by_key(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataF
 
 
 def _regions(nodes: DataFrame, folder: SharedFolder) -> DataFrame:
-    """(region, node, signature) of all regions of more than one node."""
+    """(region, i, j, block, node, signature): every pair of blocks of all regions of several nodes."""
     rows = nodes.select("node", F.posexplode("prefixes").alias("tree", "region"))
     sizes = rows.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-    rows = rows.join(sizes, "region").join(nodes.select("node", "signature"), "node")
+    blocks = F.ceil(F.col("size") / REGION).cast("int")
+    rows = rows.join(sizes.select("region", blocks.alias("blocks")), "region")
+    rows = rows.join(nodes.select("node", "signature"), "node")
     rows = folder.table(rows, "regions")
-    done = rows.filter(F.col("size") <= REGION)
-    large = rows.filter(F.col("size") > REGION)
-    for depth in range(DEPTH, DEEPEST):
-        byte = F.substr("signature", F.col("tree") * DEEPEST + depth + 1, F.lit(1))
-        deeper = large.withColumn("region", F.xxhash64("region", byte)).drop("size")
-        sizes = deeper.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-        deeper = folder.table(deeper.join(sizes, "region"), f"regions-{depth + 1}")
-        done = done.unionByName(deeper.filter(F.col("size") <= REGION))
-        large = deeper.filter(F.col("size") > REGION)
-    # Nodes that agree to the last: cut at random, in another way in every tree.
-    parts = F.ceil(F.col("size") / REGION)
-    cut = F.xxhash64("region", F.pmod(F.xxhash64("node", "tree"), parts))
-    done = done.unionByName(large.withColumn("region", cut))
-    return done.select("region", "node", "signature")
+    block = F.pmod(F.xxhash64("node", "tree"), F.col("blocks")).cast("int")
+    return rows.withColumn("block", block).select(
+        "region", "block", "node", "signature",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    ).select(
+        "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "node", "signature",
+    )
 
 
 def _neighbours(least: float) -> Callable:
-    """Links of one region that connect all nodes whose signatures agree by ``least``."""
+    """Links of a pair of blocks that connect all nodes whose signatures agree by ``least``.
+
+    Two blocks are compared with each other alone: pairs within a block are those of the block and
+    itself. A node is compared no further with nodes that it is connected to already.
+    """
+    enough = math.ceil(least * HASHES)
+    ones = np.uint64(0x0101010101010101)
 
     def run(group: pd.DataFrame) -> list[tuple[int, int]]:
         nodes = group["node"].to_numpy()
@@ -129,17 +133,27 @@ def _neighbours(least: float) -> Callable:
             return []
         signatures = np.frombuffer(b"".join(map(bytes, group["signature"])), dtype=np.uint8)
         signatures = signatures.reshape(len(nodes), HASHES)
-        left, found = np.arange(1, len(nodes)), []
-        todo = [0]
-        while len(left):
+        side = (group["block"].to_numpy() != group["i"].to_numpy()).astype(int)
+        two = bool((group["i"] != group["j"]).iloc[0])
+        left = [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
+        kept = [signatures[x] for x in left]
+        found, todo = [], []
+        # The last block needs no start of its own: what is left there has met all of the first.
+        while todo or len(left[0]):
             if not todo:
-                todo, left = [int(left[0])], left[1:]
-                continue
+                todo.append(int(left[0][0]))
+                left[0], kept[0] = left[0][1:], kept[0][1:]
             at = todo.pop()
-            near = (signatures[left] == signatures[at]).mean(axis=1) >= least
-            found += [(int(nodes[at]), int(nodes[i])) for i in left[near]]
-            todo += left[near].tolist()
-            left = left[~near]
+            to = 1 - side[at] if two else 0
+            if not len(left[to]):
+                continue
+            # One byte per hash that agrees, sixteen words of eight bytes added up, then the bytes.
+            same = (kept[to] == signatures[at]).view(np.uint64).sum(axis=1, dtype=np.uint64)
+            near = (same * ones >> np.uint64(56)) >= enough
+            if near.any():
+                found += [(int(nodes[at]), int(nodes[i])) for i in left[to][near]]
+                todo += left[to][near].tolist()
+                left[to], kept[to] = left[to][~near], kept[to][~near]
         return found
 
     return run
@@ -243,7 +257,7 @@ def near_duplicates(
 
     level = shared / union
     least = level - WIDTHS_OF_ERROR * (level * (1 - level) / HASHES) ** 0.5
-    near = _by_key(_regions(nodes, folder), ["region"], _neighbours(least), "a bigint, b bigint")
+    near = _by_key(_regions(nodes, folder), ["region", "i", "j"], _neighbours(least), "a bigint, b bigint")
     # One document may have several texts.
     same = full.groupBy("doc", "digest").agg(F.max("n_shingles").alias("n"))
     same = same.join(nodes.select("digest", "node"), "digest").select("doc", "node").filter("doc <> node")

@@ -8,6 +8,7 @@ import re
 import pytest
 
 from orgmetrics.llm import line_dedup, near_dedup
+from orgmetrics.llm.batches import SharedFolder
 from orgmetrics.llm.queries import ORACLES, QUERIES
 from tests.compare import differences, duck
 from tests.conftest import rows
@@ -170,3 +171,21 @@ def test_many_lines_in_one_text(spark):
 def test_native_queries_have_no_python_node(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_every_pair_of_a_large_region_is_compared(spark, monkeypatch):
+    """3,000 nodes are one region in each tree; pairs that agree on 0.84 but part there at once are found."""
+    monkeypatch.setattr(near_dedup, "REGION", 300)
+    rng, trees, apart = random.Random(6), near_dedup.TREES, 6
+    start = {apart * t + j for t in range(trees) for j in range(3)}
+    signatures = [bytes(7 if h in start else rng.randrange(256) for h in range(128)) for _ in range(3000)]
+    pairs = [(k, 2999 - k) for k in range(100)]
+    for a, b in pairs:
+        parted = {apart * t + 3 for t in range(trees)}
+        signatures[b] = bytes(x ^ (h in parted) for h, x in enumerate(signatures[a]))
+    given = [(k, list(range(trees)), s) for k, s in enumerate(signatures)]
+    nodes = spark.createDataFrame(given, "node bigint, prefixes array<bigint>, signature binary").repartition(4)
+    regions = near_dedup._regions(nodes, SharedFolder(nodes, "test"))
+    keys = [c for c in regions.columns if c in ("region", "i", "j")]
+    links = near_dedup._by_key(regions, keys, near_dedup._neighbours(0.641), "a bigint, b bigint")
+    assert {(min(a, b), max(a, b)) for a, b in rows(links)} == set(pairs)
