@@ -28,6 +28,11 @@ WINDOWS_PER_TEXT = 8  # of a sampled text, spread over the whole of it
 LEAST_STEPS = 600
 LANGUAGES = 200  # at most, those with the most labelled rows
 UNKNOWN = "und"
+NOISE = "\0noise"  # of the network, never of a text
+SCRIPTS = [  # first and last letter, for noise
+    (0x61, 0x7A), (0xE0, 0xFE), (0x3B1, 0x3C9), (0x430, 0x44F), (0x561, 0x586), (0x5D0, 0x5EA), (0x627, 0x64A),
+    (0x905, 0x939), (0xE01, 0xE2E), (0x10D0, 0x10F0), (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
+]
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -128,6 +133,8 @@ class ByteNetwork:
         weight = np.maximum((windows != 0).sum(axis=1), 1)
         starts = np.cumsum(count) - count
         mean = np.add.reduceat(found * weight[:, None], starts) / np.add.reduceat(weight, starts)[:, None]
+        if NOISE in self.languages:  # what noise takes is missing from the score
+            mean[:, self.languages.index(NOISE)] = -1
         return [
             (self.languages[i], min(1.0, float(p[i]))) if _LETTER.search(t) else (UNKNOWN, 0.0)
             for t, p, i in zip(texts, mean, mean.argmax(axis=1))
@@ -171,23 +178,49 @@ def train(
     return network
 
 
+def _noise(windows: np.ndarray, count: int, seed: int = 3) -> np.ndarray:
+    """Windows in no language: characters of given windows in random order, and random letters."""
+    rng, out = np.random.default_rng(seed), np.zeros((count, WINDOW), dtype=np.uint8)
+    for k in range(count):
+        if k % 2:
+            first, last = SCRIPTS[rng.integers(len(SCRIPTS))]
+            letters = [chr(c) for c in rng.integers(first, last + 1, WINDOW)]
+            for at in np.flatnonzero(rng.random(WINDOW) < 0.15):
+                letters[at] = " "
+        else:
+            given = windows[rng.integers(len(windows))].tobytes().rstrip(b"\0").decode(errors="ignore")
+            letters = [given[i] for i in rng.permutation(len(given))]
+        coded = "".join(letters).encode()[:WINDOW]
+        out[k, : len(coded)] = np.frombuffer(coded, dtype=np.uint8)
+    return out
+
+
+def _chosen(rows: DataFrame, sample: int, lang: str, key: str) -> list:
+    """Keys of at most ``sample`` rows of each language, by a hash of the key; texts are not read."""
+    order = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key)), key)
+    chosen = rows.select(key, lang).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
+    return [r[key] for r in chosen.select(key).distinct().collect()]
+
+
 def fit(
-    labelled: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "lang", key: str = "doc_id"
+    labelled: DataFrame,
+    sample: int = SAMPLE,
+    text: str = "text",
+    lang: str = "lang",
+    key: str = "doc_id",
+    noise: bool = False,
 ) -> ByteNetwork | None:
     """The network of the languages in ``lang``; None if no row has a label and a letter.
 
     Learns from at most ``sample`` texts of each of at most ``LANGUAGES`` languages, chosen by a
     hash of ``key``, and from ``WINDOWS_PER_TEXT`` windows of each, so the driver holds a number of
-    bytes that does not grow with the table.
+    bytes that does not grow with the table. With ``noise`` the network also learns as many windows in
+    no language as a language has on average, and a score is low for texts that resemble them.
     """
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     most = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES)
     languages = sorted(r[lang] for r in most.collect())
-    # The texts are chosen by their keys alone, and read after that.
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key)), key)
-    chosen = rows.filter(F.col(lang).isin(languages)).select(key, lang)
-    chosen = chosen.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
-    keys = [r[key] for r in chosen.select(key).distinct().collect()]
+    keys = _chosen(rows.filter(F.col(lang).isin(languages)), sample, lang, key)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -209,9 +242,35 @@ def fit(
     languages = sorted(set(cut_rows["lang"]))
     windows = np.frombuffer(b"".join(map(bytes, cut_rows["window"])), dtype=np.uint8).reshape(-1, WINDOW)
     answer = cut_rows["lang"].map(languages.index).to_numpy()
+    if noise:
+        added = _noise(windows, -(-len(windows) // len(languages)))
+        windows = np.vstack([windows, added])
+        answer = np.append(answer, np.full(len(added), len(languages)))
+        languages = [*languages, NOISE]
     return train(windows, answer, languages)
 
 
+def levels(
+    network: ByteNetwork, held: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id"
+) -> dict[tuple[str, bool], float]:
+    """Per language, and for texts within one window and longer ones apart: scores below are too low.
+
+    Half the lowest score of at most ``SAMPLE`` labelled texts of ``held`` a language that the
+    network finds to be in it. Without such a text there is no level.
+    """
+    rows = held.filter(F.col(lang).isin(network.languages) & F.col(text).isNotNull())
+    rows = rows.filter(F.col(key).isin(_chosen(rows, SAMPLE, lang, key)))
+    rows = rows.select(F.col(lang).alias("lang"), is_short(F.col(text)).alias("short"), F.col(text).alias("text"))
+    found = identify(rows, network).filter(F.col("lang") == F.col("lang_pred"))
+    least = found.groupBy("lang", "short").agg(F.min("score").alias("score"))
+    return {(r["lang"], r["short"]): r["score"] / 2 for r in least.collect()}
+
+
+def is_short(text: Column) -> Column:
+    """Texts of one window."""
+    return F.octet_length(text) <= WINDOW
+
+
 def identify(
     docs: DataFrame,
     network: ByteNetwork | None,

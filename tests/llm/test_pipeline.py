@@ -74,6 +74,23 @@ def test_clean_documents_are_kept(spark):
         assert pairs(after) == pairs(docs)
 
 
+def test_language_id_rejects_by_the_network(spark):
+    """Every document of the sample's languages stays; random letters of their and other scripts go."""
+    rng = random.Random(2)
+    sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = [tuple(r) for r in sample.filter("n_chars > 300").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+
+    def gibberish(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(150))
+
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"]
+    planted = [(10**6 + k, gibberish(alphabets[k % 3]), None, "s", 1) for k in range(60)]
+    docs = spark.createDataFrame(clean + planted, sample.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").select("doc_id").collect()}
+    assert not kept & {k for k, *_ in planted}
+    assert all(x[0] in kept for x in clean)
+
+
 def test_empty_tables_go_through(spark):
     docs = documents(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
