@@ -50,12 +50,13 @@ def struct_of(**fields: tuple) -> tuple:
 
 
 def per_text(
-    docs: DataFrame, keep: list[str], text: str, added: dict[str, tuple], make: Callable
+    docs: DataFrame, keep: list[str], text: str, added: dict[str, tuple], make: Callable, limit: int = CHUNK_CHARS
 ) -> DataFrame:
     """The columns ``keep``, untouched, and columns computed from every whole text.
 
     ``make()`` is called once per task and gives a function from a list of texts, a null one as
-    empty, to one tuple of added values per text. Texts are handed over in bounded slices.
+    empty, to one tuple of added values per text. Texts are handed over in slices of about ``limit``
+    characters.
     """
     types = [t for _, t in added.values()]
 
@@ -64,7 +65,7 @@ def per_text(
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             rows: list[tuple] = []
-            for a, b in text_slices(texts):
+            for a, b in text_slices(texts, limit):
                 rows += work(texts[a:b])
             columns = list(zip(*rows)) or [()] * len(types)
             arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]

@@ -228,7 +228,7 @@ class BytePairCodec:
             return [chunk[a:b] for _, (a, b) in self.library.pre_tokenize_str(chunk)]
         return WORDS.findall(chunk)
 
-    def _encode_plain(self, text: str) -> str:
+    def encode_plain(self, text: str) -> str:
         """Ids in decimal of a text without added tokens."""
         words, known = self._cut(text), self.words
         if len(known) > CACHE_WORDS:
@@ -246,9 +246,9 @@ class BytePairCodec:
         """Ids in decimal, joined by commas."""
         ids, done = [], 0
         for hit in self.specials.finditer(text) if self.specials else ():
-            ids += [self._encode_plain(text[done : hit.start()]), str(self.added[hit.group()])]
+            ids += [self.encode_plain(text[done : hit.start()]), str(self.added[hit.group()])]
             done = hit.end()
-        return ",".join(filter(None, [*ids, self._encode_plain(text[done:])]))
+        return ",".join(filter(None, [*ids, self.encode_plain(text[done:])]))
 
     def decode(self, ids: np.ndarray, step: int = 1 << 18) -> bytes:
         """The bytes of the tokens: one gather per ``step`` tokens from the table of offsets."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgmetrics.llm import (
+    alignment,
     ann_search,
     bpe_codec,
     chat_format,
@@ -16,6 +17,7 @@ from orgmetrics.llm import (
     language_id,
     license_scan,
     line_dedup,
+    manifest,
     near_dedup,
     packing,
     token_counts,
@@ -192,3 +194,113 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return license_scan.license_report(license_scan.license_scan(docs))
+
+
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    paths = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment_report(docs, *paths)
+
+
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query(
+    """
+    WITH RECURSIVE
+    bits AS (
+      SELECT list(c ORDER BY b) AS t FROM (
+        SELECT b, list_reduce([b] || range(8), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c
+        FROM (SELECT unnest(range(256)) AS b)
+      )
+    ),
+    marked AS (
+      SELECT d.*, xor(4294967295, list_reduce(
+        [4294967295] || [ord(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')],
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 7 = 0 AS tampered
+      FROM documents d, bits
+    ),
+    fields AS (
+      SELECT doc_id, lang, tampered,
+        coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+          || coalesce(octet_length(encode(source)) || ':' || source, '-')
+          || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+        coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars,
+        coalesce(length((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS more,
+        coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail
+      FROM marked
+    ),
+    leaves AS (
+      SELECT doc_id, lang, sha256(head || chars || tail) AS leaf,
+        sha256(head || CASE WHEN tampered THEN more ELSE chars END || tail) AS given
+      FROM fields
+    ),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+    ),
+    nodes AS (
+      SELECT lang, 0 AS lv, i, count(*) OVER (PARTITION BY lang) AS n, leaf AS h FROM ranked
+      UNION ALL
+      SELECT lang, lv + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+      FROM nodes WHERE n > 1 GROUP BY lang, lv, i // 2
+    ),
+    trees AS (
+      SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i FROM nodes WHERE n = 1
+    ),
+    tops AS (
+      SELECT 0 AS lv, i, count(*) OVER () AS n, subroot AS h FROM trees
+      UNION ALL
+      SELECT lv + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+      FROM tops WHERE n > 1 GROUP BY lv, i // 2
+    ),
+    steps AS (
+      SELECT r.lang, r.i AS leaf_i, k.lv, xor(r.i >> k.lv, 1) < r.i >> k.lv AS before, coalesce(s.h, '') AS h
+      FROM ranked r
+      JOIN nodes k ON k.lang IS NOT DISTINCT FROM r.lang AND k.i = r.i >> k.lv AND k.n > 1
+      LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM r.lang AND s.lv = k.lv AND s.i = xor(r.i >> k.lv, 1)
+    ),
+    paths AS (
+      SELECT lang, leaf_i AS i, list({'before': before, 'h': h} ORDER BY lv) AS path FROM steps GROUP BY lang, leaf_i
+    ),
+    high AS (
+      SELECT t.lang, list({'before': xor(t.i >> k.lv, 1) < t.i >> k.lv, 'h': coalesce(s.h, '')} ORDER BY k.lv) AS path
+      FROM trees t JOIN tops k ON k.i = t.i >> k.lv AND k.n > 1
+      LEFT JOIN tops s ON s.lv = k.lv AND s.i = xor(t.i >> k.lv, 1)
+      GROUP BY t.lang
+    ),
+    whole AS (
+      SELECT r.doc_id, r.leaf, r.given, t.subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+        coalesce(p.path, []) || coalesce(h.path, []) AS path
+      FROM ranked r
+      JOIN trees t ON t.lang IS NOT DISTINCT FROM r.lang
+      LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM r.lang AND p.i = r.i
+      LEFT JOIN high h ON h.lang IS NOT DISTINCT FROM r.lang
+    ),
+    folding AS (
+      SELECT doc_id, leaf, subroot, root, path, given AS x, 1 AS step FROM whole
+      UNION ALL
+      SELECT doc_id, leaf, subroot, root, path,
+        sha256(CASE WHEN path[step].before THEN path[step].h || x ELSE x || path[step].h END), step + 1
+      FROM folding WHERE step <= len(path)
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(list_aggregate([s.h FOR s IN path], 'string_agg', '')) AS proof_sha256,
+      x AS folded_root, x = root AS verified
+    FROM folding WHERE step = len(path) + 1
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", *MANIFEST_COLUMNS)
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in MANIFEST_COLUMNS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    given = F.when(tampered & F.col("n_chars").isNotNull(), manifest.leaf_digest(changed))
+    made = manifest.manifest(docs, MANIFEST_COLUMNS, carry={"given": given})
+    found = made.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.path_digest().alias("proof_sha256"),
+        manifest.folded(F.coalesce("given", "leaf")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
