@@ -14,6 +14,7 @@ from orgmetrics.llm import (
     bpe_codec,
     chat_format,
     exact_topk,
+    html_extract,
     language_id,
     license_scan,
     line_dedup,
@@ -304,3 +305,8 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         manifest.folded(F.coalesce("given", "leaf")).alias("folded_root"),
     )
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query()
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(read(spark, sf_dir, "pages", "page_id", "url", "html"), ["page_id", "url"])
