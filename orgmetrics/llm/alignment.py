@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orgmetrics.llm.batches import LONG, STRING, SharedFolder, array_of, per_text
-from orgmetrics.llm.bpe_codec import BytePairCodec, ids_of
+from orgmetrics.llm.batches import LONG, STRING, SharedFolder, array_of, per_slice
+from orgmetrics.llm.bpe_codec import BytePairCodec
 
-SLICE_CHARS = 1 << 19  # characters of texts that are aligned at a time; a longer text is alone
-CACHE_WORDS = 300_000  # distinct words a worker remembers before it starts afresh
-LONG_WORD = 256  # words of more bytes are not remembered
+SLICE_BYTES = 1 << 19  # of texts that are aligned at a time; a longer text is alone
+CACHE_WORDS = 250_000  # distinct words a worker remembers before it starts afresh
+CACHE_PAIRS = 300_000  # the same for pairs of tokens
+LONG_WORD = 256  # words of more characters are not remembered
 SINGLE_SPACE = re.compile("(?<=[^ ]) (?=[^ ])")
 INTS = array_of((T.IntegerType(), pa.int32()))
 
@@ -50,10 +52,31 @@ class Table:
         return self.blob[shift + np.arange(len(shift))]
 
 
+class Words:
+    """Ids of texts from the ids of their words, each word encoded once while it is remembered."""
+
+    def __init__(self, cut: Callable[[str], list[str]], encode: Callable[[list[str]], Iterable[list[int]]]):
+        self.cut, self.encode = cut, encode
+        self.known: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        split = [self.cut(t) if t else [] for t in texts]
+        new = list(set().union(*split).difference(self.known))
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known.clear()
+            new = list(set().union(*split))
+        self.known.update((w, array("i", i).tobytes()) for w, i in zip(new, self.encode(new)))
+        found = [np.frombuffer(b"".join(map(self.known.__getitem__, w)), np.int32).astype(np.int64) for w in split]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del self.known[word]
+        return found
+
+
 class PieceEncoder:
     """Ids of whole texts as a sentencepiece model gives them; words are cached where that is exact.
 
-    ``cached`` tells whether the model keeps texts as they are and cuts at every single space.
+    It is where the model keeps texts as they are and no piece reaches from a word over a space.
     """
 
     def __init__(self, path: str):
@@ -72,28 +95,15 @@ class PieceEncoder:
             if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i))
         ]
         probe = " ﬁ  é\tÅ x"
-        self.cached = self.model.decode(self.model.encode(probe)) == probe and not any(
+        exact = self.model.decode(self.model.encode(probe)) == probe and not any(
             "▁" in p.lstrip("▁") or (p.startswith("▁▁") and p.strip("▁")) for p in usual
         )
-        self.words: dict[str, list[int]] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        if not self.cached:
-            return np.array(self.model.encode(text), dtype=np.int64)
         # Runs of spaces merge among themselves and stay with the words around them.
-        words, known = SINGLE_SPACE.split(text.replace("▁", " ")), self.words
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list(set(words).difference(known))
-        if new:
-            known.update(zip(new, self.model.encode(new)))
-        ids: list[int] = []
-        for found in map(known.__getitem__, words):
-            ids += found
-        for word in new:
-            if len(word) > LONG_WORD:
-                del known[word]
-        return np.array(ids, dtype=np.int64)
+        cut = (lambda t: SINGLE_SPACE.split(t.replace("▁", " "))) if exact else (lambda t: [t])
+        self.words = Words(cut, lambda new: self.model.encode(new, num_threads=1))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return self.words.ids(texts)
 
 
 def gallop(short: np.ndarray, long: np.ndarray, guess: np.ndarray) -> np.ndarray:
@@ -139,11 +149,22 @@ def common(a: np.ndarray, b: np.ndarray, guess_a: np.ndarray, guess_b: np.ndarra
     return hit, place[hit]
 
 
+class WordCodec(BytePairCodec):
+    """The byte-level codec, one word at a time; strings of added tokens are plain text."""
+
+    def cut(self, text: str) -> list[str]:
+        return self._cut(text)
+
+    def encode_words(self, words: list[str]) -> Iterator[list[int]]:
+        return (self.encode_word(w.encode()) for w in words)
+
+
 class Aligner:
     """Two tokenizers of the same bytes, and the pairs of tokens that can end together."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.codec = BytePairCodec(path_a)
+        self.codec = WordCodec(path_a)
+        self.words = Words(self.codec.cut, self.codec.encode_words)
         offset, blob = self.codec.offset, self.codec.blob.tobytes()
         self.a = Table([blob[x:y] for x, y in zip(offset, offset[1:])])
         self.pieces = PieceEncoder(path_b)
@@ -170,18 +191,16 @@ class Aligner:
 
     def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both tokenizers per text; none where a text's bytes do not come back."""
-        ids_a, ids_b = [], []
+        if len(self.codec.fits) > CACHE_PAIRS:
+            self.codec.fits.clear()
+        ids_a = self.words.ids([" " + t if t else "" for t in texts])
+        ids_b = self.pieces.encode(texts)
         none = np.zeros(0, dtype=np.int64)
-        for text in texts:
-            a = b = none
+        for i, text in enumerate(texts):
             if text:
                 whole = np.frombuffer((" " + text).encode(), dtype=np.uint8)
-                a = ids_of(self.codec.encode_plain(" " + text)).astype(np.int64)
-                b = self.pieces.encode(text)
-                if not (_spells(self.a, a, whole) and _spells(self.b, b, whole)):
-                    a = b = none
-            ids_a.append(a)
-            ids_b.append(b)
+                if not (_spells(self.a, ids_a[i], whole) and _spells(self.b, ids_b[i], whole)):
+                    ids_a[i] = ids_b[i] = none
         return ids_a, ids_b
 
     def align(self, texts: list[str]) -> list[dict]:
@@ -246,12 +265,12 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _per_slice(docs: DataFrame, path_a: str, path_b: str, text: str, key: str, added: dict, row) -> DataFrame:
+def _aligned(docs: DataFrame, path_a: str, path_b: str, text: str, key: str, added: dict, row: Callable) -> DataFrame:
     def make():
         aligner = _aligner(path_a, path_b)
         return lambda texts: [row(aligner, found) for found in aligner.align(texts)]
 
-    return per_text(docs, [key], text, added, make, SLICE_CHARS)
+    return per_slice(docs, [key], text, added, make, SLICE_BYTES)
 
 
 def overlaps(found: dict, aligner: Aligner) -> tuple[np.ndarray, np.ndarray]:
@@ -277,7 +296,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text: str = "text",
         return tuple(x.astype(np.int32) for x in (found["a"], found["b"], *groups, *overlaps(found, aligner)))
 
     names = ("a", "b", "group_a", "group_b", "b_first", "b_last")
-    return _per_slice(docs, path_a, path_b, text, key, {n: INTS for n in names}, row)
+    return _aligned(docs, path_a, path_b, text, key, {n: INTS for n in names}, row)
 
 
 def link_counts(links: DataFrame) -> DataFrame:
@@ -307,7 +326,7 @@ def alignment_report(
 
     added = {"n_a": LONG, "n_b": LONG, "n_groups": LONG, "groups_sha256": STRING, "slots": INTS}
     folder = SharedFolder(docs, "alignment")
-    links = folder.table(_per_slice(docs, path_a, path_b, text, key, added, row), "links")
+    links = folder.table(_aligned(docs, path_a, path_b, text, key, added, row), "links")
     counted = link_counts(links).toArrow()  # at most a row per pair of the vocabularies
     aligner = _aligner(path_a, path_b)
     count = np.zeros(len(aligner.pairs), dtype=np.int64)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,13 +51,12 @@ def struct_of(**fields: tuple) -> tuple:
 
 
 def per_text(
-    docs: DataFrame, keep: list[str], text: str, added: dict[str, tuple], make: Callable, limit: int = CHUNK_CHARS
+    docs: DataFrame, keep: list[str], text: str, added: dict[str, tuple], make: Callable
 ) -> DataFrame:
     """The columns ``keep``, untouched, and columns computed from every whole text.
 
     ``make()`` is called once per task and gives a function from a list of texts, a null one as
-    empty, to one tuple of added values per text. Texts are handed over in slices of about ``limit``
-    characters.
+    empty, to one tuple of added values per text. Texts are handed over in bounded slices.
     """
     types = [t for _, t in added.values()]
 
@@ -65,7 +65,7 @@ def per_text(
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             rows: list[tuple] = []
-            for a, b in text_slices(texts, limit):
+            for a, b in text_slices(texts):
                 rows += work(texts[a:b])
             columns = list(zip(*rows)) or [()] * len(types)
             arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]
@@ -80,6 +80,40 @@ def per_text(
     return rows.mapInArrow(run, schema).toDF(*keep, *added)
 
 
+def per_slice(
+    rows: DataFrame, keep: list[str], text: str, added: dict[str, tuple], make: Callable, limit: int
+) -> DataFrame:
+    """As ``per_text``, for results as large as the texts: every slice is handed on before the next.
+
+    A slice has about ``limit`` bytes of text; a longer text is a slice of its own.
+    """
+    types = [t for _, t in added.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+            at = 0
+            while at < len(lengths):
+                end, size = at + 1, lengths[at]
+                while end < len(lengths) and size + lengths[end] <= limit:
+                    size += lengths[end]
+                    end += 1
+                part = batch.slice(at, end - at)
+                at = end
+                found = work([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
+                arrays = [pa.array(c, type=t) for c, t in zip(zip(*found), types)]
+                kept = part.columns[:-1]
+                yield pa.RecordBatch.from_arrays([*kept, *arrays], [f"c{i}" for i in range(len(kept) + len(arrays))])
+
+    chosen = rows.select(
+        *(F.col(n).alias(f"c{i}") for i, n in enumerate(keep)), F.col(text).cast("string").alias("text")
+    )
+    kinds = [rows.schema[n].dataType for n in keep] + [k for k, _ in added.values()]
+    schema = T.StructType([T.StructField(f"c{i}", k) for i, k in enumerate(kinds)])
+    return chosen.mapInArrow(run, schema).toDF(*keep, *added)
+
+
 def free_name(name: str, columns: list[str]) -> str:
     """``name``, with underscores after it as long as a column has that name in any case."""
     taken = {c.lower() for c in columns}

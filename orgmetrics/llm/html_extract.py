@@ -14,13 +14,13 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from orgmetrics.llm.batches import LONG, STRING, per_text
+from orgmetrics.llm.batches import LONG, STRING, per_slice
 from orgmetrics.llm.boosting import BoostedTrees
 from orgmetrics.llm.dom import TEXT, Page, naming_words
 from orgmetrics.llm.labelled_pages import MARK, labelled_pages
 
 PAGES = 700  # labelled pages that are learnt from
-SLICE_CHARS = 1 << 20  # characters of pages that are described at a time; a longer page is alone
+SLICE_BYTES = 1 << 20  # bytes of pages that are described at a time; a longer page is alone
 CACHE = 100_000  # distinct start tags a worker remembers before it starts afresh
 ALL, NONE, SOME = 0, 1, 2
 
@@ -231,4 +231,4 @@ def extract_main_text(
     def make():
         return lambda sources: [(t, len(t)) for t in model.extract(sources)]
 
-    return per_text(pages, keep, html, {added[0]: STRING, added[1]: LONG}, make, SLICE_CHARS)
+    return per_slice(pages, keep, html, {added[0]: STRING, added[1]: LONG}, make, SLICE_BYTES)
