@@ -39,6 +39,13 @@ def parse_event_date(c: Column) -> Column:
     return parsed
 
 
+def parse_event_date_strict(c: Column) -> Column:
+    """``struct(value, error)``: the date of a text, or why there is none; NULL and blank are missing."""
+    day = parse_event_date(c)
+    error = F.when(F.coalesce(strip(c), F.lit("")) == "", "missing").when(day.isNull(), "not a date")
+    return F.struct(day.alias("value"), error.alias("error"))
+
+
 def parse_date_range(c: Column) -> Column:
     """``a - b`` as ``struct(start_date, end_date, error)``; the end is optional.
 

@@ -99,13 +99,12 @@ def _links(pages: DataFrame, selectors: dict[str, str], label: str) -> DataFrame
     """One row per matching link: the page's columns, ``position``, ``href``, ``link_text``."""
     keep = [c for c in pages.columns if c != "html"]
     found = match_nodes(pages, _only(selectors, label))
-    exploded = found.select(*keep, F.posexplode(nodes_of(label)).alias("position", "node"))
-    return exploded.select(
-        *keep,
-        "position",
-        F.coalesce("node.href", F.lit("")).alias("href"),
-        node_text(F.col("node")).alias("link_text"),
+    links = F.transform(
+        nodes_of(label),
+        lambda n: F.struct(F.coalesce(n["href"], F.lit("")).alias("href"), node_text(n).alias("link_text")),
     )
+    exploded = found.select(*keep, F.posexplode(links).alias("position", "link"))
+    return exploded.select(*keep, "position", "link.href", "link.link_text")
 
 
 def extract_countries(pages: DataFrame, site: Site, base: Column | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmetrics.operators.joins import lookup_join
+from orgmetrics.operators.joins import lookup_join, salted_join
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -15,7 +15,9 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _parents(parent: DataFrame, parent_key: str, child_key: str) -> DataFrame:
-    return parent.select(F.col(parent_key).alias(child_key)).distinct()
+    """The parents' keys as they are: a semi or anti join needs no distinct ones, and AQE can split
+    the partitions of a hot child key only where this side is not aggregated."""
+    return parent.select(F.col(parent_key).alias(child_key))
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -28,9 +30,9 @@ def on_delete_set_null(
     child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 ) -> DataFrame:
     """References without a parent become NULL."""
-    known = _parents(parent, parent_key, child_key).withColumn("_known", F.lit(True))
+    known = _parents(parent, parent_key, child_key).distinct().withColumn("_known", F.lit(True))
     return (
-        lookup_join(child, known, child_key, "left")
+        salted_join(child, known, child_key, "left")
         .withColumn(child_key, F.when(F.col("_known"), F.col(child_key)))
         .select(*child.columns)
     )

@@ -157,7 +157,8 @@ def cause_coverage(sections: DataFrame, observed: DataFrame, causes: DataFrame)
 
     ``observed`` holds (id, name) pairs, repeats included; names beyond the vocabulary do not count.
     """
-    known = observed.join(causes.select("name").distinct(), "name", "left_semi").distinct()
+    # The vocabulary is not aggregated: so AQE can split the partitions of a hot name.
+    known = observed.join(causes.select("name"), "name", "left_semi").distinct()
     covered = known.groupBy("id").agg(F.count("*").alias("n_covered"))
     n = causes.agg(F.countDistinct("name").alias("n")).scalar()
     return sections.select("id").join(covered, "id", "left").select(

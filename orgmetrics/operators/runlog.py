@@ -28,6 +28,21 @@ def failed_page_rows(
     )
 
 
+def rejected_page_rows(rejected: DataFrame, module: str, as_of: Column) -> DataFrame:
+    """Failure-log rows of landed pages that could not be read: one per address, with its reason."""
+    reasons = rejected.groupBy("url").agg(F.max("error_message").alias("error_message"))
+    return reasons.select(
+        "url",
+        F.lit(None).cast("bigint").alias("section_id"),
+        F.lit(module).alias("scraper_module"),
+        F.lit(None).cast("int").alias("http_status_code"),
+        "error_message",
+        F.lit(0).alias("retry_count"),
+        as_of.cast("timestamp_ntz").alias("last_attempt"),
+        F.lit(True).alias("will_retry"),
+    )
+
+
 def run_status_rows(
     runs: DataFrame,
     module: str,

@@ -85,18 +85,37 @@ def category_statistics(df: DataFrame, key: str, category: str) -> DataFrame:
     )
 
 
+def _row_list(category: str) -> Column:
+    """The list of one category, sorted by name, made inside the row: a repeated name counts last."""
+    entries = _entries(category)
+
+    def last_count(kind: str, name: Column) -> Column:
+        own = F.filter(entries, lambda e: (e["kind"] == kind) & e["name"].eqNullSafe(name))
+        return F.coalesce(F.try_element_at(own, F.lit(-1))["count"], F.lit(0)).alias(f"{kind}_count")
+
+    def item(name: Column) -> Column:
+        return F.struct(name.alias("name"), *(last_count(k, name) for k in KINDS))
+
+    names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
+    return F.array_sort(F.transform(names, item))
+
+
 def assembled_statistics(df: DataFrame, key: str) -> DataFrame:
-    """Overall counts with the three detail lists, sorted by name, and ``is_complete``."""
-    detail = detail_statistics(df, key, tuple(CATEGORIES))
-    item = F.struct("name", *(f"{k}_count" for k in KINDS))
-    lists = detail.groupBy(key).agg(
-        *(F.array_sort(F.collect_list(F.when(F.col("category") == c, item))).alias(c) for c in CATEGORIES)
-    )
-    joined = overall_statistics(df).join(lists, key, "left")
+    """Overall counts with the three detail lists, sorted by name, and ``is_complete``.
+
+    One row per input row, made inside the row: nothing is shuffled and the input is read once. The
+    lists of a row without any entry are NULL. Keys are unique.
+    """
+    some = F.lit(0)
+    for c in CATEGORIES:
+        some = some + F.size(_entries(c))
+    lists = [F.when(some > 0, _row_list(c)).alias(c) for c in CATEGORIES]
     complete = F.lit(True)
     for c in CATEGORIES:
-        complete = complete & (F.coalesce(F.size(c), F.lit(0)) > 0)
-    return joined.withColumn("is_complete", complete)
+        complete = complete & (F.size(_entries(c)) > 0)
+    overall = overall_statistics(df.withColumn("_stats", F.col("stats"))).withColumnRenamed("_stats", "stats")
+    shown = [c for c in overall.columns if c != "stats"]
+    return overall.select(*shown, *lists, complete.alias("is_complete"))
 
 
 def zero_filled(sections: DataFrame, overall: DataFrame, key: str) -> DataFrame:

@@ -83,6 +83,46 @@ def upsert(
     return kept.unionByName(_as_new_rows(new, target, keys, as_of, created, touched, id_column))
 
 
+def upsert_marked(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update: list[str],
+    as_of: Column,
+    created: str | None = "created_at",
+    touched: str | None = "updated_at",
+    id_column: str | None = None,
+    last_id: Column | None = None,
+) -> DataFrame:
+    """The next version of ``target`` with ``action``: inserted, updated, or NULL for untouched rows.
+
+    As ``upsert``; the source holds one row per key. ``last_id`` is the largest id given out, where
+    that is known without the target. Written once, it yields the version and what changed in it.
+    """
+    source = source.select(*keys, *update)
+    joined = target.join(_fresh(source, keys, update), keys, "left")
+    kept = joined.select(
+        *(_next_value(c, update, as_of, touched) for c in target.columns),
+        F.when(F.col("_hit"), "updated").alias("action"),
+    )
+    new = _without_match(source, target, keys)
+    new = _as_new_rows(new, target, keys, as_of, created, touched, id_column, last_id)
+    return kept.unionByName(new.withColumn("action", F.lit("inserted")))
+
+
+def upsert_returning(
+    target: DataFrame, source: DataFrame, keys: list[str], update: list[str], as_of: Column, into: str, **options
+) -> tuple[DataFrame, DataFrame]:
+    """(next version, rows written with their ids, stamps and ``action``), both from one assignment.
+
+    ``into`` is a fresh folder that gets the next version; options are those of ``upsert_marked``.
+    """
+    marked = upsert_marked(target, source, keys, update, as_of, **options)
+    marked.write.parquet(into)
+    written = target.sparkSession.read.schema(marked.schema).parquet(into)
+    return written.drop("action"), written.filter(F.col("action").isNotNull())
+
+
 def upsert_affected(
     target: DataFrame, source: DataFrame, keys: list[str], update: list[str], order_by: list[str] | None = None
 ) -> DataFrame:
@@ -126,7 +166,7 @@ def _without_match(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
     return source.join(known, keys, "left_anti")
 
 
-def _as_new_rows(new, target, keys, as_of, created, touched, id_column) -> DataFrame:
+def _as_new_rows(new, target, keys, as_of, created, touched, id_column, last_id=None) -> DataFrame:
     stamps = {c for c in (created, touched) if c}
     have = set(new.columns)
     rows = new.select(
@@ -138,8 +178,8 @@ def _as_new_rows(new, target, keys, as_of, created, touched, id_column) -> DataF
         )
     )
     if id_column:
-        last = target.agg(F.max(id_column)).scalar()
-        rows = assign_ids(rows, keys, last, id_column)
+        last_id = target.agg(F.max(id_column)).scalar() if last_id is None else last_id
+        rows = assign_ids(rows, keys, last_id, id_column)
     return rows.select(*target.columns)
 
 

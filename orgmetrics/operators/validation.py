@@ -34,6 +34,27 @@ def validate(df: DataFrame, rules: Ruleset) -> DataFrame:
     return with_errors.withColumn("is_valid", F.size("errors") == 0)
 
 
+def with_parse_errors(validated: DataFrame, parsed: dict[str, Column]) -> DataFrame:
+    """``validated`` with the errors of strictly parsed columns added, and ``is_valid`` to match.
+
+    ``parsed`` maps fields to ``struct(value, error)``; a field's parse error takes the place of its
+    other errors, since those looked at a value that could not be read.
+    """
+    errors = F.filter(
+        F.array(
+            *(
+                F.struct(F.lit(f).alias("field_name"), p["error"].alias("error_message"))
+                for f, p in parsed.items()
+            )
+        ),
+        lambda e: e["error_message"].isNotNull(),
+    )
+    names = F.transform(errors, lambda e: e["field_name"])
+    others = F.filter("errors", lambda e: ~F.array_contains(names, e["field_name"]))
+    merged = validated.withColumn("errors", F.concat(others, errors))
+    return merged.withColumn("is_valid", F.size("errors") == 0)
+
+
 def _first_error(field: str, checks: list[tuple[Column, str]]) -> Column:
     """Array with the first failing check of a field, empty when all hold (NULL holds)."""
     found = F.array().cast("array<struct<field_name:string,error_message:string>>")
@@ -94,6 +115,23 @@ def revalidate(flagged: DataFrame, rules: Ruleset) -> DataFrame:
     return validate(again, rules)
 
 
+def error_changes(before: DataFrame, validated: DataFrame, key: str) -> DataFrame:
+    """What a second check changed: ``key, field_name, error_message, change``.
+
+    ``before`` holds the errors known so far (key, field_name, error_message; repeats count once),
+    ``validated`` the rows checked now. ``change`` is cleared, kept or new. Errors of keys that were
+    not checked now are left out; a NULL key matches no other.
+    """
+    names = [key, "field_name", "error_message"]
+    old = before.join(validated.select(key), key, "left_semi").select(*names).distinct()
+    now = exploded_errors(validated, key).select(*names).distinct()
+    both = old.withColumn("_side", F.lit(1)).unionByName(now.withColumn("_side", F.lit(2)))
+    # Grouped rather than joined: one shuffle, and NULL messages find each other.
+    sides = both.groupBy(*names).agg(F.sum("_side").alias("_sides"))
+    change = F.element_at(F.array(F.lit("cleared"), F.lit("new"), F.lit("kept")), F.col("_sides").cast("int"))
+    return sides.select(*names, change.alias("change"))
+
+
 def _length(c: Column, low: int, high: int) -> list[tuple[Column, str]]:
     checks = [(F.length(c) > high, f"longer than {high}")]
     if low:

@@ -12,6 +12,7 @@ from orgmetrics.functions import urls
 from orgmetrics.operators import extraction, quality, selection, upsert, validation
 from orgmetrics.operators.extraction import Site
 from orgmetrics.operators.joins import lookup_join
+from orgmetrics.operators.runlog import rejected_page_rows
 from orgmetrics.plans.stage import Stage, run_status
 from orgmetrics.sources.pages import from_latest, page_gate
 from orgmetrics.sources.tables import conform
@@ -23,6 +24,7 @@ class AccountsRun:
     sections: DataFrame
     validation_errors: DataFrame
     rejected_pages: DataFrame
+    failed_scrapes: DataFrame
     summary: DataFrame
     status: DataFrame
 
@@ -89,7 +91,11 @@ def accounts_run(
     )
     summary = stage.table(summary, "summary")
     status = run_status(summary, "accounts", as_of)
-    return AccountsRun(next_countries, next_sections, errors, rejected, summary, status)
+    # Pages of this run's site whose last landed copy could not be read.
+    own = rejected.filter(F.col("url").startswith(site.accounts_url))
+    failures = rejected_page_rows(from_latest(own, pages), "accounts", as_of)
+    failures = stage.table(failures, "failed_scrapes")
+    return AccountsRun(next_countries, next_sections, errors, rejected, failures, summary, status)
 
 
 def _countries(pages: DataFrame, site: Site) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from orgmetrics import schemas
 from orgmetrics.operators import retention
+from orgmetrics.sources.versions import VersionedTable, day_of, expire
 
 _JUNCTIONS = (
     schemas.ORGANISERS,
@@ -30,3 +33,21 @@ def retention_run(
         if table.name in stored:
             result[table.name] = retention.retain_links(stored[table.name], activities)
     return result
+
+
+def log_table(root: str, table: schemas.Table) -> VersionedTable:
+    """A log of ``schemas`` kept by the day of its stamp, at ``root``."""
+    return VersionedTable(root, table.ddl, day_of(table.partition_by[0]))
+
+
+def expire_logs(
+    spark: SparkSession, logs: dict[str, VersionedTable], as_of: str, token: str, days: int = retention.RETENTION_DAYS
+) -> None:
+    """Retention of logs kept by day: only the day that the limit falls into is read and written.
+
+    ``as_of`` is a time as ``yyyy-MM-dd HH:mm:ss``; ``logs`` are tables of ``schemas`` by name.
+    """
+    limit = dt.datetime.fromisoformat(as_of) - dt.timedelta(days=days)
+    for name, log in logs.items():
+        stamp = schemas.TABLES[name].partition_by[0]
+        expire(log, spark, token, stamp, limit)

@@ -352,6 +352,13 @@ def _printed(spark, sf):
 _TRY_DATE = """CAST(try_strptime({0}, ['%Y-%m-%dT%H:%M:%SZ', '%d/%m/%Y', '%d %b %Y', '%d-%m-%Y', '%Y-%m-%d', '%B %d, %Y']) AS DATE)"""
 
 
+@query(f"""SELECT o_orderkey, {_TRY_DATE.format('printed')} AS day,
+CASE WHEN {_TRY_DATE.format('printed')} IS NULL THEN 'not a date' END AS error FROM ({_PRINTED})""")
+def parse_event_date_strict(spark, sf):
+    parsed = _printed(spark, sf).select("o_orderkey", dates.parse_event_date_strict(c("printed")).alias("d"))
+    return parsed.select("o_orderkey", c("d.value").alias("day"), "d.error")
+
+
 @query(f"SELECT o_orderkey, printed, {_TRY_DATE.format('printed')} AS day FROM ({_PRINTED})")
 def parse_event_date(spark, sf):
     return _printed(spark, sf).select("o_orderkey", "printed", dates.parse_event_date(c("printed")).alias("day"))

@@ -14,11 +14,14 @@ from orgmetrics.queries.functions import _slug_sql
 from orgmetrics.queries.registry import query
 from orgmetrics.session import shared_dir
 from orgmetrics.sources.pages import has_html_element
-from orgmetrics.streaming.incremental import current_rows, ingest_available
+from orgmetrics.sources.versions import VersionedTable, bucket_of
+from orgmetrics.streaming.incremental import ingest_upserts
 from orgmetrics.queries.tables import read_table
 
 c = F.col
 
+CARD_BUCKETS = 16  # of the stored cards; a larger network takes more
+
 # The sample pages link through a menu, so menu links stand for country, section and activity links.
 PLAIN = extraction.Site(
     accounts_url=t.BASE,
@@ -303,10 +306,15 @@ def incremental_ingest(spark, sf):
         cards = extraction.extract_activity_links(pages, PLAIN, base=c("url"))
         return cards.select("event_slug", c("activity_url").alias("url"), "page_id", "position")
 
+    columns = "event_slug string, url string, page_id bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
+    keys = ["event_slug"]
+    table = VersionedTable(f"{state}/table", columns, bucket_of(keys, CARD_BUCKETS))
     # A pattern fits a single file as well as a folder of files.
-    ingest_available(spark, f"{sf}/pages*.parquet", state, extract, _card_rules())
-    current = current_rows(spark, state, ["event_slug"], ["page_id", "position"])
-    return current.select("event_slug", "url", "page_id")
+    ingest_upserts(
+        spark, f"{sf}/pages*.parquet", state, extract, _card_rules(), table, keys, ["url", "page_id"],
+        ["page_id", "position"], t.as_of_time(),
+    )
+    return table.read(spark).select("event_slug", "url", "page_id")
 
 
 def _card_rules():

@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from orgmetrics.functions import dates
-from orgmetrics.operators import selection
+from orgmetrics.operators import constraints, selection
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
+from orgmetrics.schemas import ACTIVITIES, COUNTRIES, SECTIONS
 
 _SECTION = ["id", "name", "country_code", "can_scrape_activities", "last_scraped"]
 _SECTION_SQL = ", ".join(_SECTION)
@@ -155,6 +156,31 @@ def create_projection(spark, sf):
     )
 
 
+@query(f"""WITH {t.COUNTRIES} SELECT country_code, name, slug, url, 0 AS section_count FROM countries""")
+def create_countries(spark, sf):
+    """New countries: the schema's columns that are not generated, with its defaults."""
+    return constraints.create_projection(t.countries(spark, sf), COUNTRIES)
+
+
+@query(f"""WITH {t.SECTIONS} SELECT accounts_platform_slug, country_code, name, activities_platform_slug, can_scrape_activities,
+CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS email FROM sections""")
+def create_sections(spark, sf):
+    made = constraints.create_projection(t.sections(spark, sf, visits=False), SECTIONS)
+    shown = ("accounts_platform_slug", "country_code", "name", "activities_platform_slug", "can_scrape_activities", "city", "email")
+    return made.select(*shown)
+
+
+@query(f"""WITH {t.ACTIVITIES} SELECT event_slug, title, start_date, participants, activity_type, CAST(NULL AS VARCHAR) AS description,
+start_date > DATE '{t.AS_OF_DATE}' AS is_future_event, coalesce(CASE WHEN is_valid THEN NULL ELSE false END, true) AS is_valid FROM activities""")
+def create_activities(spark, sf):
+    """The flag follows from the date; a validity that was not given is the schema's default."""
+    given = t.activities(spark, sf).withColumn("is_valid", F.when(~F.col("is_valid"), False))
+    computed = {"is_future_event": dates.is_future_event(F.col("start_date"), t.as_of_date())}
+    made = constraints.create_projection(given, ACTIVITIES, computed)
+    shown = ("event_slug", "title", "start_date", "participants", "activity_type", "description", "is_future_event", "is_valid")
+    return made.select(*shown)
+
+
 _BUSIEST = "(SELECT min(l_suppkey) FROM lineitem WHERE l_shipdate = (SELECT max(l_shipdate) FROM lineitem))"
 
 

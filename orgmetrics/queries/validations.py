@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orgmetrics.operators import validation
+from orgmetrics.operators import constraints, validation
+from orgmetrics.plans.revalidation import revalidation_run
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
+from orgmetrics.schemas import TABLES, Table
 
 c = F.col
 
@@ -207,14 +209,118 @@ def revalidate(spark, sf):
 UNION ALL SELECT 'participants', count(*) FILTER (o_totalprice / 40 - 600 < 0), count(*) FROM orders
 UNION ALL SELECT 'end_date', count(*) FILTER (l_orderkey IS NULL), count(*) FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON l_orderkey = o_orderkey""")
 def table_constraints(spark, sf):
-    """NOT NULL and CHECK rules of the stored tables: how many rows break each."""
-    shipped = read_table(spark, sf, "lineitem").select(c("l_orderkey").alias("o_orderkey"), F.lit(True).alias("shipped")).distinct()
-    rows = read_table(spark, sf, "orders").join(shipped, "o_orderkey", "left")
-    counts = rows.agg(
-        F.count_if(c("o_orderstatus").isNull()).alias("o_orderstatus"),
-        F.count_if(c("o_totalprice") / 40 - 600 < 0).alias("participants"),
-        F.count_if(c("shipped").isNull()).alias("end_date"),
-        F.count("*").alias("n_rows"),
+    """NOT NULL, CHECK and reference rules declared for the orders: how many rows break each."""
+    orders = Table(
+        "orders", "o_orderkey bigint", ("o_orderkey",), not_null=("o_orderstatus",),
+        checks=(("participants", "o_totalprice / 40 - 600 >= 0"),), references=(("o_orderkey", "lineitem", "l_orderkey"),),
     )
-    rules = F.array(*(F.struct(F.lit(r).alias("rule"), c(r).alias("n_bad")) for r in ("o_orderstatus", "participants", "end_date")))
-    return counts.select(F.inline(rules), "n_rows")
+    given = {"orders": read_table(spark, sf, "orders"), "lineitem": read_table(spark, sf, "lineitem").select("l_orderkey")}
+    known = {"orders": orders, "lineitem": Table("lineitem", "l_orderkey bigint", ())}
+    names = {"o_orderstatus NOT NULL": "o_orderstatus", "CHECK participants": "participants", "o_orderkey REFERENCES lineitem (l_orderkey)": "end_date"}
+    shown = F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), c("rule"))
+    found = constraints.constraint_report(given, known).filter(c("rule").isin(*names))
+    return found.select(shown.alias("rule"), "n_bad", "n_rows")
+
+
+# Views with faults: the columns that each stored table gets here, in SQL.
+_STORED = f"""{t.SECTIONS}, {t.ACTIVITIES}, {t.CAUSES}, {t.LINKS}, {t.RUNS}, {t.FAILED_PAGES}, {t.ERROR_LOG.removeprefix(t.FETCH_LOG).lstrip(",")},
+s_countries AS (SELECT country_code, name, left(slug, 1) AS slug, CASE WHEN n_regionkey <> 0 THEN url END AS url FROM countries),
+s_sections AS (SELECT id, accounts_platform_slug, CASE WHEN s_acctbal >= 0 THEN name END AS name,
+                      CASE WHEN s_acctbal < 1000 THEN 'ZZ' ELSE country_code END AS country_code FROM sections),
+s_activities AS (SELECT id, event_slug, repeat(title, 1 + id % 15) AS title, start_date, participants - 600 AS participants FROM activities WHERE is_valid),
+s_activity_causes AS (SELECT id, name FROM causes),
+s_activity_section_organisers AS (SELECT activity_id, section_id FROM links),
+s_section_overall_statistics AS (SELECT l_suppkey AS id, l_suppkey % 1000 AS section_id FROM (SELECT DISTINCT l_suppkey FROM lineitem)),
+s_scraper_status AS (SELECT id, scraper_module, status, started_at FROM runs),
+s_validation_errors AS (SELECT id, section_id, error_message FROM error_log),
+s_failed_scrapes AS (SELECT id, url, section_id FROM failed_pages)"""
+
+_STORED_COLUMNS = {
+    "countries": "country_code name slug url",
+    "sections": "id accounts_platform_slug name country_code",
+    "activities": "id event_slug title start_date participants",
+    "activity_causes": "id name",
+    "activity_section_organisers": "activity_id section_id",
+    "section_overall_statistics": "id section_id",
+    "scraper_status": "id scraper_module status started_at",
+    "validation_errors": "id section_id error_message",
+    "failed_scrapes": "id url section_id",
+}
+
+
+def _report_sql():
+    """One SELECT per declared rule on the columns above."""
+    parts = []
+    for name, columns in _STORED_COLUMNS.items():
+        table, have = TABLES[name], columns.split()
+        counted = [(f"{x} NOT NULL", f"{x} IS NULL") for x in dict.fromkeys(table.key + table.not_null) if x in have]
+        counted += [(f"{x} AT MOST {n}", f"length({x}) > {n}") for x, n in table.longest if x in have]
+        counted += [(f"CHECK {n}", f"NOT ({e})") for n, e in table.checks]
+        for x, other, key in table.references:
+            if other in _STORED_COLUMNS and x in have:
+                counted.append((f"{x} REFERENCES {other} ({key})", f"{x} NOT IN (SELECT {key} FROM s_{other} WHERE {key} IS NOT NULL)"))
+        parts += [f"SELECT '{name}' AS table_name, '{n}' AS rule, count(*) FILTER ({e}) AS n_bad, count(*) AS n_rows FROM s_{name}" for n, e in counted]
+        for u in dict.fromkeys((table.key, *table.unique)):
+            if set(u) <= set(have):
+                given = " AND ".join(f"{x} IS NOT NULL" for x in u)
+                parts.append(
+                    f"SELECT '{name}', 'UNIQUE ({', '.join(u)})', count(*) FILTER ({given}) - (SELECT count(*) FROM "
+                    f"(SELECT DISTINCT {', '.join(u)} FROM s_{name} WHERE {given})), count(*) FROM s_{name}"
+                )
+    return f"WITH {_STORED} " + " UNION ALL ".join(parts)
+
+
+@query(_report_sql())
+def constraint_report(spark, sf):
+    """Every declared rule of nine stored tables, whose rows are the samples' with faults."""
+    links = t.links(spark, sf)
+    views = {
+        "countries": t.countries(spark, sf).withColumns(
+            {"slug": F.left("slug", F.lit(1)), "url": F.when(c("n_regionkey") != 0, c("url"))}
+        ),
+        "sections": t.sections(spark, sf, visits=False).withColumns(
+            {"name": F.when(c("s_acctbal") >= 0, c("name")), "country_code": F.when(c("s_acctbal") < 1000, "ZZ").otherwise(c("country_code"))}
+        ),
+        "activities": t.activities(spark, sf).filter("is_valid").withColumns(
+            {"title": F.repeat("title", (1 + c("id") % 15).cast("int")), "participants": c("participants") - 600}
+        ),
+        "activity_causes": t.causes(spark, sf),
+        "activity_section_organisers": links,
+        "section_overall_statistics": read_table(spark, sf, "lineitem").select(c("l_suppkey").alias("id")).distinct().withColumn("section_id", c("id") % 1000),
+        "scraper_status": t.runs(spark, sf),
+        "validation_errors": t.error_log(spark, sf),
+        "failed_scrapes": t.failed_pages(spark, sf),
+    }
+    given = {n: views[n].select(*columns.split()) for n, columns in _STORED_COLUMNS.items()}
+    return constraints.constraint_report(given, TABLES)
+
+
+@query("""SELECT o_orderkey, array_to_string(list_filter([
+  CASE WHEN o_orderstatus IS NULL THEN 'o_orderstatus NOT NULL' END, CASE WHEN length(o_orderpriority) > 6 THEN 'o_orderpriority AT MOST 6' END,
+  CASE WHEN NOT (o_totalprice / 40 - 600 >= 0) THEN 'CHECK participants' END], lambda x: x IS NOT NULL), '; ') AS broken
+FROM orders WHERE o_orderstatus IS NULL OR length(o_orderpriority) > 6 OR o_totalprice / 40 - 600 < 0""")
+def constraint_violations(spark, sf):
+    """The rows that break a rule of their own, with the names of the rules."""
+    orders = Table(
+        "orders", "o_orderkey bigint", (), not_null=("o_orderstatus",), longest=(("o_orderpriority", 6),),
+        checks=(("participants", "o_totalprice / 40 - 600 >= 0"),),
+    )
+    found = constraints.violations(read_table(spark, sf, "orders"), orders)
+    return found.select("o_orderkey", F.array_join("broken", "; ").alias("broken"))
+
+
+@query(f"""WITH {_RAW}, bad AS (SELECT DISTINCT id FROM found)
+SELECT id, field_name, error_message, CASE WHEN field_name IN ('country_code', 'activity_type', 'sdgs') THEN 'cleared' ELSE 'kept' END AS change FROM found
+UNION ALL SELECT id, 'city', 'longer than 100', 'new' FROM bad WHERE id % 7 = 0""")
+def revalidation_changes(spark, sf):
+    """Flagged activities after a repair of three fields that broke the city of some: errors cleared, kept and new."""
+    checked = _checked_activities(spark, sf)
+    stored = (
+        checked.drop("errors")
+        .withColumn("country_code", F.lit("TR"))
+        .withColumn("activity_type", F.lit("2-HIGH"))
+        .withColumn("sdgs", F.array().cast("array<int>"))
+        .withColumn("city", F.when(c("id") % 7 == 0, F.repeat(F.lit("c"), 101)))
+    )
+    rules = validation.activity_rules(_KNOWN_TYPES)
+    return revalidation_run(stored, _errors(checked, "id"), rules, "id", t.as_of_time(), ["title"]).changes

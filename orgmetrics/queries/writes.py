@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from orgmetrics.operators import integrity, quality, retention, upsert
 from orgmetrics.queries import tables as t
 from orgmetrics.queries.registry import query
 from orgmetrics.queries.tables import read_table
+from orgmetrics.session import shared_dir
+from orgmetrics.sources import tables as sources
+from orgmetrics.sources.versions import VersionedTable, day_of, expire
 
 _NOW = t.as_of_time
 
@@ -153,6 +159,46 @@ def upsert_affected(spark, sf):
     return upsert.upsert_affected(target, source, ["event_slug"], ["participants"])
 
 
+@query(f"""WITH {_ACTIVITY_SIDES},
+known AS (SELECT t.*, CAST(substr(event_slug, 10) AS BIGINT) AS id FROM target t)
+SELECT event_slug, s.participants, CASE WHEN t.event_slug IS NULL THEN 'inserted' ELSE 'updated' END AS action,
+       t.id AS known_id, t.event_slug IS NULL AS new_id, coalesce(t.created_at, TIMESTAMP '{t.AS_OF_TIME}') AS created_at,
+       TIMESTAMP '{t.AS_OF_TIME}' AS updated_at
+FROM source s LEFT JOIN known t USING (event_slug)""")
+def upsert_returning(spark, sf):
+    """What an upsert wrote, with ids and stamps; ids of new rows begin after the largest one."""
+    target, source = _activity_sides(spark, sf)
+    target = target.withColumn("id", F.expr("CAST(substr(event_slug, 10) AS BIGINT)"))
+    last = target.agg(F.max("id")).scalar()
+    into = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    _, written = upsert.upsert_returning(
+        target, source, ["event_slug"], _ACTIVITY_COLUMNS, _NOW(), into, id_column="id"
+    )
+    fresh = F.col("action") == "inserted"
+    return written.select(
+        "event_slug",
+        "participants",
+        "action",
+        F.when(~fresh, F.col("id")).alias("known_id"),
+        (fresh & (F.col("id") > last)).alias("new_id"),
+        "created_at",
+        "updated_at",
+    )
+
+
+@query("""SELECT l_suppkey AS section_id, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY 1""")
+def bulk_insert(spark, sf):
+    """Line items in two batches, one of them inserted twice: it counts once."""
+    rows = read_table(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_linenumber")
+    path = f"{shared_dir(spark)}/bulk-{uuid.uuid4().hex}"
+    odd = F.col("l_linenumber") % 2 == 1
+    for token, batch in (("odd", odd), ("even", ~odd), ("odd", odd)):
+        table = sources.bulk_insert(rows.filter(batch), path, token, ["l_suppkey", "l_quantity"])
+    return table.groupBy(F.col("l_suppkey").alias("section_id")).agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
+    )
+
+
 _STATISTICS_KEYS = {
     "overall": "'all'",
     "causes": "p_brand",
@@ -321,6 +367,18 @@ def retention_errors(spark, sf):
     return retention.retain_errors(t.error_log(spark, sf), t.as_of_time())
 
 
+@query(f"""WITH {t.ERROR_LOG} SELECT * FROM error_log
+WHERE created_at IS NULL OR created_at >= TIMESTAMP '{t.AS_OF_TIME}' - INTERVAL 30 DAY""")
+def retention_by_day(spark, sf):
+    """The error log kept by day: older days go unread, the day of the limit is rewritten."""
+    columns = "id bigint, section_id bigint, error_message string, created_at timestamp_ntz"
+    log = VersionedTable(f"{shared_dir(spark)}/log-{uuid.uuid4().hex}", columns, day_of("created_at"))
+    log.commit(spark, "landed", t.error_log(spark, sf))
+    limit = dt.datetime.fromisoformat(t.AS_OF_TIME) - dt.timedelta(days=retention.RETENTION_DAYS)
+    expire(log, spark, "retention", "created_at", limit)
+    return log.read(spark).drop("part")
+
+
 @query(f"""WITH {t.FAILED_PAGES} SELECT * FROM failed_pages
 WHERE last_attempt IS NULL OR last_attempt >= TIMESTAMP '{t.AS_OF_TIME}' - INTERVAL 30 DAY""")
 def retention_failed(spark, sf):

@@ -24,12 +24,13 @@ _VOID = frozenset(
 _NOT_TEXT = frozenset("script style template rt rp".split())
 _ATTRIBUTES = ("href", "title", "alt", "src", "data-lat", "data-lng")
 
-_FIELDS = [("sel", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]
-_FIELDS += [("texts", pa.list_(pa.string()))]
+_FIELDS = [("sel", pa.string())]
+_FIELDS += [(n, pa.int32()) for n in ("start", "stop", "first_text", "end_text")]
 _FIELDS += [(a.replace("-", "_"), pa.string()) for a in _ATTRIBUTES]
 _NODES = pa.list_(pa.struct(_FIELDS))
+_TEXTS = pa.list_(pa.string())
 NODES_DDL = (
-    "array<struct<sel:string,start:int,stop:int,texts:array<string>,"
+    "array<struct<sel:string,start:int,stop:int,first_text:int,end_text:int,"
     + ",".join(a.replace("-", "_") + ":string" for a in _ATTRIBUTES)
     + ">>"
 )
@@ -61,16 +62,20 @@ def _fits(compound, element) -> bool:
 
 
 class _Matcher(HTMLParser):
-    """Collects the matching elements of one page; end tags are never implied."""
+    """Collects the matching elements of one page; end tags are never implied.
+
+    The texts inside matched elements are kept once, in page order; an element holds the range of
+    its own, so that elements inside each other cost no more than elements side by side.
+    """
 
     def __init__(self, selectors: dict[str, str]):
         super().__init__(convert_charrefs=True)
         self.rules = [(label, _chain(selector)) for label, selector in selectors.items()]
         self.none = [0] * len(self.rules)
 
-    def nodes(self, html: str) -> list[dict]:
+    def nodes(self, html: str) -> tuple[list[dict], list[str]]:
         self.reset()
-        self.seen, self.found, self.text = 0, [], []
+        self.seen, self.found, self.text, self.texts = 0, [], [], []
         # Open elements, how many of each name and of those without text, and open matched nodes.
         self.stack: list[tuple] = []
         self.names: Counter[str] = Counter()
@@ -81,21 +86,21 @@ class _Matcher(HTMLParser):
         self._end_text()
         while self.stack:
             self._pop()
-        return self.found
+        return self.found, self.texts
 
     def _end_text(self, *_):
         text = "".join(self.text).strip()
         self.text.clear()
-        if text and not self.muted:
-            for node in self.nodes_open:
-                node["texts"].append(text)
+        if text and not self.muted and self.nodes_open:
+            self.texts.append(text)
 
     def _pop(self):
         tag, matched, _ = self.stack.pop()
         self.names[tag] -= 1
         self.muted -= tag in _NOT_TEXT
         for _ in range(matched):
-            self.nodes_open.pop()["stop"] = self.seen
+            node = self.nodes_open.pop()
+            node["stop"], node["end_text"] = self.seen, len(self.texts)
 
     def handle_starttag(self, tag, attrs):
         self._end_text()
@@ -110,7 +115,7 @@ class _Matcher(HTMLParser):
             outer = len(chain) - 1
             if steps[i] == outer:
                 if _fits(chain[-1], element):
-                    node = {"sel": label, "start": self.seen, "stop": self.seen, "texts": []}
+                    node = {"sel": label, "start": self.seen, "first_text": len(self.texts)}
                     node.update({a.replace("-", "_"): own.get(a) for a in _ATTRIBUTES})
                     self.nodes_open.append(node)
                     self.found.append(node)
@@ -142,28 +147,34 @@ class _Matcher(HTMLParser):
     handle_comment = handle_decl = handle_pi = unknown_decl = _end_text
 
 
-def match_nodes(pages: DataFrame, selectors: dict[str, str], html: str = "html") -> DataFrame:
-    """Replace the ``html`` column by ``nodes``: every element that one of the selectors matches.
+def match_nodes(
+    pages: DataFrame, selectors: dict[str, str], html: str = "html", partitions: int | None = None
+) -> DataFrame:
+    """Replace the ``html`` column by ``nodes``, every element that one of the selectors matches, and ``texts``.
 
     Supported: tag, class, compound class, descendant, ``[a]``, ``[a="v"]``, ``[a*="v"]``.
     Each page is read once whatever the number of selectors, in the partitions of the scan: page text
-    is never shuffled. Small tables of large pages want a smaller ``maxPartitionBytes``.
-    ``start``/``stop`` number the elements in document order: B lies in A when
-    ``A.start < B.start <= A.stop``.
+    is never shuffled, unless the caller asks for a number of ``partitions`` because the landed files
+    have fewer row groups than there are cores. ``start``/``stop`` number the elements in document
+    order: B lies in A when ``A.start < B.start <= A.stop``. ``texts`` holds the page's texts inside
+    matched elements; those of an element are ``first_text`` up to ``end_text``, from 0.
     """
+    if partitions:
+        pages = pages.repartition(partitions)
     keep = [c for c in pages.columns if c != html]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _Matcher(selectors)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(html))
-            nodes = [matcher.nodes(t.as_py() or "") for t in texts]
+            found = [matcher.nodes(t.as_py() or "") for t in texts]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            columns.append(pa.array(nodes, type=_NODES))
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "nodes"])
+            columns.append(pa.array([n for n, _ in found], type=_NODES))
+            columns.append(pa.array([t for _, t in found], type=_TEXTS))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "nodes", "texts"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html]
-    schema = ", ".join([*fields, f"nodes {NODES_DDL}"])
+    schema = ", ".join([*fields, f"nodes {NODES_DDL}", "texts array<string>"])
     return pages.select(*keep, html).mapInArrow(read, schema)
 
 
@@ -186,7 +197,9 @@ def all_of(*labels: str) -> Column:
 
 
 def node_text(node: Column, separator: str = "") -> Column:
-    return F.array_join(node["texts"], separator)
+    """The texts of an element of the row's page, joined; NULL for no element."""
+    own = F.slice("texts", node["first_text"] + 1, node["end_text"] - node["first_text"])
+    return F.array_join(own, separator)
 
 
 def inside(node: Column, outer: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,3 +47,24 @@ def write_snapshot(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
 def append_rows(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """Bulk insert: the named columns of every row, added to the table at ``path``."""
     (df.select(*columns) if columns else df).write.mode("append").parquet(path)
+
+
+def bulk_insert(
+    df: DataFrame, path: str, token: str, columns: list[str] | None = None, rows_per_file: int | None = None
+) -> DataFrame:
+    """Add the named columns of every row to the table at ``path``, once per ``token``; the whole table.
+
+    The rows go to a folder named by the token, which a repeated run overwrites: inserting the same
+    batch again changes nothing. Files get the session's advisory partition size, large partitions
+    are split and small ones joined; ``rows_per_file`` also bounds their rows. ``token`` is made of
+    letters, digits, hyphens and underscores.
+    """
+    if not re.fullmatch(r"[\w-]+", token):
+        raise ValueError(f"not a token: {token}")
+    rows = (df.select(*columns) if columns else df).hint("rebalance")
+    writer = rows.write.mode("overwrite")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(f"{path}/batch={token}")
+    spark = df.sparkSession
+    return spark.read.schema(rows.schema).option("basePath", path).parquet(f"{path}/batch=*").select(*rows.columns)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgmetrics.operators.upsert import latest_per_key
 from orgmetrics.operators.validation import Ruleset, validate
 from orgmetrics.schemas import PAGE_DDL
 from orgmetrics.sources.pages import page_gate
+from orgmetrics.sources.versions import VersionedTable
 
 
 def ingest_available(
@@ -34,11 +35,26 @@ def ingest_available(
     content). Pages are parsed once; valid and invalid rows are told apart when read.
     """
 
+    _run(spark, landed, state, _checked_writer(state, extract, rules), files_per_batch, columns)
+
+
+def _checked_writer(state: str, extract: Callable, rules: Ruleset) -> Callable[[DataFrame, int], None]:
     def store(pages: DataFrame, batch_id: int) -> None:
         good, rejected = page_gate(pages)
         for name, rows in (("checked", validate(extract(good), rules)), ("rejected", rejected)):
             rows.write.mode("overwrite").parquet(f"{state}/{name}/batch={batch_id}")
 
+    return store
+
+
+def _run(
+    spark: SparkSession,
+    landed: str,
+    state: str,
+    store: Callable[[DataFrame, int], None],
+    files_per_batch: int | None,
+    columns: str,
+) -> None:
     reader = spark.readStream.schema(columns)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -52,6 +68,39 @@ def ingest_available(
     job.awaitTermination()
 
 
+def ingest_upserts(
+    spark: SparkSession,
+    landed: str,
+    state: str,
+    extract: Callable[[DataFrame], DataFrame],
+    rules: Ruleset,
+    table: VersionedTable,
+    keys: list[str],
+    update: list[str],
+    order_by: list[str],
+    as_of: Column,
+    id_column: str | None = None,
+    files_per_batch: int | None = None,
+    columns: str = PAGE_DDL,
+) -> None:
+    """As ``ingest_available``, and every batch is upserted into ``table``, whose parts are buckets of the keys.
+
+    A batch commits one version under its id. One that runs again, wherever it died, commits nothing
+    twice: the version is listed last, and its token is remembered. Only the buckets that hold keys of
+    the batch are read and written, and ``table.read`` opens no batch at all. Several rows of a key
+    in one batch count in the order of ``order_by``; later batches win over earlier ones.
+    """
+    write = _checked_writer(state, extract, rules)
+
+    def store(pages: DataFrame, batch_id: int) -> None:
+        write(pages, batch_id)
+        checked = pages.sparkSession.read.parquet(f"{state}/checked/batch={batch_id}")
+        valid = checked.filter("is_valid").drop("errors")
+        table.upsert(valid, f"batch-{batch_id}", keys, update, as_of, order_by, id_column)
+
+    _run(spark, landed, state, store, files_per_batch, columns)
+
+
 def batches(spark: SparkSession, state: str, name: str) -> DataFrame:
     """All rows one of the two tables ever got, with their ``batch``."""
     return spark.read.option("basePath", f"{state}/{name}").parquet(f"{state}/{name}/batch=*")

@@ -29,10 +29,10 @@ def as_of():
 
 def texts(spark, html, **selectors):
     """label -> list of (texts, href) of the matching elements."""
-    nodes = match_nodes(pages(spark, html), selectors).first()["nodes"]
+    page = match_nodes(pages(spark, html), selectors).first()
     found = {label: [] for label in selectors}
-    for n in nodes:
-        found[n["sel"]].append(n["texts"])
+    for n in page["nodes"]:
+        found[n["sel"]].append(page["texts"][n["first_text"] : n["end_text"]])
     return found
 
 
@@ -298,14 +298,27 @@ def test_unclosed_tags_take_linear_time():
 
     matcher = _Matcher({"x": "div.a b", "y": "p i"})
     started = time.perf_counter()
-    found = matcher.nodes("<html><div class=a>" + "<p>text" * 100_000 + "<b>end</b></i>")
+    found, kept = matcher.nodes("<html><div class=a>" + "<p>text" * 100_000 + "<b>end</b></i>")
     assert time.perf_counter() - started < 5
-    assert [n["texts"] for n in found] == [["end"]]
+    assert [kept[n["first_text"] : n["end_text"]] for n in found] == [["end"]]
+
+
+def test_unclosed_matched_elements_take_linear_time():
+    import time
+
+    from orgmetrics.sources.html import _Matcher
+
+    matcher = _Matcher({"x": 'a[href*="/section/"]'})
+    started = time.perf_counter()
+    found, kept = matcher.nodes('<html>' + '<a href="/section/x">name' * 100_000)
+    assert time.perf_counter() - started < 5
+    assert len(found) == len(kept) == 100_000
+    assert [(n["first_text"], n["end_text"]) for n in found[:2]] == [(0, 100_000), (1, 100_000)]
 
 
 def test_scopes_of_nested_elements():
     from orgmetrics.sources.html import _Matcher
 
     matcher = _Matcher({"x": "div.a p b", "y": "div div i"})
-    found = matcher.nodes("<div class=a><b>1</b><p><b>2</b><u><b>3</b></u></p><b>4</b></div><p><b>5</b></p><div><i>6</i><div><i>7</i></div><i>8</i></div>")
-    assert [(n["sel"], n["texts"]) for n in found] == [("x", ["2"]), ("x", ["3"]), ("y", ["7"])]
+    found, kept = matcher.nodes("<div class=a><b>1</b><p><b>2</b><u><b>3</b></u></p><b>4</b></div><p><b>5</b></p><div><i>6</i><div><i>7</i></div><i>8</i></div>")
+    assert [(n["sel"], kept[n["first_text"] : n["end_text"]]) for n in found] == [("x", ["2"]), ("x", ["3"]), ("y", ["7"])]

@@ -96,6 +96,8 @@ def test_accounts_run(accounts):
     assert accounts.sections.schema.names == schemas.SECTIONS.schema.names
     assert rows(accounts.validation_errors.select("field_name")) == [("accounts_platform_slug",), ("country_code",)]
     assert rows(accounts.rejected_pages.select("url")) == [(f"{ACCOUNTS}/section/tr-b",)]
+    logged = accounts.failed_scrapes.select("url", "scraper_module", "error_message")
+    assert rows(logged) == [(f"{ACCOUNTS}/section/tr-b", "accounts", "no html element")]
     row = accounts.summary.first()
     assert (row["sections_processed"], row["sections_validated"], row["errors"], row["passed"]) == (2, 1, 2, False)
 
