@@ -146,27 +146,49 @@ def format_conversations(
     return made.withColumn("formatted", checked)
 
 
+CHUNK = 256  # elements whose sums are built one after another
+
+
+def sums_before(lengths: str) -> str:
+    """SQL for the sum of all earlier elements at each element of an array, chunk by chunk.
+
+    An array that grows by one element is copied each time; chunks keep that linear in the length.
+    """
+    chunks = f"transform(sequence(0, (size({lengths}) - 1) div {CHUNK}), i -> slice({lengths}, int(i * {CHUNK} + 1), {CHUNK}))"
+
+    def running(array: str, start: str) -> str:
+        zero = f"named_struct('at', {start}, 'all', CAST(array() AS array<bigint>))"
+        return f"aggregate({array}, {zero}, (a, x) -> named_struct('at', a.at + x, 'all', concat(a.all, array(a.at)))).all"
+
+    totals = f"transform({chunks}, c -> aggregate(c, 0L, (a, x) -> a + x))"
+    starts = running(totals, "0L")
+    return f"flatten(zip_with({chunks}, {starts}, (c, s) -> {running('c', 's')}))"
+
+
 def read_back(formatted: DataFrame, trained: str = "assistant") -> DataFrame:
-    """Adds ``read_turns`` and ``loss_text``, both parsed out of ``formatted``.
+    """Adds ``read_turns`` and ``loss_text``, both read out of ``formatted``.
 
-    The loss text is that of the parsed turns under the mask; spans that do not cover exactly those
-    turns end the job.
+    ``loss_text`` is what stands under the mask: the text is cut at every span, unescaped and joined. A
+    span is cut out of the block of its turn, so that long conversations are not counted through for
+    each. Spans that do not give exactly the texts of the trained turns, one by one, end the job.
     """
-    turns = parse(F.col("formatted"))
-    read = formatted.withColumn("read_turns", turns)
-    masked = F.transform(
-        F.filter("read_turns", lambda t: t["role"] == trained), lambda t: t["text"]
-    )
-    covered = F.transform("loss_spans", lambda s: s["length"])
-    first = F.get("loss_spans", F.lit(0))
-    fits = (F.size(covered) == F.size(masked)) & (
-        (F.size(covered) == 0)
-        | (
-            unescape_text(F.substr("formatted", first["start"].cast("int") + 1, first["length"]))
-            == F.get(masked, F.lit(0))
-        )
-    )
-    text = F.when(F.coalesce(fits, F.lit(False)), F.array_join(masked, "")).otherwise(
+    read = formatted.withColumn("read_turns", parse(F.col("formatted")))
+    blocks = F.slice(F.split("formatted", r"\Q" + START + r"\E", -1), 2, F.size("read_turns"))
+    read = read.withColumn("_blocks", blocks)
+    sizes = F.transform("_blocks", lambda b: (F.char_length(b) + len(START)).cast("bigint"))
+    read = read.withColumn("_sizes", sizes).withColumn("_offsets", F.expr(f"IF(size(_sizes) > 0, {sums_before('_sizes')}, CAST(array() AS array<bigint>))"))
+    turns = F.arrays_zip(F.col("read_turns").alias("turn"), F.col("_blocks").alias("block"), F.col("_offsets").alias("offset"))
+    read = read.withColumn("_trained", F.filter(turns, lambda t: t["turn"]["role"] == trained))
+
+    def cut(turn: Column, span: Column) -> Column:
+        place = span["start"] - turn["offset"] - len(START)
+        inside = (place >= 0) & (span["length"] >= 0)
+        text = unescape_text(F.substr(turn["block"], (place + 1).cast("int"), span["length"].cast("int")))
+        return F.when(inside, text)
+
+    read = read.withColumn("_cut", F.zip_with("_trained", "loss_spans", cut))
+    texts = F.transform("_trained", lambda t: t["turn"]["text"])
+    text = F.when(F.coalesce(F.col("_cut") == texts, F.lit(False)), F.array_join("_cut", "")).otherwise(
         F.raise_error(F.lit("the loss mask does not cover the trained turns")).cast("string")
     )
-    return read.withColumn("loss_text", text)
+    return read.withColumn("loss_text", text).select(*formatted.columns, "read_turns", "loss_text")

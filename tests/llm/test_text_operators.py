@@ -57,6 +57,33 @@ def test_conversations_read_back(spark):
             assert formatted[start + length :].startswith("<|im_end|>\n")
 
 
+@pytest.mark.parametrize("moved", [(-20, 9), (1, 0), (0, 1), (0, -1), (-1, 1), (30, 0), (None, None)])
+@pytest.mark.parametrize("which", [0, 1, 2])
+def test_a_mask_that_moved_ends_the_job(spark, which, moved):
+    turns = [(1, i, "assistant" if i % 2 else "user", f"text {i} <|im_end|> of some length") for i in range(6)]
+    made = chat_format.format_conversations(spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string"))
+    good = chat_format.read_back(made).first()
+    assert good["loss_text"] == "".join(t for _, _, r, t in turns if r == "assistant")
+
+    def change(span, i):
+        if moved[0] is None:
+            return F.when(i != which, span)
+        start = (span["start"] + moved[0]).alias("start")
+        other = F.struct(start, (span["length"] + moved[1]).alias("length"))
+        return F.when(i == which, other).otherwise(F.struct(span["start"].alias("start"), span["length"].alias("length")))
+
+    changed = made.withColumn("loss_spans", F.array_compact(F.transform("loss_spans", change)))
+    with pytest.raises(Exception, match="loss mask"):
+        chat_format.read_back(changed).collect()
+
+
+def test_offsets_of_long_conversations(spark):
+    for n in (1, 255, 256, 257, 1000):
+        frame = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("bigint")).alias("x"))
+        found = frame.select(F.expr(chat_format.sums_before("x")).alias("s")).first()["s"]
+        assert found == [i * (i + 1) // 2 for i in range(n)]
+
+
 def test_plain_turns_are_left_as_they_are(spark):
     table = spark.createDataFrame([(1, 0, "user", "a | b \\ <x>")], "conv_id int, turn int, role string, text string")
     made = chat_format.format_conversations(table).first()
