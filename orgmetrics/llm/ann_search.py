@@ -17,12 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmetrics.llm.vectors import TopK, clean_vectors, matrix, ranked
+from orgmetrics.llm.vectors import TopK, by_dimension, clean_vectors, matrix, ranked
 
 SAMPLE = 16_384  # rows the lists are fitted on, chosen by hash
 ROWS_PER_LIST = 1024
 LISTS = (32, 2048)  # fewest and most lists; the sample has rows for the most
-PROBED = 0.75  # share of the lists that each query reads
+RECALL = 0.97  # of the sample's own neighbours, by which the share of lists to read is chosen
+HELD_OUT = 256  # sample rows that are searched for among the sample to measure it
 COLUMNS = 16  # components per step
 EPSILON = 1.3  # the test's width: the larger, the fewer candidates are lost
 DENSE = 0.2  # share of a block's pairs above which a step computes all of them
@@ -66,6 +67,20 @@ def fit_index(sample: np.ndarray, radius2: float, lists: int, rounds: int = 10,
     return Index(rotation, radius2, centres)
 
 
+def measured_share(index: Index, rows: np.ndarray, k: int, seed: int = 11) -> float:
+    """The least share of the nearest lists that holds ``RECALL`` of the true neighbours in the sample."""
+    rng = np.random.default_rng(seed)
+    asked = rng.permutation(len(rows))[:HELD_OUT]
+    lists = len(index.centres)
+    own = index.distances(index.lift(rows, query=False)).argmin(axis=1)
+    place = np.argsort(np.argsort(index.distances(index.lift(rows[asked], query=True)), axis=1), axis=1)
+    scores = rows[asked] @ rows.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    near = np.argsort(-scores, axis=1)[:, : max(1, min(k, len(rows) - 1))]
+    needed = np.sort((np.take_along_axis(place, own[near], axis=1) + 1).ravel())
+    return float(needed[min(len(needed) - 1, int(RECALL * len(needed)))] / lists)
+
+
 def scan_list(
     queries: np.ndarray,
     query_ids: np.ndarray,
@@ -125,11 +140,39 @@ def _largest(limit: np.ndarray, d: int, dim: int) -> np.ndarray:
     return limit * (d / dim) * width**2 + 1e-9
 
 
+class Indexes:
+    """An index for every length of vectors; a length that the sample lacks has one list."""
+
+    def __init__(self, known: dict[int, Index], share: dict[int, float], radius2: float):
+        self.known, self.share, self.radius2 = known, share, radius2
+
+    def of(self, dim: int) -> Index:
+        if dim not in self.known:
+            self.known[dim] = fit_index(np.zeros((1, dim)), self.radius2, 1, rounds=0)
+        return self.known[dim]
+
+    def lists(self, vectors: np.ndarray) -> np.ndarray:
+        """The list of each row; lists of different lengths are different."""
+        dim, index = vectors.shape[1], self.of(vectors.shape[1])
+        return index.distances(index.lift(vectors, query=False)).argmin(axis=1) + (dim << 32)
+
+    def probes(self, vectors: np.ndarray, sizes: dict[int, int], k: int) -> list[np.ndarray]:
+        """The lists that each query reads: the nearest share, and further ones until they hold k others."""
+        dim, index = vectors.shape[1], self.of(vectors.shape[1])
+        order = np.argsort(index.distances(index.lift(vectors, query=True)), axis=1)
+        lists = len(index.centres)
+        size = np.array([sizes.get(i + (dim << 32), 0) for i in range(lists)])
+        enough = (np.cumsum(size[order], axis=1) > k).argmax(axis=1) + 1
+        enough[size.sum() <= k] = lists
+        least = max(1, int(np.ceil(self.share.get(dim, 1.0) * lists)))
+        return [row[: max(least, n)] + (dim << 32) for row, n in zip(order, enough)]
+
+
 def nearest(
     df: DataFrame,
     is_query: str,
     k: int = 20,
-    probed: float = PROBED,
+    probed: float | None = None,
     sample: int = SAMPLE,
     key: str = "vec_id",
     vector: str = "embedding",
@@ -137,57 +180,55 @@ def nearest(
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found by inner product.
 
     The lists are fitted on ``sample`` rows chosen by hash; every row is in one list, and every row
-    that meets ``is_query`` searches the nearest ``probed`` share of them. Large lists are cut into
-    cells of bounded size. Vectors that are null, empty, zero or hold null or non-finite components
-    take no part, nor do rows without an id or of another length than most of the sample; of
-    several rows of one id the smallest vector counts; equal scores go to the smaller id.
+    that meets ``is_query`` searches the nearest ``probed`` share of them (by default the share that
+    held ``RECALL`` of the neighbours within the sample), and further lists until they hold ``k``
+    other rows: a query has ``k`` rows, or all there are. Vectors are compared with those of their own
+    length alone. Large lists are cut into cells of bounded size. Vectors that are null, empty, zero
+    or hold null or non-finite components take no part, nor do rows without an id; of several rows of
+    one id the smallest vector counts; equal scores go to the smaller id.
     """
     schema = "query_id bigint, vec_id bigint, score double"
     spark = df.sparkSession
     clean = clean_vectors(df, key, vector, allow_zero=False)
-    # Sizes of the table, and a sample of a fixed number of rows.
-    chosen = clean.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
-    if not len(chosen):
-        return ranked(spark.createDataFrame([], schema), k)
-    dim = int(chosen["v"].map(len).mode().iloc[0])
-    clean = clean.filter(F.size("v") == dim)
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     size = clean.agg(F.count("*").alias("n"), F.max(squares).alias("radius2")).first()
-    rows = matrix(chosen.loc[chosen["v"].map(len) == dim, "v"])
-    lists = int(min(max(LISTS[0], size["n"] // ROWS_PER_LIST), LISTS[1], max(1, len(rows) // 8)))
-    index = fit_index(rows, size["radius2"], lists)
-    probes = max(1, int(np.ceil(probed * lists)))
+    if not size["n"]:
+        return ranked(spark.createDataFrame([], schema), k)
+    # Rows below a hash that leaves a little more than the sample, whatever the table.
+    at = F.pmod(F.xxhash64("vec_id", F.lit(99)), F.lit(1 << 32))
+    few = clean.withColumn("at", at).filter(F.col("at") < F.lit(int(min(1.0, 1.2 * sample / size["n"]) * (1 << 32))))
+    chosen = few.toPandas().sort_values(["at", "vec_id"])[:sample]
+    known, share = {}, {}
+    for part in by_dimension(chosen):
+        rows = matrix(part["v"])
+        lists = int(min(max(LISTS[0], size["n"] // ROWS_PER_LIST), LISTS[1], max(1, len(rows) // 8)))
+        index = fit_index(rows, size["radius2"], lists)
+        known[rows.shape[1]] = index
+        share[rows.shape[1]] = measured_share(index, rows, k) if probed is None else probed
+    indexes = Indexes(known, share, size["radius2"])
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                far = index.distances(index.lift(matrix(batch["v"]), query=False))
-                yield batch.assign(list=far.argmin(axis=1).astype(np.int32))
+            for part in by_dimension(batch):
+                yield part.assign(list=indexes.lists(matrix(part["v"])))
+
+    kind = "vec_id bigint, v array<double>"
+    placed = clean.mapInPandas(assign, f"{kind}, list bigint")
+    # Rows per list: one number for each list, however large the table.
+    sizes = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count("*").alias("n")).collect()}
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                far = index.distances(index.lift(matrix(batch["v"]), query=True))
-                near = np.argpartition(far, probes - 1, axis=1)[:, :probes].astype(np.int32)
-                yield batch.assign(lists=list(near))
+            for part in by_dimension(batch):
+                yield part.assign(lists=indexes.probes(matrix(part["v"]), sizes, k))
 
-    kind = "vec_id bigint, v array<double>"
-    placed = clean.mapInPandas(assign, f"{kind}, list int")
-    asked = clean.filter(is_query).mapInPandas(probe, f"{kind}, lists array<int>")
+    asked = clean.filter(is_query).mapInPandas(probe, f"{kind}, lists array<bigint>")
     asked = asked.select("vec_id", "v", F.explode("lists").alias("list"))
-    # Rows and queries per list: one row for each list, however large the table.
-    counts = {
-        r["list"]: (r["n"], r["asked"])
-        for r in placed.groupBy("list")
-        .agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("asked"))
-        .join(asked.groupBy("list").agg(F.count("*").alias("m")), "list", "left")
-        .select("list", "n", F.coalesce("m", F.lit(0)).alias("asked"))
-        .collect()
-    }
-    cells = lambda at, per: F.create_map(
-        *(F.lit(x) for e, n in counts.items() for x in (e, max(1, -(-n[at] // per))))
+    wanted = {r["list"]: r["n"] for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    cells = lambda counts, per: F.create_map(
+        *(F.lit(x) for e in sizes for x in (e, max(1, -(-counts.get(e, 0) // per))))
     )[F.col("list")]
-    rcells, qcells = cells(0, ROWS_PER_CELL), cells(1, QUERIES_PER_CELL)
+    rcells, qcells = cells(sizes, ROWS_PER_CELL), cells(wanted, QUERIES_PER_CELL)
     deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = asked.filter(rcells.isNotNull()).select("*", deal(qcells, 1).alias("q"), every(rcells).alias("r"))
@@ -196,10 +237,8 @@ def nearest(
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids = queries["vec_id"].to_numpy()
-        found = scan_list(
-            matrix(queries["v"]), ids, matrix(rows["v"]), rows["vec_id"].to_numpy(), index, k
-        )
+        ids, given = queries["vec_id"].to_numpy(), matrix(queries["v"])
+        found = scan_list(given, ids, matrix(rows["v"]), rows["vec_id"].to_numpy(), indexes.of(given.shape[1]), k)
         return found.rows(ids)
 
     on = ("list", "q", "r")
