@@ -29,8 +29,8 @@ from orgmetrics.llm.batches import LONG, STRING, SharedFolder, array_of, per_sli
 from orgmetrics.llm.bpe_codec import BytePairCodec
 
 SLICE_BYTES = 1 << 19  # of texts that are aligned at a time; a longer text is alone
-CACHE_WORDS = 250_000  # distinct words a worker remembers before it starts afresh
-CACHE_PAIRS = 300_000  # the same for pairs of tokens
+CACHE_WORDS = 200_000  # distinct words a worker remembers before it starts afresh
+CACHE_PAIRS = 200_000  # the same for pairs of tokens
 LONG_WORD = 256  # words of more characters are not remembered
 SINGLE_SPACE = re.compile("(?<=[^ ]) (?=[^ ])")
 INTS = array_of((T.IntegerType(), pa.int32()))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 from orgmetrics.session import shared_dir
 
+if TYPE_CHECKING:
+    import pandas as pd  # not loaded by workers that only see Arrow batches
+
 CHUNK_CHARS = 1 << 21  # characters of text whose words a task holds at a time
 
 
