@@ -1,14 +1,19 @@
 """MinHash near-dedup over an LSH forest, confirmed on full shingle sets.
 
 1. Texts with equal shingle sets become one node.
-2. Each tree of the forest gives a node a prefix of ``DEPTH`` min-hashes of its own. Nodes with a
-   common prefix are a region. All pairs of a region are compared on their signatures, whatever its
-   size: one of more than ``REGION`` nodes is cut into blocks, and every block meets every other.
-   Nodes whose signatures agree well enough for the threshold are neighbours. Neighbours form loose
-   clusters: any two texts that reach the threshold are in one.
-3. The full sets of a cluster are compared exactly, block by block. A text that is known to be
-   linked to the largest part of its blocks is compared no further, all others are compared with
-   every text of the cluster, so no link between two components is missed.
+2. Every tree of the forest sorts all nodes by min-hashes in an order of its own. In the sorted order
+   the nodes with the longest common prefixes stand together: a node's candidates are the ``WINDOW``
+   nodes before and after it that share at least ``DEPTH`` min-hashes with it. How deep the tree
+   looked at a node follows from its region: where more nodes share a prefix than the window holds,
+   only longer prefixes were compared in full.
+3. A node whose regions were deep could have missed a partner. Its chance of that is summed up over
+   the trees, and as long as it is above ``MISS`` the node goes through further trees, with such nodes
+   alone. Nodes found to be neighbours by then are one cluster, and no longer take up each other's
+   windows. So candidates grow with the nodes, and no pair is dropped for the size of a region.
+4. Candidates whose signatures agree well enough are neighbours and form loose clusters: any two texts
+   that reach the threshold are in one. The full sets of a cluster are compared exactly, block by
+   block. A text that is known to be linked to the largest part of its blocks is compared no
+   further, all others are compared with every text of the cluster.
 """
 
 from __future__ import annotations
@@ -20,19 +25,24 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from orgmetrics.llm.batches import BINARY, LONG, SharedFolder, array_of, filled, per_text, text_slices
+from orgmetrics.llm.batches import BINARY, LONG, SharedFolder, filled, per_text, text_slices
 from orgmetrics.llm.components import components
-from orgmetrics.llm.shingles import MinHash, Shingler
+from orgmetrics.llm.shingles import MinHash, Shingler, mix
 
-TREES = 20
-DEPTH = 3  # a pair of similarity 0.8 shares this prefix in some tree but for one time in a million
+DEPTH = 3  # min-hashes that two nodes of a region share
+LONGEST = 16  # min-hashes by which a tree sorts
 APART = 6  # min-hashes from the first of one tree to that of the next
+MISS = 1e-6  # chance at most that a pair at the threshold is never compared
 HASHES = 128
 WIDTHS_OF_ERROR = 4.5  # signatures may fall short of the threshold by so many standard deviations
-REGION = 1024  # nodes; larger regions are compared in blocks of about so many
+WINDOW = 64  # nodes before and after a node in a sorted order that it is compared with
+ROWS = 4096  # of a sorted order in one block; neighbours beyond its ends are copied to it
+BEYOND = 256
 BLOCKS = 24  # per cluster, of at least 64 and at most ...
 BLOCK_SHINGLES = 2_000_000  # ... so many shingles
 
@@ -48,31 +58,25 @@ def _minhash() -> MinHash:
 
 
 def _describe(docs: DataFrame, width: int, text: str, key: str) -> DataFrame:
-    """(doc, n_shingles, digest of the set, prefix per tree, one byte of each min-hash)."""
+    """(doc, n_shingles, digest of the set, two bytes of each min-hash)."""
 
     def make():
         shingler, minhash = _shingler(width), _minhash()
-        trees = np.arange(TREES)
 
         def one(found: np.ndarray) -> tuple:
             if not len(found):
-                return 0, None, None, None
+                return 0, None, None
             signature = minhash.signature(found)
-            prefix = trees.astype(np.uint64)
-            for j in range(DEPTH):
-                prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + signature[trees * APART + j]
             return (
                 len(found),
                 hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
-                prefix.view(np.int64),
-                (signature & 0xFF).astype(np.uint8).tobytes(),
+                (signature & 0xFFFF).astype(">u2").tobytes(),
             )
 
         return lambda texts: [one(s) for s in shingler.sets(texts)]
 
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body"))
-    added = {"n_shingles": LONG, "digest": BINARY, "prefixes": array_of(LONG), "signature": BINARY}
-    return per_text(rows, ["doc"], "body", added, make)
+    return per_text(rows, ["doc"], "body", {"n_shingles": LONG, "digest": BINARY, "signature": BINARY}, make)
 
 
 def _by_key(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:
@@ -100,65 +104,217 @@ def _by_key(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataF
     return dealt.mapInPandas(stream, schema)
 
 
-def _regions(nodes: DataFrame, folder: SharedFolder) -> DataFrame:
-    """(region, i, j, block, node, signature): every pair of blocks of all regions of several nodes."""
-    rows = nodes.select("node", F.posexplode("prefixes").alias("tree", "region"))
-    sizes = rows.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-    blocks = F.ceil(F.col("size") / REGION).cast("int")
-    rows = rows.join(sizes.select("region", blocks.alias("blocks")), "region")
-    rows = rows.join(nodes.select("node", "signature"), "node")
-    rows = folder.table(rows, "regions")
-    block = F.pmod(F.xxhash64("node", "tree"), F.col("blocks")).cast("int")
-    return rows.withColumn("block", block).select(
-        "region", "block", "node", "signature",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).select(
-        "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "node", "signature",
-    )
+def _trees(level: float) -> int:
+    """Trees that compare all but ``MISS`` of the pairs of similarity ``level``, none deeper than ``DEPTH``."""
+    return math.ceil(math.log(MISS) / math.log1p(-(level**DEPTH)))
+
+
+@lru_cache(maxsize=64)
+def _orders(trees: int, turn: int) -> np.ndarray:
+    """Which min-hashes each tree of a turn sorts by."""
+    mixed = np.random.default_rng(100 + turn).permutation(HASHES)
+    return np.stack([np.roll(mixed, -APART * t)[:LONGEST] for t in range(trees)])
+
 
+def _signatures(packed) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, packed)), dtype=">u2").reshape(-1, HASHES)
 
-def _neighbours(least: float) -> Callable:
-    """Links of a pair of blocks that connect all nodes whose signatures agree by ``least``.
 
-    Two blocks are compared with each other alone: pairs within a block are those of the block and
-    itself. A node is compared no further with nodes that it is connected to already.
+def _sorted_orders(nodes: DataFrame, trees: int, turn: int, folder: SharedFolder) -> DataFrame:
+    """(rank, region, tail, node, cluster, signature): every tree's order, one after another.
+
+    ``region`` stands for a tree and a prefix of ``DEPTH`` min-hashes, ``tail`` for those after it.
+    Regions of one node are left out.
     """
-    enough = math.ceil(least * HASHES)
-    ones = np.uint64(0x0101010101010101)
 
-    def run(group: pd.DataFrame) -> list[tuple[int, int]]:
-        nodes = group["node"].to_numpy()
-        if len(nodes) < 2:
-            return []
-        signatures = np.frombuffer(b"".join(map(bytes, group["signature"])), dtype=np.uint8)
-        signatures = signatures.reshape(len(nodes), HASHES)
-        side = (group["block"].to_numpy() != group["i"].to_numpy()).astype(int)
-        two = bool((group["i"] != group["j"]).iloc[0])
-        left = [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
-        kept = [signatures[x] for x in left]
-        found, todo = [], []
-        # The last block needs no start of its own: what is left there has met all of the first.
-        while todo or len(left[0]):
-            if not todo:
-                todo.append(int(left[0][0]))
-                left[0], kept[0] = left[0][1:], kept[0][1:]
-            at = todo.pop()
-            to = 1 - side[at] if two else 0
-            if not len(left[to]):
+    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        orders = _orders(trees, turn)
+        for batch in batches:
+            first = _signatures(batch.column(1).to_pylist())[:, orders[:, :DEPTH]].astype(np.uint64)
+            found = np.arange(trees, dtype=np.uint64) + np.uint64(1)
+            for j in range(DEPTH):
+                found = mix(found * np.uint64(0x9E3779B97F4A7C15) + first[:, :, j])
+            lists = pa.array(list(found.view(np.int64)), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "regions"])
+
+    rows = nodes.select("node", "signature").mapInArrow(regions, "node bigint, regions array<bigint>")
+    rows = folder.table(rows.select("node", F.posexplode("regions").alias("tree", "region")), f"regions{turn}")
+    several = rows.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
+    # Written first: so a region that holds much of the rows can be split in the join.
+    rows = rows.join(folder.table(several, f"several{turn}"), "region", "left_semi").join(nodes, "node")
+
+    def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        orders = _orders(trees, turn)
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            # One byte per hash that agrees, sixteen words of eight bytes added up, then the bytes.
-            same = (kept[to] == signatures[at]).view(np.uint64).sum(axis=1, dtype=np.uint64)
-            near = (same * ones >> np.uint64(56)) >= enough
+            signatures, tree = _signatures(batch.column(4).to_pylist()), batch.column(1).to_numpy()
+            tail = np.ascontiguousarray(np.take_along_axis(signatures, orders[tree, DEPTH:], axis=1))
+            tail = pa.array([t.tobytes() for t in tail], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, tail], ["node", "tree", "region", "cluster", "signature", "tail"])
+
+    rows = rows.select("node", "tree", "region", "cluster", "signature").mapInArrow(
+        tails, "node bigint, tree int, region bigint, cluster bigint, signature binary, tail binary"
+    )
+    by = ["region", "tail", "node"]
+    placed = rows.drop("tree").repartitionByRange(*by).sortWithinPartitions(*by)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = folder.table(placed.withColumn("range", F.spark_partition_id()).withColumn("place", place), f"order{turn}")
+    # A place in its range, after the rows of all earlier ranges: one number per range.
+    counts = placed.groupBy("range").agg(F.count("*").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return placed.join(F.broadcast(counts), "range").withColumn("rank", F.col("before") + F.col("place"))
+
+
+class _Forest:
+    """Nodes of a block that are known to be connected."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Connects pairs; the places of those that connected something new."""
+        pairs = self.label[np.stack([a, b])]
+        pairs.sort(axis=0)
+        _, first = np.unique(pairs[0] * len(self.label) + pairs[1], return_index=True)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in root:
+                x = root[x]
+            return x
+
+        new = []
+        for at in sorted(first.tolist()):
+            x, y = find(int(pairs[0, at])), find(int(pairs[1, at]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                new.append(at)
+        if root:
+            table = np.arange(len(self.label))
+            for x in root:
+                table[x] = find(x)
+            self.label = table[self.label]
+        return new
+
+
+def _common(tails: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Min-hashes at the beginning that rows of one region share."""
+    same = tails[a] == tails[b]
+    return DEPTH + np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
+
+
+def _neighbours(least: float, level: float) -> Callable:
+    """For the rows of a block: (a, b, 0) links that connect neighbours; (node, null, lack).
+
+    ``lack`` is by how much the logarithm of a node's chance to miss a partner is larger than if the
+    whole region had been compared.
+    """
+    enough = math.ceil(least * HASHES)
+    full = math.log1p(-(level**DEPTH))
+
+    def run(group: pd.DataFrame) -> list[tuple]:
+        group = group.iloc[np.argsort(group["rank"].to_numpy(), kind="stable")]
+        node, region, cluster = (group[c].to_numpy() for c in ("node", "region", "cluster"))
+        n = len(node)
+        own = np.flatnonzero(group["rank"].to_numpy() // ROWS == group["block"].to_numpy())
+        if n < 2 or not len(own):
+            return []
+        signatures = _signatures(group["signature"])
+        tails = np.frombuffer(b"".join(map(bytes, group["tail"])), dtype=">u2").reshape(n, -1)
+        forest, found = _Forest(n), []
+
+        def connect(a: np.ndarray, b: np.ndarray) -> None:
+            found.extend((int(node[a[i]]), int(node[b[i]]), 0.0) for i in forest.join(a, b))
+
+        def compare(a: np.ndarray, b: np.ndarray) -> None:
+            new = forest.label[a] != forest.label[b]
+            a, b = a[new], b[new]
+            near = np.zeros(len(a), dtype=bool)
+            for k in range(0, len(a), 2048):
+                part = slice(k, k + 2048)
+                near[part] = (signatures[a[part]] == signatures[b[part]]).sum(axis=1) >= enough
             if near.any():
-                found += [(int(nodes[at]), int(nodes[i])) for i in left[to][near]]
-                todo += left[to][near].tolist()
-                left[to], kept[to] = left[to][~near], kept[to][~near]
+                connect(a[near], b[near])
+
+        # Rows that agree on all that a tree sorts by are neighbours without more ado.
+        next_ = own[own < n - 1]
+        next_ = next_[region[next_] == region[next_ + 1]]
+        equal = next_[(tails[next_] == tails[next_ + 1]).all(axis=1)]
+        if len(equal):
+            connect(equal, equal + 1)
+        # Rows of one cluster side by side are passed over together.
+        change = np.flatnonzero((region[1:] != region[:-1]) | (cluster[1:] != cluster[:-1])) + 1
+        edges = np.r_[0, change, n]
+        run_of = np.searchsorted(change, np.arange(n), side="right")
+        start, stop = edges[run_of], edges[run_of + 1]
+        for w in range(WINDOW):
+            sides = [(stop[own] + w, 1)]
+            if len(edges) <= n:
+                sides.append((start[own] - 1 - w, -1))
+            for other, _ in sides:
+                good = (other >= 0) & (other < n)
+                a, b = own[good], other[good]
+                good = (region[a] == region[b]) & (cluster[a] != cluster[b])
+                if good.any():
+                    compare(a[good], b[good])
+        # The last row looked at on each side: what has a longer prefix in common was looked at.
+        depth = np.full(len(own), DEPTH)
+        for last in (np.minimum(stop[own] + WINDOW - 1, n - 1), np.maximum(start[own] - WINDOW, 0)):
+            within = (region[last] == region[own]) & (last != own)
+            deep = np.minimum(LONGEST, _common(tails, own, last) + 1)
+            depth = np.where(within, np.maximum(depth, deep), depth)
+        lack = np.log1p(-(level**depth)) - full
+        found.extend((int(node[own[i]]), None, float(lack[i])) for i in np.flatnonzero(lack > 0))
         return found
 
     return run
 
 
+def _loose_links(nodes: DataFrame, level: float, folder: SharedFolder) -> DataFrame:
+    """(a, b) links of neighbours in the forest: nodes that reach ``level`` are connected."""
+    least = level - WIDTHS_OF_ERROR * (level * (1 - level) / HASHES) ** 0.5
+    trees = _trees(level)
+    gain, target = trees * math.log1p(-(level**DEPTH)), math.log(MISS)
+    # Equal signatures are one node of the forest.
+    named = nodes.select("signature", "node").groupBy("signature").agg(F.min("node").alias("first"))
+    named = folder.table(named, "signatures")
+    links = nodes.join(named, "signature").filter("node <> first").select(
+        F.col("first").alias("a"), F.col("node").alias("b")
+    )
+    going = named.select(F.col("first").alias("node"), "signature", F.col("first").alias("cluster"))
+    so_far, turn = None, 0
+    while True:
+        rows = _sorted_orders(going, trees, turn, folder)
+        at, last = F.col("rank"), (F.col("rank") / ROWS).cast("bigint")
+        seen = F.array_distinct(
+            F.array(last, F.floor((at - BEYOND) / ROWS).cast("bigint"), F.floor((at + BEYOND) / ROWS).cast("bigint"))
+        )
+        copies = rows.select(F.explode(seen).alias("block"), "rank", "region", "tail", "node", "cluster", "signature")
+        copies = copies.filter("block >= 0")
+        found = _by_key(copies, ["block"], _neighbours(least, level), "a bigint, b bigint, lack double")
+        found = folder.table(found, f"found{turn}")
+        links = links.union(found.filter("b IS NOT NULL").select("a", "b"))
+        lack = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("lack").alias("lack"))
+        # What a node still lacks, over all turns.
+        lack = lack if so_far is None else lack.join(so_far, "node").select(
+            "node", (F.col("lack") + F.col("before")).alias("lack")
+        )
+        lack = folder.table(lack.filter(F.col("lack") + F.lit(gain) > target), f"lack{turn}")
+        if lack.isEmpty():
+            return links
+        clusters = components(links, folder, f"loose{turn}").select("node", F.col("root").alias("cluster"))
+        going = named.select(F.col("first").alias("node"), "signature").join(lack.select("node"), "node", "left_semi")
+        going = going.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+        going = folder.table(going, f"going{turn}")
+        # Nodes of one cluster have nothing to find among themselves.
+        if len(going.select("cluster").distinct().head(2)) < 2:
+            return links
+        so_far = lack.select("node", (F.col("lack") + F.lit(gain)).alias("before"))
+        turn += 1
+
+
 def _links_within(shared: int, union: int) -> Callable:
     """(node, leader) for the nodes of a pair of blocks that are linked to a smaller one there."""
 
@@ -250,14 +406,11 @@ def near_duplicates(
         F.min("doc").alias("node"),
         F.max("n_shingles").alias("n_shingles"),
         # Equal for all rows of a digest.
-        F.any_value("prefixes").alias("prefixes"),
         F.any_value("signature").alias("signature"),
     )
     nodes = folder.table(nodes, "nodes")
 
-    level = shared / union
-    least = level - WIDTHS_OF_ERROR * (level * (1 - level) / HASHES) ** 0.5
-    near = _by_key(_regions(nodes, folder), ["region", "i", "j"], _neighbours(least), "a bigint, b bigint")
+    near = _loose_links(nodes, shared / union, folder)
     # One document may have several texts.
     same = full.groupBy("doc", "digest").agg(F.max("n_shingles").alias("n"))
     same = same.join(nodes.select("digest", "node"), "digest").select("doc", "node").filter("doc <> node")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from orgmetrics.llm import line_dedup, near_dedup
@@ -101,8 +102,10 @@ def test_near_duplicates_of_the_sample(spark, width):
 
 
 def test_clusters_of_many_copies(spark, monkeypatch):
-    """Regions deeper than the first prefix and clusters of several blocks, with links at the border."""
-    monkeypatch.setattr(near_dedup, "REGION", 40)
+    """Regions wider than the window, orders of several blocks, and clusters with links at the border."""
+    monkeypatch.setattr(near_dedup, "WINDOW", 8)
+    monkeypatch.setattr(near_dedup, "ROWS", 200)
+    monkeypatch.setattr(near_dedup, "BEYOND", 16)
     rng = random.Random(4)
     base, docs = prose(rng, 60), []
     for k in range(250):
@@ -173,19 +176,49 @@ def test_native_queries_have_no_python_node(spark, name):
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
 
 
-def test_every_pair_of_a_large_region_is_compared(spark, monkeypatch):
-    """3,000 nodes are one region in each tree; pairs that agree on 0.84 but part there at once are found."""
-    monkeypatch.setattr(near_dedup, "REGION", 300)
-    rng, trees, apart = random.Random(6), near_dedup.TREES, 6
-    start = {apart * t + j for t in range(trees) for j in range(3)}
-    signatures = [bytes(7 if h in start else rng.randrange(256) for h in range(128)) for _ in range(3000)]
-    pairs = [(k, 2999 - k) for k in range(100)]
+def alike(rng, n, pairs, agreement=0.55, near=0.84):
+    """Signatures that agree pairwise on a share of the min-hashes, and planted pairs that agree on more."""
+    base = rng.integers(0, 1 << 16, 128)
+    signatures = np.where(rng.random((n, 128)) < agreement**0.5, base, rng.integers(0, 1 << 16, (n, 128)))
     for a, b in pairs:
-        parted = {apart * t + 3 for t in range(trees)}
-        signatures[b] = bytes(x ^ (h in parted) for h, x in enumerate(signatures[a]))
-    given = [(k, list(range(trees)), s) for k, s in enumerate(signatures)]
-    nodes = spark.createDataFrame(given, "node bigint, prefixes array<bigint>, signature binary").repartition(4)
-    regions = near_dedup._regions(nodes, SharedFolder(nodes, "test"))
-    keys = [c for c in regions.columns if c in ("region", "i", "j")]
-    links = near_dedup._by_key(regions, keys, near_dedup._neighbours(0.641), "a bigint, b bigint")
-    assert {(min(a, b), max(a, b)) for a, b in rows(links)} == set(pairs)
+        signatures[b] = np.where(rng.random(128) < near, signatures[a], rng.integers(0, 1 << 16, 128))
+    return signatures
+
+
+def candidates_of(spark, signatures, level=0.8):
+    """Loose links of nodes with these signatures, and how many rows all sorted orders had."""
+    given = [(k, s.astype(">u2").tobytes()) for k, s in enumerate(signatures)]
+    nodes = spark.createDataFrame(given, "node bigint, signature binary").repartition(4)
+    folder = SharedFolder(nodes, "test")
+    links = rows(near_dedup._loose_links(nodes, level, folder))
+    placed = spark.read.parquet(f"{folder.folder}/order*").count()
+    return links, placed
+
+
+def test_planted_pairs_among_thousands_of_similar_texts(spark, monkeypatch):
+    """Every region is wider than the window: nodes go through further trees until the pairs are found."""
+    monkeypatch.setattr(near_dedup, "WINDOW", 16)
+    rng = np.random.default_rng(6)
+    pairs = [(k, 4999 - k) for k in range(200)]
+    signatures = alike(rng, 5000, pairs)
+    links, placed = candidates_of(spark, signatures)
+    root = list(range(5000))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    near = [(a, b) for a, b in pairs if (signatures[a] == signatures[b]).mean() >= 0.8]
+    assert len(near) > 150
+    assert sum(find(a) == find(b) for a, b in near) >= 0.99 * len(near)
+    # Candidates: rows of the orders times the window, whatever the size of a region.
+    assert placed <= 5000 * 20 * 25
+
+
+def test_candidates_grow_with_the_nodes(spark):
+    rng = np.random.default_rng(7)
+    few, many = (candidates_of(spark, alike(rng, n, []))[1] for n in (1000, 4000))
+    assert many <= 4 * 1.5 * few
