@@ -2,7 +2,9 @@
 
 A template is licence wording with markup: ``<<optional>>...<</optional>>`` may be missing and
 ``<<var:5>>`` stands for up to five words of any kind. It is compiled into an automaton that accepts
-a place of a text only if all mandatory wording stands there word for word.
+a place of a text only if all mandatory wording stands there word for word, to the licence's end.
+Where only the opening of a long wording stands, that is reported as an opening, under a label of
+its own.
 """
 
 from __future__ import annotations
@@ -11,12 +13,11 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orgmetrics.llm.batches import LONG, STRING, array_of, per_text, struct_of
+from orgmetrics.llm.batches import LONG as BIGINT
+from orgmetrics.llm.batches import STRING, array_of, per_text, struct_of
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -33,18 +34,33 @@ TEMPLATES = {
         "and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice "
         "<<optional>>(including the next paragraph) <</optional>>shall be included in all copies or "
-        "substantial portions of the Software.",
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+        "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE <<var:12>> BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
     ),
     "Apache-2.0": (
         "licensed under the <<optional>>terms of the <</optional>>Apache license, version 2.0",
         "released under the <<optional>>terms of the <</optional>>Apache license, version 2.0",
+        "Licensed under the Apache License, Version 2.0 (the <<optional>>\"<</optional>>License); you may "
+        "not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "<<optional>>http<<optional>>s<</optional>>://www.apache.org/licenses/LICENSE-2.0 <</optional>>Unless "
+        "required by applicable law or agreed to in writing, software distributed under the License is "
+        "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
+        "implied. See the License for the specific language governing permissions and limitations under "
+        "the License.",
     ),
     "GPL": (
         "licensed under the <<optional>>terms of the <</optional>>GNU general public license"
         "<<optional>>, version <<var:1>> <<optional>>or later <</optional>><</optional>>",
         "This program is free software<<optional>>;<</optional>> you can redistribute it and/or modify "
         "it under the terms of the GNU General Public License as published by the Free Software "
-        "Foundation",
+        "Foundation<<optional>>,<</optional>> either version <<var:1>> of the License, or (at your option) any "
+        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU General Public License for more details.",
     ),
     "CC-BY-NC-4.0": (
         "licensed under <<optional>>a <</optional>>CC BY-NC 4.0",
@@ -57,15 +73,36 @@ TEMPLATES = {
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met: <<optional>>1. <</optional>>"
-        "Redistributions of source code must retain the above copyright notice",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions "
+        "and the following disclaimer. <<optional>>2. <</optional>>Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. <<optional>><<optional>>3. "
+        "<</optional>>Neither the name of <<var:10>> nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission. "
+        "<</optional>>THIS SOFTWARE IS PROVIDED BY <<var:12>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var:12>> BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT "
+        "OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+        "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE.",
     ),
     "ISC": (
         "Permission to use, copy, modify, and<<optional>>/or<</optional>> distribute this software for "
         "any purpose with or without fee is hereby granted, provided that the above copyright notice "
-        "and this permission notice appear in all copies.",
+        "and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND <<var:6>> "
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var:6>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, "
+        "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
 }
 
+OPENING = 8  # mandatory words that make an opening, of wordings of ...
+LONG = 30  # ... so many mandatory words or more
+OPENING_LABEL = "{}-opening"
 ANCHOR_WORDS = 3  # mandatory words at a template's start by which its places are found
 # Words are runs of digits, lower-case letters and everything beyond ASCII; the rest parts them.
 _WORD_BYTES = bytes(
@@ -160,24 +197,36 @@ class Scanner:
     def __init__(self, phrases: dict[str, str], templates: dict[str, tuple[str, ...]]):
         self.phrases = [(b" ".join(words_of(p)), label) for p, label in phrases.items()]
         self.templates: dict[bytes, list[tuple[str, Automaton]]] = {}
+        self.openings: dict[bytes, list[tuple[str, list[bytes]]]] = {}
         for label, wordings in templates.items():
             for wording in wordings:
                 self.templates.setdefault(_anchor(wording), []).append((label, compile_template(wording)))
+                first = words_of(wording.split("<<")[0])[:OPENING]
+                if len(words_of(re.sub("<<[^<>]*>>", " ", wording))) >= LONG:
+                    self.openings.setdefault(_anchor(wording), []).append((label, first))
 
     def scan(self, text: str) -> tuple[int, list[tuple[str, bool, int, int]]]:
-        """(number of words, places: label, whether by template, first word, word after)."""
+        """(number of words, places: label, kind, first word, word after).
+
+        The kind is phrase, template, or opening where a long template is not met as a whole.
+        """
         words = words_of(text)
         line = b" " + b" ".join(words) + b" "
         places = []
         for phrase, label in self.phrases:
             size = phrase.count(b" ") + 1
-            places += [(label, False, at, at + size) for at in _starts(line, phrase)]
+            places += [(label, "phrase", at, at + size) for at in _starts(line, phrase)]
         for anchor, automata in self.templates.items():
             for at in _starts(line, anchor):
+                met = set()
                 for label, automaton in automata:
                     end = automaton.match(words, at)
                     if end is not None:
-                        places.append((label, True, at, end))
+                        places.append((label, "template", at, end))
+                        met.add(label)
+                for label, first in self.openings.get(anchor, ()):
+                    if label not in met and words[at : at + len(first)] == first:
+                        places.append((OPENING_LABEL.format(label), "opening", at, at + len(first)))
         return len(words), sorted(places, key=lambda p: (p[2], p[3], p[0]))
 
 
@@ -201,25 +250,24 @@ def license_scan(
 ) -> DataFrame:
     """``key``, ``n_words`` and ``places`` of every whole text, in the order of their first word.
 
-    A place has its label, whether a template (or else a phrase) was met, its first word and the
-    word after it. Row-local. A null text counts as empty and has no words; repeated rows and null
+    A place has its label, its kind (phrase, template, opening), its first word and the word after it. Row-local. A null text counts as empty and has no words; repeated rows and null
     keys are kept; other columns are ignored.
     """
     scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
 
-    names = ("label", "template", "first", "until")
+    names = ("label", "kind", "first", "until")
 
     def work(texts: list[str]) -> list[tuple]:
         found = [scanner.scan(t) for t in texts]
         return [(n, [dict(zip(names, p)) for p in places]) for n, places in found]
 
-    place = struct_of(label=STRING, template=(T.BooleanType(), pa.bool_()), first=LONG, until=LONG)
-    return per_text(docs, [key], text, {"n_words": LONG, "places": array_of(place)}, lambda: work)
+    place = struct_of(label=STRING, kind=STRING, first=BIGINT, until=BIGINT)
+    return per_text(docs, [key], text, {"n_words": BIGINT, "places": array_of(place)}, lambda: work)
 
 
 def license_report(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document: counts and labels; score 1 by a template, 0.5 by phrases alone."""
-    base = F.filter("places", lambda p: ~p["template"])
+    """One row per document: counts and labels; score 1 by a template, 0.75 by an opening, 0.5 by phrases alone."""
+    base = F.filter("places", lambda p: p["kind"] == "phrase")
     starts = F.transform(base, lambda p: p["first"])
     names = lambda places: F.array_join(
         F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ","
@@ -232,7 +280,8 @@ def license_report(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
         F.array_max(starts).alias("last_word"),
         names(base).alias("base_labels"),
         names(F.col("places")).alias("labels"),
-        F.when(F.exists("places", lambda p: p["template"]), 1.0)
+        F.when(F.exists("places", lambda p: p["kind"] == "template"), 1.0)
+        .when(F.exists("places", lambda p: p["kind"] == "opening"), 0.75)
         .when(F.size("places") > 0, 0.5)
         .otherwise(0.0)
         .alias("score"),
