@@ -23,6 +23,11 @@ DOC = ["d", "t"]  # key and text hash: rows of one key with other texts are othe
 PLACE = [*DOC, "i"]
 
 
+def _hash(*columns) -> Column:
+    """128 bits: of 10^12 different lines the chance that any two are equal is below 10^-14."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
+
+
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     """A row per line: its place, the hash of the line and its characters."""
     rows = docs.filter(F.col(text).isNotNull()).select(
@@ -31,13 +36,18 @@ def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
         F.posexplode(F.split(F.col(text), "\n", -1)).alias("i", "line"),
     )
     chars = F.char_length("line")
-    return rows.select(*PLACE, F.xxhash64("line", chars).alias("rank"), chars.cast("bigint").alias("chars"))
+    return rows.select(*PLACE, _hash("line", chars).alias("rank"), chars.cast("bigint").alias("chars"))
 
 
-def _shared(ranks: DataFrame) -> DataFrame:
-    """The places whose rank another place shares."""
+def _shared(ranks: DataFrame, folder: SharedFolder, name: str) -> DataFrame:
+    """The places whose rank another place shares.
+
+    The counts are written first: a join with a table, unlike one with an aggregation, can be split
+    where one line holds much of the places.
+    """
     counts = ranks.groupBy("rank").agg(F.count("*").alias("n")).filter("n > 1")
-    return ranks.join(counts.select("rank"), "rank").select(*PLACE, "rank", "chars")
+    counts = folder.table(counts.select("rank"), f"shared-{name}")
+    return ranks.join(counts, "rank").select(*PLACE, "rank", "chars")
 
 
 def _doubled(ranks: DataFrame, span: int) -> DataFrame:
@@ -46,7 +56,7 @@ def _doubled(ranks: DataFrame, span: int) -> DataFrame:
     both = ranks.alias("a").join(second.alias("b"), _same(PLACE))
     return both.select(
         *(f"a.{c}" for c in PLACE),
-        F.xxhash64("a.rank", "b.rank").alias("rank"),
+        _hash("a.rank", "b.rank").alias("rank"),
         (F.col("a.chars") + F.col("b.chars")).alias("chars"),
     )
 
@@ -58,16 +68,17 @@ def _same(columns: list[str]) -> Column:
 
 def _levels(lines: DataFrame, folder: SharedFolder) -> list[DataFrame]:
     """The shared ranks of order 0, 1, 2, ... as long as there are any."""
-    ranks = folder.table(_shared(lines), "ranks-0")
+    ranks = folder.table(_shared(lines, folder, "0"), "ranks-0")
     levels = []
     while not ranks.isEmpty():
         levels.append(ranks)
-        longer = _shared(_doubled(ranks, 1 << (len(levels) - 1)))
-        ranks = folder.table(longer, f"ranks-{len(levels)}")
+        # Written before it is read twice, to be counted and to be joined.
+        twice = folder.table(_doubled(ranks, 1 << (len(levels) - 1)), f"doubled-{len(levels)}")
+        ranks = folder.table(_shared(twice, folder, str(len(levels))), f"ranks-{len(levels)}")
     return levels
 
 
-def _descend(inside: DataFrame | None, ranks: DataFrame, order: int) -> DataFrame:
+def _descend(inside: DataFrame | None, ranks: DataFrame, order: int, folder: SharedFolder) -> DataFrame:
     """One step down: prefixes that go on for 2^order lines as those of an earlier place do.
 
     ``inside`` has the places within an interval so far: ``lines`` and ``chars`` of its prefix, its
@@ -79,7 +90,7 @@ def _descend(inside: DataFrame | None, ranks: DataFrame, order: int) -> DataFram
         *PLACE,
         F.lit(0).cast("bigint").alias("lines"),
         F.lit(0).cast("bigint").alias("chars"),
-        F.lit(0).cast("bigint").alias("at"),
+        F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("at"),
         F.lit(True).alias("own"),
         F.col("rank").alias("next"),
         F.col("chars").alias("more"),
@@ -101,11 +112,12 @@ def _descend(inside: DataFrame | None, ranks: DataFrame, order: int) -> DataFram
         .filter("n > 1")
         .drop("n")
     )
-    here = here.join(first, ["at", "next"], "left")
+    # A table, so that the interval of the most common line can be split in the join.
+    here = here.join(folder.table(first, f"first-{order}"), ["at", "next"], "left")
     deeper = [
         (F.col("lines") + (1 << order)).alias("lines"),
         (F.col("chars") + F.col("more")).alias("chars"),
-        F.xxhash64("at", "next", F.lit(order)).alias("at"),
+        _hash("at", "next", F.lit(order)).alias("at"),
     ]
     later = F.coalesce(place != F.col("first"), F.lit(False))
     earliest = F.coalesce(place == F.col("first"), F.lit(False))
@@ -129,7 +141,7 @@ def repeated_runs(
     levels = _levels(lines, folder)
     inside = None
     for order in reversed(range(len(levels))):
-        inside = folder.table(_descend(inside, levels[order], order), f"inside-{order}")
+        inside = folder.table(_descend(inside, levels[order], order, folder), f"inside-{order}")
     return None if inside is None else inside.filter("own").select(*PLACE, "lines", "chars")
 
 
