@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from orgmetrics.llm.batches import SharedFolder
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the least node around it instead."""
+def _large_star(links: DataFrame, folder: SharedFolder, name: str) -> DataFrame:
+    """Every larger neighbour of a node is linked to the least node around it instead.
+
+    The least nodes are written first: a join with a table, unlike one with an aggregation, can be
+    split at a node that has much of the links.
+    """
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+    least = folder.table(least.select("a", F.least("a", "m").alias("m")), f"{name}-least")
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, folder: SharedFolder, name: str) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = folder.table(links.groupBy("a").agg(F.min("b").alias("m")), f"{name}-own")
     joined = links.join(least, "a")
     own = least.select("a", F.col("m").alias("b"))
     others = joined.filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -39,7 +43,8 @@ def components(links: DataFrame, folder: SharedFolder, name: str) -> DataFrame:
     mark, step = None, 0
     while True:
         step += 1
-        links = folder.table(_small_star(_large_star(links).distinct()).distinct(), f"{name}-{step}")
+        large = folder.table(_large_star(links, folder, f"{name}-{step}").distinct(), f"{name}-{step}-large")
+        links = folder.table(_small_star(large, folder, f"{name}-{step}").distinct(), f"{name}-{step}")
         now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == mark:
             break
