@@ -26,8 +26,9 @@ FILTERS = 16  # of each width
 SAMPLE = 400  # labelled texts per language that the network is fitted on
 WINDOWS_PER_TEXT = 8  # of a sampled text, spread over the whole of it
 LEAST_STEPS = 600
-LANGUAGES = 200  # at most, those with the most labelled rows
+LANGUAGES = 200  # a bound on what the driver holds; raise it for tables of more languages
 UNKNOWN = "und"
+LOW = 0.02  # share of a language's held-out texts that its level may be drawn from
 NOISE = "\0noise"  # of the network, never of a text
 SCRIPTS = [  # first and last letter, for noise
     (0x61, 0x7A), (0xE0, 0xFE), (0x3B1, 0x3C9), (0x430, 0x44F), (0x561, 0x586), (0x5D0, 0x5EA), (0x627, 0x64A),
@@ -209,16 +210,17 @@ def fit(
     lang: str = "lang",
     key: str = "doc_id",
     noise: bool = False,
+    limit: int = LANGUAGES,
 ) -> ByteNetwork | None:
     """The network of the languages in ``lang``; None if no row has a label and a letter.
 
-    Learns from at most ``sample`` texts of each of at most ``LANGUAGES`` languages, chosen by a
+    Learns from at most ``sample`` texts of each of the ``limit`` languages with the most rows, chosen by a
     hash of ``key``, and from ``WINDOWS_PER_TEXT`` windows of each, so the driver holds a number of
     bytes that does not grow with the table. With ``noise`` the network also learns as many windows in
     no language as a language has on average, and a score is low for texts that resemble them.
     """
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    most = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES)
+    most = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(limit)
     languages = sorted(r[lang] for r in most.collect())
     keys = _chosen(rows.filter(F.col(lang).isin(languages)), sample, lang, key)
 
@@ -234,9 +236,13 @@ def fit(
 
     read = rows.filter(F.col(key).isin(keys) & F.col(lang).isin(languages))
     read = read.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    cut_rows = read.mapInPandas(cut, "lang string, window binary").toPandas()
-    # A fixed order, whatever order the tasks ended in; rows that repeat a key add no more than that.
-    cut_rows = cut_rows.sort_values(["lang", "window"]).groupby("lang").head(sample * WINDOWS_PER_TEXT)
+    cut_rows = read.mapInPandas(cut, "lang string, window binary")
+    # Rows may share a key: by hash of the window no more of a language reach the driver than it learns from.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("window"), "window")
+    cut_rows = cut_rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample * WINDOWS_PER_TEXT)
+    cut_rows = cut_rows.drop("_n").toPandas()
+    # A fixed order, whatever order the tasks ended in.
+    cut_rows = cut_rows.sort_values(["lang", "window"])
     if not len(cut_rows):
         return None
     languages = sorted(set(cut_rows["lang"]))
@@ -255,14 +261,15 @@ def levels(
 ) -> dict[tuple[str, bool], float]:
     """Per language, and for texts within one window and longer ones apart: scores below are too low.
 
-    Half the lowest score of at most ``SAMPLE`` labelled texts of ``held`` a language that the
-    network finds to be in it. Without such a text there is no level.
+    Half of a low quantile (``LOW``) of the scores of at most ``SAMPLE`` labelled texts of ``held`` a
+    language that the network finds to be in it, so that a few pieces of junk with a label do not
+    lower it. Without such a text there is no level.
     """
     rows = held.filter(F.col(lang).isin(network.languages) & F.col(text).isNotNull())
     rows = rows.filter(F.col(key).isin(_chosen(rows, SAMPLE, lang, key)))
     rows = rows.select(F.col(lang).alias("lang"), is_short(F.col(text)).alias("short"), F.col(text).alias("text"))
     found = identify(rows, network).filter(F.col("lang") == F.col("lang_pred"))
-    least = found.groupBy("lang", "short").agg(F.min("score").alias("score"))
+    least = found.groupBy("lang", "short").agg(F.percentile("score", F.lit(LOW)).alias("score"))
     return {(r["lang"], r["short"]): r["score"] / 2 for r in least.collect()}
 
 
