@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+import zlib
 from pathlib import Path
 
 import corpus_pipeline
@@ -91,6 +92,30 @@ def test_language_id_rejects_by_the_network(spark):
     assert all(x[0] in kept for x in clean)
 
 
+def test_labelled_junk_does_not_open_the_gate(spark):
+    rng = random.Random(3)
+    sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    clean = [tuple(r) for r in sample.filter("n_chars > 300 AND lang = 'en'").collect()]
+    junk = lambda: " ".join("".join(rng.choice("αβγδεζηθικλμνξ") for _ in range(6)) for _ in range(100))
+    held = [k for k in range(10**6, 10**6 + 30) if zlib.crc32(str(k).encode()) % 3 == 1]
+    labelled = [(k, junk(), "en", "s", 1) for k in held[:2]]
+    planted = [(2 * 10**6 + k, junk(), None, "s", 1) for k in range(30)]
+    docs = spark.createDataFrame(clean + labelled + planted, sample.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").select("doc_id").collect()}
+    assert not kept & {k for k, *_ in planted} and all(x[0] in kept for x in clean)
+
+
+def test_unrelated_texts_of_one_id_all_stay(spark):
+    rng = random.Random(4)
+    texts = [" ".join(prose(rng, 60)) for _ in range(6)]
+    given = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (8, texts[1]), (None, texts[2]), (None, texts[3]), (9, texts[3]), (None, texts[4])]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1, "", 1, 1) for k, t in given], COLUMNS)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    expected = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (9, texts[3]), (None, texts[4])]
+    assert sorted(pairs(kept), key=str) == sorted(expected, key=str)
+
+
 def test_empty_tables_go_through(spark):
     docs = documents(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
