@@ -4,7 +4,8 @@ A vector is cut into equal segments. With the mean m and the deviation s (root o
 squares around m) of each segment of length n, the squared distance of two vectors is at least
 the sum of n (m - m')^2 + (s - s')^2. Since |q|^2 + |x|^2 = d^2 + 2 qx, that bounds the inner product
 from above by the sum of n m m' + s s': a product of short matrices. Bounds are taken coarse to
-fine; only pairs that may still be among a query's best go on, and the last get exact scores.
+fine; only pairs that may still be among a query's best go on, and the last get exact scores. While
+many pairs are left a level is one product of matrices, then it is taken pair by pair.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from orgmetrics.llm.vectors import TopK, by_dimension, clean_vectors, matrix, ranked
 
-SEGMENTS = (1, 4, 16)  # coarse to fine
+SEGMENTS = (1, 4, 16, 32)  # coarse to fine; segments of one component are the vectors themselves
+DENSE = 0.1  # share of a block's pairs above which a level computes all of them
 QUERIES_PER_CELL = 2048
 ROWS_PER_CELL = 16384
 BLOCK = 2048  # rows whose bounds are taken at a time
@@ -38,49 +40,107 @@ def segment_features(vectors: np.ndarray, segments: int) -> np.ndarray:
     return out
 
 
+LIMB = 21  # bits; sums of products of two limbs are exact in doubles
+
+
 def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers as integers, exact also where doubles are not.
 
-    A product beyond 64 bits ends the job.
+    Rows whose products may leave the doubles are taken in two limbs, and only rows beyond those in
+    whole numbers of any size. A product beyond 64 bits ends the job.
     """
-    largest = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1]
-    if largest < EXACT:
+    of_queries, of_rows = np.abs(queries).max(initial=0), np.abs(rows).max(axis=1, initial=0)
+    largest = of_rows * of_queries * queries.shape[1]
+    safe = largest < EXACT
+    if safe.all():
         return (queries @ rows.T).astype(np.int64)
-    whole = [[int(x) for x in row] for row in rows]
-    return np.array(
-        [[sum(a * b for a, b in zip(q, x)) for x in whole] for q in ([int(y) for y in r] for r in queries)],
-        dtype=np.int64,
-    )
+    out = np.empty((len(queries), len(rows)), dtype=np.int64)
+    out[:, safe] = (queries @ rows[safe].T).astype(np.int64)
+    limbs = ~safe & (largest < float(1 << 62)) & (np.maximum(of_rows, of_queries) < float(1 << 2 * LIMB))
+    limbs &= queries.shape[1] < 1 << (53 - 2 * LIMB)
+    if limbs.any():
+        parts = []
+        for x in (queries, rows[limbs]):
+            whole = x.astype(np.int64)
+            parts.append(((whole >> LIMB).astype(float), (whole & ((1 << LIMB) - 1)).astype(float)))
+        (q1, q0), (x1, x0) = parts
+        high, low = (q1 @ x1.T).astype(np.int64), (q0 @ x0.T).astype(np.int64)
+        middle = (q1 @ x0.T).astype(np.int64) + (q0 @ x1.T).astype(np.int64)
+        out[:, limbs] = (high << 2 * LIMB) + (middle << LIMB) + low
+    for j in np.flatnonzero(~safe & ~limbs):
+        row = [int(x) for x in rows[j]]
+        out[:, j] = np.array([sum(int(a) * b for a, b in zip(q, row)) for q in queries], dtype=np.int64)
+    return out
+
+
+def _by_pair(queries: np.ndarray, rows: np.ndarray, who: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Products of the given pairs, in steps of bounded size."""
+    out = np.empty(len(who))
+    for a in range(0, len(who), 1 << 15):
+        part = slice(a, a + (1 << 15))
+        out[part] = np.einsum("ij,ij->i", queries[who[part]], rows[which[part]])
+    return out
+
+
+def _blocks(n: int) -> Iterator[tuple[int, int]]:
+    """Short blocks first, each twice the one before: every block raises the queries' limits."""
+    at, size = 0, BLOCK // 16
+    while at < n:
+        yield at, min(n, at + size)
+        at, size = at + size, min(BLOCK, 2 * size)
 
 
 def search_cell(
-    queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    rows: np.ndarray,
+    row_ids: np.ndarray,
+    k: int,
+    left: np.ndarray | None = None,
 ) -> TopK:
-    """Top ``k`` of ``rows`` for each query, a row of the query's own id left out."""
+    """Top ``k`` of ``rows`` for each query, a row of the query's own id left out.
+
+    ``left``, if given, is added up to: all pairs, and those that each level leaves.
+    """
     top = TopK(len(queries), k, np.int64)
-    levels = [(segment_features(queries, s), segment_features(rows, s)) for s in SEGMENTS]
+    segments = [s for s in SEGMENTS if s < queries.shape[1]]
+    levels = [(segment_features(queries, s), segment_features(rows, s)) for s in segments]
     norm = np.sqrt((queries**2).sum(axis=1)) * np.sqrt((rows**2).sum(axis=1).max(initial=0))
     slack = 1e-9 * norm + 1e-6  # rounding of the bounds never costs a row
-    for a in range(0, len(rows), BLOCK):
-        part, ids = rows[a : a + BLOCK], row_ids[a : a + BLOCK]
+    doubles = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1] < EXACT
+    for a, e in _blocks(len(rows)):
+        part, ids = rows[a:e], row_ids[a:e]
         need = top.least - slack
-        who, which = np.arange(len(queries)), np.arange(len(part))
-        alive = None
+        alive, pairs = query_ids[:, None] != ids[None, :], None
+        counts = [alive.size]
         for of_queries, of_rows in levels:
-            bound = of_queries[who] @ of_rows[a : a + BLOCK][which].T >= need[who][:, None]
-            alive = bound if alive is None else alive & bound
-            some, rest = alive.any(axis=1), alive.any(axis=0)
-            who, which, alive = who[some], which[rest], alive[some][:, rest]
-            if not len(who):
-                break
-        if not len(who):
-            continue
-        scores = _products(queries[who], part[which])
-        alive &= query_ids[who][:, None] != ids[which][None, :]
-        alive &= scores >= top.least[who][:, None]
-        for i in np.flatnonzero(alive.any(axis=1)):
-            hit = alive[i]
-            top.add(who[i], scores[i, hit], ids[which[hit]])
+            if pairs is None and alive.mean() > DENSE:
+                alive &= of_queries @ of_rows[a:e].T >= need[:, None]
+            else:
+                who, which = np.nonzero(alive) if pairs is None else pairs
+                near = _by_pair(of_queries, of_rows[a:e], who, which) >= need[who]
+                pairs = who[near], which[near]
+            counts.append(int(alive.sum()) if pairs is None else len(pairs[0]))
+        if left is not None:
+            left[: len(counts)] += counts
+        if pairs is None and (not doubles or alive.mean() > DENSE):
+            scores = _products(queries, part)
+            alive &= scores >= top.least[:, None]
+            who, which = np.nonzero(alive)
+            scores = scores[who, which]
+        else:
+            who, which = np.nonzero(alive) if pairs is None else pairs
+            if doubles:
+                scores = _by_pair(queries, part, who, which).astype(np.int64)
+            else:
+                scores = np.concatenate(
+                    [np.zeros(0, np.int64)] + [_products(queries[i : i + 1], part[which[who == i]])[0] for i in np.unique(who)]
+                )
+            good = scores >= top.least[who]
+            who, which, scores = who[good], which[good], scores[good]
+        edges = np.flatnonzero(np.diff(who, prepend=-1))
+        for b, c in zip(edges, [*edges[1:], len(who)]):
+            top.add(who[b], scores[b:c], ids[which[b:c]])
     return top
 
 

@@ -71,6 +71,39 @@ def test_exact_search_without_enough_rows(spark):
     assert rows(exact_topk.exact_topk(table(spark, []), IS_QUERY)) == []
 
 
+def test_products_of_large_numbers_are_exact():
+    rng = np.random.default_rng(8)
+    queries = rng.integers(-(1 << 22), 1 << 22, (20, 30)).astype(float)
+    rows = rng.integers(-100, 100, (40, 30)).astype(float)
+    rows[3] = rng.integers(-(1 << 30), 1 << 30, 30)
+    rows[5, 7] = float(10**10) * 64
+    rows[6, 0] = float(1 << 45)
+    queries[:, 0] = rng.integers(-9, 9, 20)
+    expected = [[sum(int(a) * int(b) for a, b in zip(q, x)) for x in rows] for q in queries]
+    assert exact_topk._products(queries, rows).tolist() == expected
+
+
+def test_an_outlier_does_not_slow_a_block():
+    import time
+
+    rng = np.random.default_rng(9)
+    queries, rows = (np.floor(rng.normal(size=(n, 64)) * 64) for n in (100, 2000))
+    rows[17, 5] = 1e13
+    started = time.perf_counter()
+    exact_topk.search_cell(queries, np.arange(100), rows, np.arange(1000, 3000), 20)
+    assert time.perf_counter() - started < 2
+
+
+def test_finer_levels_leave_fewer_pairs():
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(30, 64)) * 3
+    rows = np.floor((centres[rng.integers(30, size=6000)] + rng.normal(size=(6000, 64)) * 0.2) * 64)
+    left = np.zeros(1 + len(exact_topk.SEGMENTS))
+    exact_topk.search_cell(rows[:100], np.arange(100), rows, np.arange(6000), 20, left)
+    share = left / left[0]
+    assert all(a >= b for a, b in zip(share, share[1:])) and share[-1] < 0.3
+
+
 def test_bounds_are_never_too_low():
     rng = np.random.default_rng(1)
     q, x = np.floor(rng.normal(size=(50, 30)) * 64), np.floor(rng.normal(size=(80, 30)) * 64)
