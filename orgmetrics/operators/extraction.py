@@ -79,7 +79,12 @@ UNKNOWN_COUNTRY = "XX"
 
 @dataclass(frozen=True)
 class Site:
-    """The two sites of a network, and the prefix its section slugs carry."""
+    """The two sites of a network, and the prefix its section slugs carry.
+
+    ``partitions`` deals the pages over so many tasks before they are parsed. Parsing costs far more
+    than moving a page, so it pays where the landed files have fewer or less even row groups than
+    there are cores; without it pages are parsed where they are read.
+    """
 
     accounts_url: str
     activities_url: str
@@ -89,16 +94,17 @@ class Site:
     country_marker: str = "/country/"
     section_marker: str = "/section/"
     activity_marker: str = "/activity/"
+    partitions: int | None = None
 
 
 def _only(selectors: dict[str, str], *labels: str) -> dict[str, str]:
     return {k: v for k, v in selectors.items() if k.rstrip("_0123456789") in labels or k in labels}
 
 
-def _links(pages: DataFrame, selectors: dict[str, str], label: str) -> DataFrame:
+def _links(pages: DataFrame, selectors: dict[str, str], label: str, site: Site) -> DataFrame:
     """One row per matching link: the page's columns, ``position``, ``href``, ``link_text``."""
     keep = [c for c in pages.columns if c != "html"]
-    found = match_nodes(pages, _only(selectors, label))
+    found = match_nodes(pages, _only(selectors, label), partitions=site.partitions)
     links = F.transform(
         nodes_of(label),
         lambda n: F.struct(F.coalesce(n["href"], F.lit("")).alias("href"), node_text(n).alias("link_text")),
@@ -110,7 +116,7 @@ def _links(pages: DataFrame, selectors: dict[str, str], label: str) -> DataFrame
 def extract_countries(pages: DataFrame, site: Site, base: Column | None = None) -> DataFrame:
     """Countries linked from listing pages: two-letter codes with a name."""
     base = F.lit(site.accounts_url + "/") if base is None else base
-    links = _links(pages, site.account_selectors, "country_link")
+    links = _links(pages, site.account_selectors, "country_link", site)
     code = urls.url_tail(F.col("href"), site.country_marker)
     return (
         links.withColumn("_code", code)
@@ -132,7 +138,7 @@ def extract_sections(
 ) -> DataFrame:
     """Sections linked from country pages; a link that cannot be read costs only itself."""
     base = F.lit(site.accounts_url + "/") if base is None else base
-    links = _links(pages, site.account_selectors, "section_link")
+    links = _links(pages, site.account_selectors, "section_link", site)
     slug = urls.url_tail(F.col("href"), site.section_marker)
     name = F.col("link_text")
     own = slugs.activities_slug(name, site.prefix)
@@ -162,7 +168,7 @@ def extract_section_details(
     base = F.lit(site.accounts_url + "/") if base is None else base
     labels = ("email", "website", "university_name", "address", "address_part")
     labels += ("coordinates", "logo", "social", "city")
-    found = match_nodes(pages, _only(site.account_selectors, *labels))
+    found = match_nodes(pages, _only(site.account_selectors, *labels), partitions=site.partitions)
     address = first_of("address")
     parts = _inside_of("address_part", address)
     point, logo = first_of("coordinates"), first_of("logo")
@@ -202,16 +208,27 @@ def _last_wins_map(entries: Column) -> Column:
 
 def last_page_number(pages: DataFrame, site: Site) -> DataFrame:
     """Highest listing page per first page; 0 without a readable link."""
-    found = match_nodes(pages, _only(site.activity_selectors, "last_page"))
+    found = match_nodes(pages, _only(site.activity_selectors, "last_page"), partitions=site.partitions)
     number = urls.query_page_number(first_of("last_page")["href"])
     return found.select(*(c for c in pages.columns if c != "html"), number.alias("last_page"))
 
 
-def page_chunks(df: DataFrame, last_page: str = "last_page", size: int = urls.CHUNK_SIZE) -> DataFrame:
-    """Ranges of listing pages, 0 to ``last_page`` inclusive, ``size`` pages each."""
-    start = F.explode(F.sequence(F.lit(0), F.col(last_page), F.lit(size)))
-    chunked = df.filter(F.col(last_page) >= 0).withColumn("first_page", start)
-    return chunked.withColumn("final_page", F.least(F.col("first_page") + size - 1, F.col(last_page)))
+MOST_PAGES = 100_000  # of one listing; a page that claims more is not believed
+
+
+def page_chunks(
+    df: DataFrame, last_page: str = "last_page", size: int = urls.CHUNK_SIZE, most: int = MOST_PAGES
+) -> DataFrame:
+    """Ranges of listing pages, 0 to ``last_page`` inclusive, ``size`` pages each.
+
+    Of a listing that claims more than ``most`` pages only the first page and the claimed last one
+    are ranges: if that one has not landed it is logged like any other gap.
+    """
+    last = F.col(last_page)
+    starts = F.when(last < most, F.sequence(F.lit(0), last, F.lit(size))).otherwise(F.array(F.lit(0), last))
+    chunked = df.filter(last >= 0).withColumn("first_page", F.explode(starts))
+    end = F.when(last < most, F.least(F.col("first_page") + size - 1, last)).otherwise(F.col("first_page"))
+    return chunked.withColumn("final_page", end)
 
 
 def extract_activity_links(pages: DataFrame, site: Site, base: Column | None = None) -> DataFrame:
@@ -222,7 +239,8 @@ def extract_activity_links(pages: DataFrame, site: Site, base: Column | None = N
 def extract_listing(pages: DataFrame, site: Site) -> DataFrame:
     """One row per listing page: ``last_page`` and the title link of each card, all in one reading."""
     keep = [c for c in pages.columns if c != "html"]
-    found = match_nodes(pages, _only(site.activity_selectors, "card", "card_link", "last_page"))
+    wanted = _only(site.activity_selectors, "card", "card_link", "last_page")
+    found = match_nodes(pages, wanted, partitions=site.partitions)
     # The card has to be in scope of the lambda, so links are looked up card by card in the row.
     links = F.transform(
         nodes_of("card"),
@@ -264,7 +282,7 @@ def extract_activities(pages: DataFrame, site: Site, as_of: Column) -> DataFrame
     s = site.activity_selectors
     labels = ("title", "description", "date", "place", "participants", "type", "organiser")
     labels += ("cause", "sdg", "objective", "goal", "goal_item")
-    found = match_nodes(pages, _only(s, *labels))
+    found = match_nodes(pages, _only(s, *labels), partitions=site.partitions)
 
     def first(label: str) -> Column:
         return first_of(*_numbered(s, label))

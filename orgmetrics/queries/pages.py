@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -45,6 +46,12 @@ PLAIN = extraction.Site(
 # The platforms' own selectors, for pages that carry the platforms' markup.
 PLATFORM = extraction.Site(t.BASE, "https://activities.example.org", "net")
 
+
+def _dealt(spark, site):
+    """The sample's page file is one row group: its pages are dealt over the session's partitions."""
+    return replace(site, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 _LINKS = """links AS (
   SELECT page_id, url, generate_subscripts(m, 1) - 1 AS position, unnest(m) AS link
   FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS m FROM pages)),
@@ -81,7 +88,7 @@ SELECT page_id, position, upper(replace(trim(href, '/'), 'ß', 'ss')) AS country
 FROM parts WHERE length(trim(href, '/')) = 2 AND label <> ''""")
 def extract_countries(spark, sf):
     """Menu links whose target is two characters long."""
-    found = extraction.extract_countries(_pages(spark, sf), PLAIN, base=c("url"))
+    found = extraction.extract_countries(_pages(spark, sf), _dealt(spark, PLAIN), base=c("url"))
     return found.select("page_id", "position", "country_code", "name", "slug", "country_url")
 
 
@@ -93,7 +100,7 @@ FROM (SELECT *, {_slug_sql("CASE WHEN lower(label) LIKE 'net%' THEN label ELSE '
 def extract_sections(spark, sf):
     """Menu links as sections of the country that the page's path names."""
     country = F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1)
-    found = extraction.extract_sections(_pages(spark, sf), PLAIN, country, base=c("url"))
+    found = extraction.extract_sections(_pages(spark, sf), _dealt(spark, PLAIN), country, base=c("url"))
     return found.select(
         "page_id",
         "position",
@@ -110,7 +117,7 @@ def extract_sections(spark, sf):
 SELECT page_id, position, {_ROOT} || href AS activity_url, trim(href, '/') AS event_slug FROM parts WHERE href LIKE '%/%'""")
 def extract_activity_links(spark, sf):
     """Menu items as activity cards."""
-    found = extraction.extract_activity_links(_pages(spark, sf), PLAIN, base=c("url"))
+    found = extraction.extract_activity_links(_pages(spark, sf), _dealt(spark, PLAIN), base=c("url"))
     return found.select("page_id", "position", "activity_url", "event_slug")
 
 
@@ -168,7 +175,7 @@ def extract_section_details(spark, sf):
         key,
         '">f</a>',
     )
-    found = extraction.extract_section_details(pages, PLATFORM, base=c("url"))
+    found = extraction.extract_section_details(pages, _dealt(spark, PLATFORM), base=c("url"))
     return found.drop("url").withColumn("social_media", F.to_json("social_media"))
 
 
@@ -243,7 +250,7 @@ def extract_activities(spark, sf):
         F.when(big, F.concat(F.lit("<ul><li>one "), n, F.lit("</li><li> two</li></ul>"))).otherwise(F.concat(F.lit("plain "), n)),
         "</div></div>",
     )
-    found = extraction.extract_activities(pages, PLATFORM, t.as_of_date()).drop("url")
+    found = extraction.extract_activities(pages, _dealt(spark, PLATFORM), t.as_of_date()).drop("url")
     lists = {x: F.array_join(c(x).cast("array<string>"), ",") for x in ("organisers", "causes", "sdgs", "objectives")}
     return found.withColumns(lists)
 
@@ -257,7 +264,7 @@ def _listing_pages(spark, sf):
 @query(f"SELECT page_id, CAST({_NUMBER} AS INTEGER) AS last_page FROM pages")
 def last_page_number(spark, sf):
     """Every landed page as the first listing page of a section."""
-    return extraction.last_page_number(_listing_pages(spark, sf), PLATFORM).drop("url")
+    return extraction.last_page_number(_listing_pages(spark, sf), _dealt(spark, PLATFORM)).drop("url")
 
 
 @query(f"""WITH l AS (SELECT page_id, CAST({_NUMBER} AS INTEGER) AS last_page FROM pages),

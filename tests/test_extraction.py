@@ -150,6 +150,8 @@ def test_last_page_and_chunks(spark):
     chunks = extraction.page_chunks(found.filter("page_id < 2"))
     none = spark.createDataFrame([(-3,)], "last_page int")
     assert extraction.page_chunks(none).count() == 0
+    claimed = spark.createDataFrame([(2_000_000_000,)], "last_page int")
+    assert rows(extraction.page_chunks(claimed).select("first_page", "final_page")) == [(0, 0), (2_000_000_000, 2_000_000_000)]
     assert rows(chunks.select("page_id", "first_page", "final_page")) == sorted(
         [(0, 0, 4), (0, 5, 9), (0, 10, 14), (0, 15, 19), (0, 20, 24), (0, 25, 27), (1, 0, 0)], key=str
     )

@@ -64,3 +64,12 @@ def test_registry_loads_without_a_session():
     code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and e.oracle_sql()"
     done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], timeout=120)
     assert done.returncode == 0
+
+
+def test_registry_loads_without_an_optional_library():
+    code = (
+        "import sys; sys.modules['sentencepiece'] = None; import warnings; warnings.simplefilter('ignore'); "
+        "import __spark_entry__ as e; assert len(e.queries()) > 100 and 'pipeline' not in e.queries()"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], timeout=120)
+    assert done.returncode == 0
