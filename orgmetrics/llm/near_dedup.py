@@ -40,6 +40,7 @@ APART = 6  # min-hashes from the first of one tree to that of the next
 MISS = 1e-6  # chance at most that a pair at the threshold is never compared
 HASHES = 128
 WIDTHS_OF_ERROR = 4.5  # signatures may fall short of the threshold by so many standard deviations
+FURTHER = 3  # times the trees in every further turn, which has few nodes
 WINDOW = 64  # nodes before and after a node in a sorted order that it is compared with
 ROWS = 4096  # of a sorted order in one block; neighbours beyond its ends are copied to it
 BEYOND = 256
@@ -112,8 +113,9 @@ def _trees(level: float) -> int:
 @lru_cache(maxsize=64)
 def _orders(trees: int, turn: int) -> np.ndarray:
     """Which min-hashes each tree of a turn sorts by."""
-    mixed = np.random.default_rng(100 + turn).permutation(HASHES)
-    return np.stack([np.roll(mixed, -APART * t)[:LONGEST] for t in range(trees)])
+    rng, each = np.random.default_rng(100 + turn), HASHES // APART
+    mixed = [rng.permutation(HASHES) for _ in range(-(-trees // each))]
+    return np.stack([np.roll(mixed[t // each], -APART * (t % each))[:LONGEST] for t in range(trees)])
 
 
 def _signatures(packed) -> np.ndarray:
@@ -272,11 +274,24 @@ def _neighbours(least: float, level: float) -> Callable:
     return run
 
 
-def _loose_links(nodes: DataFrame, level: float, folder: SharedFolder) -> DataFrame:
-    """(a, b) links of neighbours in the forest: nodes that reach ``level`` are connected."""
+def _merged(clusters: DataFrame, links: DataFrame, folder: SharedFolder, turn: int) -> DataFrame:
+    """``clusters`` after links between some of them; a further turn finds few or none."""
+    ends = links
+    for end in ("a", "b"):
+        of = clusters.select(F.col("node").alias(end), F.col("cluster").alias(f"{end}c"))
+        ends = ends.join(of, end)
+    ends = folder.table(ends.filter("ac <> bc").select(F.col("ac").alias("a"), F.col("bc").alias("b")).distinct(), f"new{turn}")
+    if ends.isEmpty():
+        return clusters
+    roots = components(ends, folder, f"loose{turn}").select(F.col("node").alias("cluster"), "root")
+    merged = clusters.join(folder.table(roots, f"roots{turn}"), "cluster", "left")
+    return folder.table(merged.select("node", F.coalesce("root", "cluster").alias("cluster")), f"clusters{turn}")
+
+
+def _loose_clusters(nodes: DataFrame, level: float, folder: SharedFolder) -> DataFrame:
+    """(node, cluster) of every node, by neighbours in the forest: nodes that reach ``level`` share a cluster."""
     least = level - WIDTHS_OF_ERROR * (level * (1 - level) / HASHES) ** 0.5
-    trees = _trees(level)
-    gain, target = trees * math.log1p(-(level**DEPTH)), math.log(MISS)
+    trees, target = _trees(level), math.log(MISS)
     # Equal signatures are one node of the forest.
     named = nodes.select("signature", "node").groupBy("signature").agg(F.min("node").alias("first"))
     named = folder.table(named, "signatures")
@@ -284,8 +299,9 @@ def _loose_links(nodes: DataFrame, level: float, folder: SharedFolder) -> DataFr
         F.col("first").alias("a"), F.col("node").alias("b")
     )
     going = named.select(F.col("first").alias("node"), "signature", F.col("first").alias("cluster"))
-    so_far, turn = None, 0
+    so_far, clusters, turn = None, None, 0
     while True:
+        gain = trees * math.log1p(-(level**DEPTH))
         rows = _sorted_orders(going, trees, turn, folder)
         at, last = F.col("rank"), (F.col("rank") / ROWS).cast("bigint")
         seen = F.array_distinct(
@@ -295,7 +311,15 @@ def _loose_links(nodes: DataFrame, level: float, folder: SharedFolder) -> DataFr
         copies = copies.filter("block >= 0")
         found = _by_key(copies, ["block"], _neighbours(least, level), "a bigint, b bigint, lack double")
         found = folder.table(found, f"found{turn}")
-        links = links.union(found.filter("b IS NOT NULL").select("a", "b"))
+        fresh = found.filter("b IS NOT NULL").select("a", "b")
+        if clusters is None:
+            roots = components(links.union(fresh), folder, "loose")
+            clusters = nodes.select("node").join(roots, "node", "left").select(
+                "node", F.coalesce("root", "node").alias("cluster")
+            )
+            clusters = folder.table(clusters, "clusters")
+        else:
+            clusters = _merged(clusters, fresh, folder, turn)
         lack = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("lack").alias("lack"))
         # What a node still lacks, over all turns.
         lack = lack if so_far is None else lack.join(so_far, "node").select(
@@ -303,16 +327,14 @@ def _loose_links(nodes: DataFrame, level: float, folder: SharedFolder) -> DataFr
         )
         lack = folder.table(lack.filter(F.col("lack") + F.lit(gain) > target), f"lack{turn}")
         if lack.isEmpty():
-            return links
-        clusters = components(links, folder, f"loose{turn}").select("node", F.col("root").alias("cluster"))
+            return clusters
         going = named.select(F.col("first").alias("node"), "signature").join(lack.select("node"), "node", "left_semi")
-        going = going.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
-        going = folder.table(going, f"going{turn}")
+        going = folder.table(going.join(clusters, "node"), f"going{turn}")
         # Nodes of one cluster have nothing to find among themselves.
         if len(going.select("cluster").distinct().head(2)) < 2:
-            return links
+            return clusters
         so_far = lack.select("node", (F.col("lack") + F.lit(gain)).alias("before"))
-        turn += 1
+        trees, turn = FURTHER * _trees(level), turn + 1
 
 
 def _links_within(shared: int, union: int) -> Callable:
@@ -410,17 +432,14 @@ def near_duplicates(
     )
     nodes = folder.table(nodes, "nodes")
 
-    near = _loose_links(nodes, shared / union, folder)
+    clusters = _loose_clusters(nodes, shared / union, folder)
     # One document may have several texts.
     same = full.groupBy("doc", "digest").agg(F.max("n_shingles").alias("n"))
     same = same.join(nodes.select("digest", "node"), "digest").select("doc", "node").filter("doc <> node")
-    clusters = components(near, folder, "cluster").select(
-        "node", F.col("root").alias("cluster")
-    )
 
     sizes = clusters.join(nodes.select("node", "n_shingles"), "node").groupBy("cluster").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("s")
-    )
+    ).filter("n > 1")
     blocks = F.greatest(
         F.least(F.ceil(F.col("n") / 64), F.lit(BLOCKS)), F.ceil(F.col("s") / BLOCK_SHINGLES)
     ).cast("int")

@@ -186,13 +186,13 @@ def alike(rng, n, pairs, agreement=0.55, near=0.84):
 
 
 def candidates_of(spark, signatures, level=0.8):
-    """Loose links of nodes with these signatures, and how many rows all sorted orders had."""
+    """Loose clusters of nodes with these signatures, and how many rows all sorted orders had."""
     given = [(k, s.astype(">u2").tobytes()) for k, s in enumerate(signatures)]
     nodes = spark.createDataFrame(given, "node bigint, signature binary").repartition(4)
     folder = SharedFolder(nodes, "test")
-    links = rows(near_dedup._loose_links(nodes, level, folder))
+    clusters = dict(rows(near_dedup._loose_clusters(nodes, level, folder)))
     placed = spark.read.parquet(f"{folder.folder}/order*").count()
-    return links, placed
+    return clusters, placed
 
 
 def test_planted_pairs_among_thousands_of_similar_texts(spark, monkeypatch):
@@ -201,19 +201,10 @@ def test_planted_pairs_among_thousands_of_similar_texts(spark, monkeypatch):
     rng = np.random.default_rng(6)
     pairs = [(k, 4999 - k) for k in range(200)]
     signatures = alike(rng, 5000, pairs)
-    links, placed = candidates_of(spark, signatures)
-    root = list(range(5000))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for a, b in links:
-        root[find(a)] = find(b)
+    clusters, placed = candidates_of(spark, signatures)
     near = [(a, b) for a, b in pairs if (signatures[a] == signatures[b]).mean() >= 0.8]
     assert len(near) > 150
-    assert sum(find(a) == find(b) for a, b in near) >= 0.99 * len(near)
+    assert sum(clusters[a] == clusters[b] for a, b in near) >= 0.99 * len(near)
     # Candidates: rows of the orders times the window, whatever the size of a region.
     assert placed <= 5000 * 20 * 25
 
