@@ -42,6 +42,7 @@ HASHES = 128
 WIDTHS_OF_ERROR = 4.5  # signatures may fall short of the threshold by so many standard deviations
 FURTHER = 3  # times the trees in every further turn, which has few nodes
 WINDOW = 64  # nodes before and after a node in a sorted order that it is compared with
+CLOSEST = 4  # rows after a row that are compared before all others
 ROWS = 4096  # of a sorted order in one block; neighbours beyond its ends are copied to it
 BEYOND = 256
 BLOCKS = 24  # per cluster, of at least 64 and at most ...
@@ -226,6 +227,9 @@ def _neighbours(least: float, level: float) -> Callable:
         signatures = _signatures(group["signature"])
         tails = np.frombuffer(b"".join(map(bytes, group["tail"])), dtype=">u2").reshape(n, -1)
         forest, found = _Forest(n), []
+        # Rows of one cluster are connected already.
+        forest.label = np.unique(cluster, return_index=True, return_inverse=True)[1:]
+        forest.label = forest.label[0][forest.label[1]]
 
         def connect(a: np.ndarray, b: np.ndarray) -> None:
             found.extend((int(node[a[i]]), int(node[b[i]]), 0.0) for i in forest.join(a, b))
@@ -246,6 +250,13 @@ def _neighbours(least: float, level: float) -> Callable:
         equal = next_[(tails[next_] == tails[next_ + 1]).all(axis=1)]
         if len(equal):
             connect(equal, equal + 1)
+        # The closest rows first: what they connect is one cluster from here on.
+        for w in range(1, CLOSEST + 1):
+            near = own[own < n - w]
+            near = near[region[near] == region[near + w]]
+            if len(near):
+                compare(near, near + w)
+        cluster = forest.label.copy()
         # Rows of one cluster side by side are passed over together.
         change = np.flatnonzero((region[1:] != region[:-1]) | (cluster[1:] != cluster[:-1])) + 1
         edges = np.r_[0, change, n]
