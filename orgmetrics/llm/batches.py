@@ -88,14 +88,18 @@ def per_slice(
 ) -> DataFrame:
     """As ``per_text``, for results as large as the texts: every slice is handed on before the next.
 
-    A slice has about ``limit`` bytes of text; a longer text is a slice of its own.
+    A slice has about ``limit`` bytes of text; a longer text is a slice of its own. A kept text goes
+    to the workers once.
     """
+    once = text in keep and isinstance(rows.schema[text].dataType, T.StringType)
+    width = len(keep)
+    place = keep.index(text) if once else width
     types = [t for _, t in added.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+            lengths = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
             at = 0
             while at < len(lengths):
                 end, size = at + 1, lengths[at]
@@ -104,14 +108,13 @@ def per_slice(
                     end += 1
                 part = batch.slice(at, end - at)
                 at = end
-                found = work([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
+                found = work([t or "" for t in part.column(place).to_pylist()])
                 arrays = [pa.array(c, type=t) for c, t in zip(zip(*found), types)]
-                kept = part.columns[:-1]
+                kept = part.columns[:width]
                 yield pa.RecordBatch.from_arrays([*kept, *arrays], [f"c{i}" for i in range(len(kept) + len(arrays))])
 
-    chosen = rows.select(
-        *(F.col(n).alias(f"c{i}") for i, n in enumerate(keep)), F.col(text).cast("string").alias("text")
-    )
+    sent = [F.col(n).alias(f"c{i}") for i, n in enumerate(keep)]
+    chosen = rows.select(*sent, *([] if once else [F.col(text).cast("string").alias("text")]))
     kinds = [rows.schema[n].dataType for n in keep] + [k for k, _ in added.values()]
     schema = T.StructType([T.StructField(f"c{i}", k) for i, k in enumerate(kinds)])
     return chosen.mapInArrow(run, schema).toDF(*keep, *added)

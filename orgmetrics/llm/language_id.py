@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orgmetrics.llm.batches import DOUBLE, STRING, per_text
+from orgmetrics.llm.batches import DOUBLE, STRING, per_slice
 
 WINDOW = 256  # bytes
 WIDTHS = (2, 3, 4)
@@ -29,6 +29,8 @@ LEAST_STEPS = 600
 LANGUAGES = 200  # a bound on what the driver holds; raise it for tables of more languages
 UNKNOWN = "und"
 LOW = 0.02  # share of a language's held-out texts that its level may be drawn from
+SLICE_BYTES = 1 << 20  # of texts that are handed on at a time
+STEPS = 1 << 16  # of a score, where levels are drawn
 NOISE = "\0noise"  # of the network, never of a text
 SCRIPTS = [  # first and last letter, for noise
     (0x61, 0x7A), (0xE0, 0xFE), (0x3B1, 0x3C9), (0x430, 0x44F), (0x561, 0x586), (0x5D0, 0x5EA), (0x627, 0x64A),
@@ -257,20 +259,21 @@ def fit(
 
 
 def levels(
-    network: ByteNetwork, held: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id"
+    network: ByteNetwork, held: DataFrame, text: str = "text", lang: str = "lang"
 ) -> dict[tuple[str, bool], float]:
     """Per language, and for texts within one window and longer ones apart: scores below are too low.
 
-    Half of a low quantile (``LOW``) of the scores of at most ``SAMPLE`` labelled texts of ``held`` a
-    language that the network finds to be in it, so that a few pieces of junk with a label do not
-    lower it. Without such a text there is no level.
+    Half of a low quantile (``LOW``) of the scores of all labelled texts of ``held`` that the network
+    finds to be in their language, so that a few pieces of junk with a label do not lower it. Without
+    such a text there is no level. Scores are rounded down to ``STEPS`` and counted, so a task holds
+    no more than ``STEPS`` numbers of a language whatever the table.
     """
     rows = held.filter(F.col(lang).isin(network.languages) & F.col(text).isNotNull())
-    rows = rows.filter(F.col(key).isin(_chosen(rows, SAMPLE, lang, key)))
     rows = rows.select(F.col(lang).alias("lang"), is_short(F.col(text)).alias("short"), F.col(text).alias("text"))
-    found = identify(rows, network).filter(F.col("lang") == F.col("lang_pred"))
-    least = found.groupBy("lang", "short").agg(F.percentile("score", F.lit(LOW)).alias("score"))
-    return {(r["lang"], r["short"]): r["score"] / 2 for r in least.collect()}
+    found = identify(rows, network, keep=["lang", "short"]).filter(F.col("lang") == F.col("lang_pred"))
+    steps = found.groupBy("lang", "short", F.floor(F.col("score") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    least = steps.groupBy("lang", "short").agg(F.percentile("step", F.lit(LOW), F.col("n")).alias("step"))
+    return {(r["lang"], r["short"]): r["step"] / STEPS / 2 for r in least.collect()}
 
 
 def is_short(text: Column) -> Column:
@@ -298,7 +301,7 @@ def identify(
         return network.predict
 
     kept = docs.columns if keep is None else keep
-    return per_text(docs, kept, text, dict(zip(names, (STRING, DOUBLE))), make)
+    return per_slice(docs, kept, text, dict(zip(names, (STRING, DOUBLE))), make, SLICE_BYTES)
 
 
 def held_out(key: Column) -> Column:

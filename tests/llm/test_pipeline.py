@@ -9,7 +9,10 @@ import sys
 import zlib
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from orgmetrics.llm import language_id
 from tests.conftest import rows
 from tests.llm.test_dedup import edited, line_brute, near_brute, prose
 from tests.llm.test_tokenizers import check_packing
@@ -135,3 +138,18 @@ assert len(e.queries()) > 100 and "pipeline" not in e.queries() and not any(q.st
 """
     done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], timeout=120)
     assert done.returncode == 0
+
+
+def test_levels_come_from_all_held_out_texts(spark):
+    """The 400 texts that a hash of the id puts first score high, all others of the language low."""
+
+    class Scores(language_id.ByteNetwork):
+        def predict(self, texts):
+            return [("en", float(t.split()[1])) for t in texts]
+
+    network = Scores(["en"], [], None, None, None)
+    ids = spark.range(3000).withColumnRenamed("id", "doc_id")
+    first = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(400).withColumn("first", F.lit(True))
+    score = F.when(F.col("first"), "0.75").otherwise("0.25")
+    held = ids.join(first, "doc_id", "left").select("doc_id", F.concat(F.lit("word "), score).alias("text"), F.lit("en").alias("lang"))
+    assert language_id.levels(network, held) == {("en", True): 0.125}
