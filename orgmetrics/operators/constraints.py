@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgmetrics.operators.integrity import duplicate_keys, fk_orphans
+from orgmetrics.operators.integrity import fk_orphans
 from orgmetrics.schemas import Table
 
 REPORT = "table_name string, rule string, n_bad bigint, n_rows bigint"
@@ -55,10 +55,11 @@ def constraint_report(tables: dict[str, DataFrame], known: dict[str, Table]) ->
             parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(found), "n_rows"))
         for columns in unique_rules(table):
             if have.issuperset(columns):
-                given = rows.select(*columns)
-                repeats = duplicate_keys(given.dropna(), list(columns)).agg(
-                    F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n_bad")
-                )
+                given = reduce(Column.__and__, (F.col(c).isNotNull() for c in columns))
+                # All of them less the different ones: no counts per key beside the keys themselves.
+                keys = rows.filter(given).select(*columns).distinct().agg(F.count("*").alias("_keys"))
+                known_rows = rows.agg(F.count_if(given)).scalar()
+                repeats = keys.select((known_rows - F.col("_keys")).alias("n_bad"))
                 parts.append(_line(name, _unique_name(columns), repeats, rows))
         for column, other, key in table.references:
             if column in have and other in tables:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from pathlib import Path
 
@@ -314,3 +315,20 @@ def test_assembled_statistics_are_one_pass(spark):
     plan = QUERIES["stats_assembled"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     # Line items, parts and orders, each read once.
     assert plan.count("Relation [") == 3
+
+
+def test_unique_rules_group_once(spark, no_broadcast):
+    """Rows that are distinct already are not grouped by their key a second time."""
+    table = Table("t", "a bigint, b bigint", ("a", "b"))
+    given = spark.range(100).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b")).distinct()
+    report = constraints.constraint_report({"t": given}, {"t": table}).filter("rule LIKE 'UNIQUE%'")
+    assert [(r["n_bad"], r["n_rows"]) for r in report.collect()] == [(0, 35)]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[a#\d+L, b#\d+L\], \[.*count\(1\)", plan)
+
+
+def test_unique_rules_count_repeats_with_nulls(spark):
+    table = Table("t", "a bigint, b bigint", ("a", "b"))
+    given = spark.createDataFrame([(1, 1), (1, 1), (1, 1), (1, None), (1, None), (None, None), (2, 1)], "a bigint, b bigint")
+    report = constraints.constraint_report({"t": given}, {"t": table}).collect()
+    assert {r["rule"]: r["n_bad"] for r in report}["UNIQUE (a, b)"] == 2
