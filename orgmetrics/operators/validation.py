@@ -123,11 +123,12 @@ def error_changes(before: DataFrame, validated: DataFrame, key: str) -> DataFram
     not checked now are left out; a NULL key matches no other.
     """
     names = [key, "field_name", "error_message"]
-    old = before.join(validated.select(key), key, "left_semi").select(*names).distinct()
-    now = exploded_errors(validated, key).select(*names).distinct()
+    old = before.join(validated.select(key), key, "left_semi").select(*names)
+    now = exploded_errors(validated, key).select(*names)
     both = old.withColumn("_side", F.lit(1)).unionByName(now.withColumn("_side", F.lit(2)))
-    # Grouped rather than joined: one shuffle, and NULL messages find each other.
-    sides = both.groupBy(*names).agg(F.sum("_side").alias("_sides"))
+    # Grouped rather than joined: one shuffle, and NULL messages find each other. Sides as bits, so
+    # that repeats need no distinct of their own.
+    sides = both.groupBy(*names).agg(F.bit_or("_side").alias("_sides"))
     change = F.element_at(F.array(F.lit("cleared"), F.lit("new"), F.lit("kept")), F.col("_sides").cast("int"))
     return sides.select(*names, change.alias("change"))
 

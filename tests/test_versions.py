@@ -332,3 +332,14 @@ def test_unique_rules_count_repeats_with_nulls(spark):
     given = spark.createDataFrame([(1, 1), (1, 1), (1, 1), (1, None), (1, None), (None, None), (2, 1)], "a bigint, b bigint")
     report = constraints.constraint_report({"t": given}, {"t": table}).collect()
     assert {r["rule"]: r["n_bad"] for r in report}["UNIQUE (a, b)"] == 2
+
+
+def test_error_changes_group_once(spark):
+    """Repeats of either side count once, without groupings of their own."""
+    ddl = "id bigint, field_name string, error_message string"
+    before = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (1, "b", None), (1, "b", None), (2, "a", "x")], ddl)
+    errors = "id bigint, errors array<struct<field_name:string,error_message:string>>"
+    checked = spark.createDataFrame([(1, [("b", None), ("b", None), ("c", "z"), ("c", "z")])], errors)
+    found = validation.error_changes(before, checked, "id")
+    assert rows(found) == [(1, "a", "x", "cleared"), (1, "b", None, "kept"), (1, "c", "z", "new")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
