@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orgmetrics import schemas
+from orgmetrics.functions.slugs import slugify
 from orgmetrics.operators import integrity, joins, quality, retention, selection, upsert, validation
 from orgmetrics.sources.tables import append_rows, conform, empty_table, write_snapshot
 from tests.conftest import rows
@@ -40,6 +41,37 @@ def test_lookup_join_with_hot_and_missing_keys(spark, no_broadcast, how):
     assert rows(joins.lookup_join(facts, dim, "k", how)) == sorted(expected[how], key=str)
 
 
+# --- organisers
+
+
+def organisers(spark):
+    activities = spark.createDataFrame(
+        [(1, ["Ab c", "AB-C"]), (1, ["ab c", None, "--", ""]), (2, ["x"]), (3, None), (None, ["ab c"])],
+        "activity_id bigint, organisers array<string>",
+    )
+    sections = spark.createDataFrame(
+        [(5, "ab c"), (5, "Ab-C"), (6, "AB C"), (7, "--"), (8, None), (None, "ab c"), (9, "y")], "id bigint, name string"
+    )
+    return activities, sections
+
+
+@pytest.mark.parametrize("large", [True, False])
+def test_organiser_links_are_distinct(spark, request, large):
+    """Repeated activities, sections and spellings of a name give each link once; empty names give none."""
+    if large:
+        request.getfixturevalue("no_broadcast")
+    found = rows(selection.organiser_links(*organisers(spark), slugify))
+    assert found == sorted([(a, s) for a in (1, None) for s in (5, 6, None)], key=str)
+    assert rows(selection.unknown_organisers(*organisers(spark), slugify)) == sorted([(1, "--"), (1, ""), (1, None), (2, "x")], key=str)
+
+
+def test_organiser_links_are_not_shuffled(spark, no_broadcast):
+    """The pairs of activities and sections of a name meet last; names of single rows are not normalised."""
+    plan = selection.organiser_links(*organisers(spark), slugify)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join Inner")]
+    assert not any("Filter" in line and "regexp_replace(" in line and "_name#" in line for line in plan.splitlines())
+
+
 # --- keyed writes
 
 TARGET_DDL = "id bigint, k string, a string, b int, created_at timestamp_ntz, updated_at timestamp_ntz"
