@@ -27,7 +27,8 @@ def row_rules(table: Table) -> list[tuple[str, Column]]:
 
 
 def unique_rules(table: Table) -> list[tuple[str, ...]]:
-    return [table.key, *(u for u in table.unique if u != table.key)]
+    """The key and the other unique columns; a table without a key has no rule for it."""
+    return [u for u in dict.fromkeys((table.key, *table.unique)) if u]
 
 
 def _unique_name(columns: tuple[str, ...]) -> str:

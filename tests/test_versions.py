@@ -343,3 +343,13 @@ def test_error_changes_group_once(spark):
     found = validation.error_changes(before, checked, "id")
     assert rows(found) == [(1, "a", "x", "cleared"), (1, "b", None, "kept"), (1, "c", "z", "new")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_a_table_without_a_key_has_no_unique_rule(spark):
+    known = {"t": Table("t", "a bigint", (), unique=(("a",),)), "u": Table("u", "b bigint", ()), "v": Table("v", "b bigint", (), references=(("b", "u", "b"),))}
+    one = spark.createDataFrame([(1,), (1,), (None,)], "b bigint")
+    given = {"t": one.withColumnRenamed("b", "a"), "u": one, "v": spark.createDataFrame([(1,), (2,), (None,)], "b bigint")}
+    report = constraints.constraint_report(given, known).collect()
+    assert {(r["table_name"], r["rule"]): (r["n_bad"], r["n_rows"]) for r in report} == {
+        ("t", "UNIQUE (a)"): (1, 3), ("v", "b REFERENCES u (b)"): (1, 3),
+    }
