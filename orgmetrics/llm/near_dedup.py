@@ -84,8 +84,15 @@ def _describe(docs: DataFrame, width: int, text: str, key: str) -> DataFrame:
 def _by_key(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:
     """``run(group)`` for every key, many small groups per task; groups are of bounded size."""
 
+    # Nullable integers: a column of integers and None would become floats, which round 64-bit keys.
+    types = {"bigint": "Int64", "double": "float64"}
+    named = [(c.split()[0], types[c.split()[1]]) for c in schema.split(", ")]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({n: pd.array([r[i] for r in rows], dtype=t) for i, (n, t) in enumerate(named)})
+
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, rest = [c.split()[0] for c in schema.split(", ")], None
+        rest = None
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             if not len(batch):
@@ -97,9 +104,9 @@ def _by_key(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataF
             cuts = [0, *np.flatnonzero(new).tolist()]
             found = [run(batch.iloc[a:b]) for a, b in zip(cuts, cuts[1:])]
             rest = batch.iloc[cuts[-1] :]
-            yield pd.DataFrame([r for rows in found for r in rows], columns=names)
+            yield frame([r for rows in found for r in rows])
         if rest is not None and len(rest):
-            yield pd.DataFrame(run(rest), columns=names)
+            yield frame(run(rest))
 
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartition(n, *keys).sortWithinPartitions(*keys)

@@ -213,3 +213,15 @@ def test_candidates_grow_with_the_nodes(spark):
     rng = np.random.default_rng(7)
     few, many = (candidates_of(spark, alike(rng, n, []))[1] for n in (1000, 4000))
     assert many <= 4 * 1.5 * few
+
+
+def test_keys_beside_nulls_keep_all_bits(spark):
+    """Links and rows without a second node in one frame: the nodes stay 64-bit integers."""
+    large = 2**60 + 1
+
+    def run(group):
+        return [(int(x), None if x % 2 else int(x) + 2, 0.5) for x in group["k"]]
+
+    given = spark.createDataFrame([(0, large), (0, large + 1)], "g bigint, k bigint").coalesce(1)
+    found = near_dedup._by_key(given, ["g"], run, "a bigint, b bigint, lack double")
+    assert sorted(tuple(r) for r in found.collect()) == [(large, None, 0.5), (large + 1, large + 3, 0.5)]
